@@ -1,0 +1,270 @@
+"""Avro binary columns: schema translation, decoding and encoding.
+
+Spark's own functions are used when the avro package is on the class path. Otherwise small codecs
+built from the schema work on Arrow batches inside tasks.
+"""
+
+from __future__ import annotations
+
+import json
+import struct
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, types as T
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from millrace.sources.connectors import has_format
+
+# --- fixed values -------------------------------------------------------------------------------
+PRIMITIVES = {
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "bytes": T.BinaryType(),
+}
+# ------------------------------------------------------------------------------------------------
+
+
+def parse_schema(schema: str | dict) -> dict:
+    parsed = json.loads(schema) if isinstance(schema, str) else schema
+    if not isinstance(parsed, dict) or parsed.get("type") != "record":
+        raise ValueError("the schema of a topic is a record")
+    return parsed
+
+
+def spark_type(schema) -> T.DataType:
+    """Spark type of an Avro schema; ``[null, x]`` is a nullable x."""
+    if isinstance(schema, list):
+        branches = [b for b in schema if b != "null"]
+        if len(branches) != 1:
+            raise ValueError(f"only unions of null and one type are supported: {schema}")
+        return spark_type(branches[0])
+    kind = schema if isinstance(schema, str) else schema["type"]
+    if isinstance(kind, (dict, list)):
+        return spark_type(kind)
+    if kind in PRIMITIVES:
+        return PRIMITIVES[kind]
+    if kind == "record":
+        return T.StructType([T.StructField(f["name"], spark_type(f["type"])) for f in schema["fields"]])
+    if kind == "array":
+        return T.ArrayType(spark_type(schema["items"]))
+    if kind == "map":
+        return T.MapType(T.StringType(), spark_type(schema["values"]))
+    if kind == "enum":
+        return T.StringType()
+    if kind == "fixed":
+        return T.BinaryType()
+    raise ValueError(f"unsupported Avro type {kind!r}")
+
+
+def _long(data: bytes, at: int) -> tuple[int, int]:
+    value = shift = 0
+    while True:
+        byte = data[at]
+        at += 1
+        value |= (byte & 0x7F) << shift
+        if byte < 0x80:
+            return (value >> 1) ^ -(value & 1), at
+        shift += 7
+
+
+def _zigzag(value: int) -> bytes:
+    value = (value << 1) ^ (value >> 63)
+    out = bytearray()
+    while value > 0x7F:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
+
+
+def _blocks(data, at, item):
+    """Items of an array or map; a negative count is followed by the block size."""
+    while True:
+        count, at = _long(data, at)
+        if count == 0:
+            return at
+        if count < 0:
+            _, at = _long(data, at)
+            count = -count
+        for _ in range(count):
+            at = item(at)
+
+
+def decoder(schema) -> Callable[[bytes, int], tuple[object, int]]:
+    """Function (data, position) -> (value, next position)."""
+    if isinstance(schema, list):
+        branches = [decoder(b) for b in schema]
+
+        def union(data, at):
+            index, at = _long(data, at)
+            return branches[index](data, at)
+        return union
+    kind = schema if isinstance(schema, str) else schema["type"]
+    if isinstance(kind, (dict, list)):
+        return decoder(kind)
+    if kind == "null":
+        return lambda data, at: (None, at)
+    if kind == "boolean":
+        return lambda data, at: (data[at] == 1, at + 1)
+    if kind in ("int", "long"):
+        return _long
+    if kind in ("float", "double"):
+        form = struct.Struct("<f" if kind == "float" else "<d")
+        return lambda data, at: (form.unpack_from(data, at)[0], at + form.size)
+    if kind in ("string", "bytes"):
+        def text(data, at):
+            size, at = _long(data, at)
+            raw = data[at:at + size]
+            return (raw.decode() if kind == "string" else raw), at + size
+        return text
+    if kind == "fixed":
+        return lambda data, at: (data[at:at + schema["size"]], at + schema["size"])
+    if kind == "enum":
+        def symbol(data, at):
+            index, at = _long(data, at)
+            return schema["symbols"][index], at
+        return symbol
+    if kind == "record":
+        fields = [(f["name"], decoder(f["type"])) for f in schema["fields"]]
+
+        def record(data, at):
+            row = {}
+            for name, read in fields:
+                row[name], at = read(data, at)
+            return row, at
+        return record
+    if kind == "array":
+        read_item = decoder(schema["items"])
+
+        def array(data, at):
+            items = []
+
+            def item(at):
+                value, at = read_item(data, at)
+                items.append(value)
+                return at
+            return items, _blocks(data, at, item)
+        return array
+    if kind == "map":
+        read_key, read_value = decoder("string"), decoder(schema["values"])
+
+        def mapping(data, at):
+            entries = []
+
+            def item(at):
+                key, at = read_key(data, at)
+                value, at = read_value(data, at)
+                entries.append((key, value))
+                return at
+            return entries, _blocks(data, at, item)
+        return mapping
+    raise ValueError(f"unsupported Avro type {kind!r}")
+
+
+def encoder(schema) -> Callable[[object], bytes]:
+    """Function value -> bytes."""
+    if isinstance(schema, list):
+        null_at = schema.index("null") if "null" in schema else None
+        value_at = next(i for i, b in enumerate(schema) if b != "null")
+        write = encoder(schema[value_at])
+
+        def union(value):
+            if value is None:
+                if null_at is None:
+                    raise ValueError("null in a union without null")
+                return _zigzag(null_at)
+            return _zigzag(value_at) + write(value)
+        return union
+    kind = schema if isinstance(schema, str) else schema["type"]
+    if isinstance(kind, (dict, list)):
+        return encoder(kind)
+    simple = {
+        "null": lambda v: b"",
+        "boolean": lambda v: b"\x01" if v else b"\x00",
+        "int": _zigzag,
+        "long": _zigzag,
+        "float": struct.Struct("<f").pack,
+        "double": struct.Struct("<d").pack,
+        "fixed": bytes,
+    }
+    if kind in simple:
+        return simple[kind]
+    if kind in ("string", "bytes"):
+        def text(value):
+            raw = value.encode() if isinstance(value, str) else bytes(value)
+            return _zigzag(len(raw)) + raw
+        return text
+    if kind == "enum":
+        return lambda v: _zigzag(schema["symbols"].index(v))
+    if kind == "record":
+        fields = [(f["name"], encoder(f["type"])) for f in schema["fields"]]
+        return lambda v: b"".join(write(v[name]) for name, write in fields)
+    if kind == "array":
+        write_item = encoder(schema["items"])
+        return lambda v: (_zigzag(len(v)) + b"".join(map(write_item, v)) if v else b"") + b"\x00"
+    if kind == "map":
+        write_key, write_value = encoder("string"), encoder(schema["values"])
+
+        def mapping(value):
+            entries = list(value.items() if isinstance(value, dict) else value)
+            body = b"".join(write_key(k) + write_value(v) for k, v in entries)
+            return (_zigzag(len(entries)) + body if entries else b"") + b"\x00"
+        return mapping
+    raise ValueError(f"unsupported Avro type {kind!r}")
+
+
+def decode_avro(df: DataFrame, column: str, schema: str | dict) -> DataFrame:
+    """Replace a binary column by the fields of its records. Rows without a value are dropped."""
+    record = parse_schema(schema)
+    fields = spark_type(record)
+    kept = [f for f in df.schema if f.name != column]
+    present = df.filter(F.col(column).isNotNull())
+    if has_format(df.sparkSession, "avro"):
+        from pyspark.sql.avro.functions import from_avro
+
+        decoded = present.withColumn("_record", from_avro(column, json.dumps(record)))
+        return decoded.select(*[f.name for f in kept], "_record.*")
+    target = T.StructType([*kept, *fields])
+    types = to_arrow_schema(fields)
+
+    def run(batches):
+        import pyarrow as pa
+
+        read = decoder(record)
+        for batch in batches:
+            values = batch.column(batch.schema.get_field_index(column))
+            rows = [read(v.as_buffer().to_pybytes(), 0)[0] for v in values]
+            arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            arrays += [pa.array([r[t.name] for r in rows], type=t.type) for t in types]
+            yield pa.RecordBatch.from_arrays(arrays, names=target.names)
+
+    return present.mapInArrow(run, target)
+
+
+def encode_avro(df: DataFrame, schema: str | dict, column: str = "value") -> DataFrame:
+    """Replace the columns named in the schema by one binary column of records."""
+    record = parse_schema(schema)
+    names = [f["name"] for f in record["fields"]]
+    kept = [f for f in df.schema if f.name not in names]
+    if has_format(df.sparkSession, "avro"):
+        from pyspark.sql.avro.functions import to_avro
+
+        return df.select(*[f.name for f in kept], to_avro(F.struct(*names), json.dumps(record)).alias(column))
+    target = T.StructType([*kept, T.StructField(column, T.BinaryType())])
+
+    def run(batches):
+        import pyarrow as pa
+
+        write = encoder(record)
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+            values = [write(dict(zip(names, row))) for row in zip(*columns)]
+            arrays = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(values, pa.binary())], names=target.names)
+
+    return df.mapInArrow(run, target)
