@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import bin_index, bin_label
 from millrace.functions.types import numeric_columns
+from millrace.session import fresh_dir
 
 # --- fixed values -------------------------------------------------------------------------------
 METRICS = ("count", "mean", "stddev", "min", "max")
@@ -120,16 +121,34 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, meth
     if method != "spearman":
         raise ValueError(f"method must be pearson or spearman, not {method!r}")
     _check_matrix(columns)
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.stat import Correlation
+    # Ranks need every value: rows with a null are left out as a whole.
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).dropna()
+    ranked = rows
+    for column in columns:
+        ranked = ranked.join(average_ranks(rows, column), column).drop(column).withColumnRenamed("_rank", column)
+    return correlation_rows(profile(ranked, columns, descriptive=False), columns)
 
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(
-        df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+
+def average_ranks(rows: DataFrame, column: str) -> DataFrame:
+    """(value, _rank) for the distinct values of a column; equal values share their mean rank.
+
+    Values are counted first, so a frequent value is one row. Ranks are running sums of the counts:
+    inside range partitions by a window, across them by the totals of the partitions before.
+    """
+    spark = rows.sparkSession
+    path = fresh_dir(spark, "ranks")
+    counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    counted.repartitionByRange(column).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    # The written table fixes which values share a partition.
+    parts = spark.read.parquet(path)
+    totals = parts.groupBy("_part").agg(F.sum("_n").alias("_total"))
+    before = totals.withColumn(
+        "_before", F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    ).select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))  # one row per partition
+    inside = F.sum("_n").over(Window.partitionBy("_part").orderBy(column).rowsBetween(Window.unboundedPreceding, 0))
+    return parts.withColumn("_upto", inside).join(before, "_part").select(
+        column, (F.col("_before") + F.col("_upto") - (F.col("_n") - 1) / 2).alias("_rank")
     )
-    matrix = Correlation.corr(vectors.select("features"), "features", "spearman").first()[0].toArray()
-    rows = [(a, b, float(matrix[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "feature string, other string, correlation double")
 
 
 def bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -280,8 +280,8 @@ def join_parameters(outputs: DataFrame, params: DataFrame, on: str | Sequence[st
 # Memo and scatter -------------------------------------------------------------------------------
 
 def unseen(candidates: DataFrame, history: DataFrame) -> DataFrame:
-    """Candidates whose combination was never scored."""
-    return candidates.join(history.select("trial_key"), "trial_key", "left_anti")
+    """Candidates whose combination was never scored. The history shrinks to its keys before the join."""
+    return candidates.join(history.select("trial_key").distinct(), "trial_key", "left_anti")
 
 
 def remembered(candidates: DataFrame, history: DataFrame, order: str = "generation") -> DataFrame:

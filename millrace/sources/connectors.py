@@ -155,7 +155,9 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str], table: str, parti
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
     if partition_column:
         if bounds is None:
-            query = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}) b"
+            dialect = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(options["url"])
+            column = dialect.quoteIdentifier(partition_column)
+            query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b"
             row = spark.read.format("jdbc").options(**options).option("dbtable", query).load().first()
             bounds = (row[0], row[1])
         if bounds[0] is not None:
