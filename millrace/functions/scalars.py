@@ -204,7 +204,8 @@ def bin_index(value: Column, low, high, bins: int) -> Column:
     value, low, high = value.cast("double"), F.lit(low).cast("double"), F.lit(high).cast("double")
     width = (high - low) / F.lit(float(bins))
     position = F.floor(F.try_divide(value - low, width)).cast("int")
-    return F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0))
+    # A column with one value has no width; all of it is in the first bin.
+    return F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1))
 
 
 def bin_label(index: Column, low, high, bins: int) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from types import SimpleNamespace
 
@@ -21,6 +22,10 @@ _SCHEMAS = {
 }
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class StatisticsStore:
     """One table per statistics family, partitioned by entity: a re-run replaces one partition."""
 
@@ -38,9 +43,16 @@ class StatisticsStore:
         return name
 
     def _write(self, family: str, entity: str, rows: DataFrame) -> None:
-        rows.withColumn("entity", F.lit(entity)).coalesce(1 if family != "cluster" else 8).write.option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(self._table(family), overwrite=True)
+        """Replace the partition of one entity."""
+        view = f"millrace_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self._table(family)} PARTITION (entity = {_literal(entity)}) "
+                f"SELECT * FROM {view}"
+            )
+        finally:
+            self.spark.catalog.dropTempView(view)
 
     def update(
         self,
@@ -145,5 +157,4 @@ class StatisticsStore:
         for family in _SCHEMAS:
             name = f"`{self.store.database}`.`zz_stats_{family}`"
             if self.spark.catalog.tableExists(name):
-                value = entity.replace("'", "\\'")
-                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (entity = '{value}')")
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (entity = {_literal(entity)})")

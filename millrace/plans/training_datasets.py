@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import record_schema
 from millrace.session import delete_path
+from millrace.sources.tables import CSV_WRITE_OPTIONS
 
 # --- fixed values -------------------------------------------------------------------------------
 DEFAULT_FORMAT = "tfrecords"
 NATIVE_OPTIONS = {
-    "csv": {"header": "true", "escape": '"'},
-    "tsv": {"header": "true", "escape": '"', "sep": "\t"},
+    # A marker for null, so that an empty text stays one.
+    "csv": {**CSV_WRITE_OPTIONS, "nullValue": "\\N"},
+    "tsv": {**CSV_WRITE_OPTIONS, "nullValue": "\\N", "sep": "\t"},
     "json": {},
     "parquet": {},
     "orc": {},
@@ -169,9 +171,12 @@ class TrainingDatasets:
         from millrace.sources import records
 
         if data_format in NATIVE_OPTIONS:
-            return self.spark.read.format(_SPARK_FORMAT.get(data_format, data_format)).options(
+            reader = self.spark.read.format(_SPARK_FORMAT.get(data_format, data_format)).options(
                 **NATIVE_OPTIONS[data_format]
-            ).schema(schema).load(path)
+            )
+            if data_format in ("csv", "tsv") and any(f.dataType.typeName() == "string" for f in schema):
+                reader = reader.option("multiLine", "true")  # texts may hold line ends
+            return reader.schema(schema).load(path)
         if data_format in RECORD_FORMATS:
             return records.read_tfrecord(self.spark, path, schema)
         return records.read_npy_table(self.spark, path, schema)

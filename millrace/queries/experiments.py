@@ -110,20 +110,21 @@ def _customer_trials(spark, sf_dir):
     return customers.withColumn("trial_key", trial_key(["c_custkey"]))
 
 
-def _order_history(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+def _urgent_history(spark, sf_dir):
+    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    orders = urgent.withColumnRenamed("o_custkey", "c_custkey")
     return orders.select(trial_key(["c_custkey"]).alias("trial_key"), F.col("o_totalprice").alias("metric"),
                          F.col("o_orderkey").alias("generation"))
 
 
 def trials_memo(spark, sf_dir):
-    """Customers nobody scored yet: those without orders."""
-    return T.unseen(_customer_trials(spark, sf_dir), _order_history(spark, sf_dir)).select("trial_key", "c_nationkey")
+    """Customers nobody scored yet: those without urgent orders."""
+    return T.unseen(_customer_trials(spark, sf_dir), _urgent_history(spark, sf_dir)).select("trial_key", "c_nationkey")
 
 
 def trials_remembered(spark, sf_dir):
-    """Customers scored before take the score of their earliest order."""
-    return T.remembered(_customer_trials(spark, sf_dir), _order_history(spark, sf_dir)).select(
+    """Customers scored before take the score of their earliest urgent order."""
+    return T.remembered(_customer_trials(spark, sf_dir), _urgent_history(spark, sf_dir)).select(
         "trial_key", "c_nationkey", "metric"
     )
 
@@ -276,11 +277,12 @@ SQL = {
     ),
     "trials_memo": (
         "SELECT 'c_custkey=' || c_custkey AS trial_key, c_nationkey FROM customer "
-        "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"
+        "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')"
     ),
     "trials_remembered": (
         "SELECT 'c_custkey=' || c_custkey AS trial_key, c_nationkey, metric FROM customer JOIN "
-        "(SELECT o_custkey, arg_min(o_totalprice, o_orderkey) AS metric FROM orders GROUP BY o_custkey) o "
+        "(SELECT o_custkey, arg_min(o_totalprice, o_orderkey) AS metric FROM orders "
+        "WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey) o "
         "ON o_custkey = c_custkey"
     ),
     "trials_scatter": (

@@ -78,7 +78,7 @@ QUERIES = {
 
 _EVENTS = (
     "(SELECT 'm' || (user_id % 7) AS \"modelName\", CAST(event_id AS INTEGER) AS \"modelVersion\", "
-    "CAST(epoch_ms(ts) AS BIGINT) AS \"requestTimestamp\", "
+    "epoch_us(ts) // 1000 AS \"requestTimestamp\", "
     "CASE WHEN event_type = 'click' THEN 'TENSORFLOW_SERVING' ELSE 'PYTHON' END AS \"modelServer\", "
     "CASE WHEN event_type = 'error' THEN 'KSERVE' ELSE 'DEFAULT' END AS \"servingTool\", "
     "event_type AS \"inferenceRequest\", props AS \"inferenceResponse\" FROM events)"
@@ -97,7 +97,7 @@ SQL = {
         "UNION ALL SELECT 'none', 0, 0, 0"
     ),
     "infer_log_stream": (
-        "SELECT CAST(epoch_ms(ts) AS BIGINT) AS \"requestTimestamp\", round(value, 4) AS input, "
+        "SELECT epoch_us(ts) // 1000 AS \"requestTimestamp\", round(value, 4) AS input, "
         "round(value * 2, 4) AS prediction FROM events"
     ),
 }

@@ -298,19 +298,49 @@ def _feature(kind: str, values: list) -> bytes:
     return _field(BYTES_LIST, b"".join(_field(1, t) for t in texts))
 
 
+def _scalar_entries(name: bytes, kind: str, column: pa.Array) -> list[bytes]:
+    """Map entries of a scalar column.
+
+    Around a number of known size all tags and lengths are the same, so they are built once per
+    size and only the number changes from row to row.
+    """
+    label = _field(1, name)
+
+    def around(size: int) -> bytes:
+        number = FLOAT_LIST if kind == RECORD_FLOAT else INT_LIST
+        blank = _field(1, label + _field(2, _field(number, _field(1, bytes(size)))))
+        return blank[:-size]
+
+    if kind == RECORD_FLOAT:
+        raw = column.fill_null(0).to_numpy(zero_copy_only=False).astype("<f4").tobytes()
+        head = around(4)
+        entries = [head + raw[i:i + 4] for i in range(0, len(raw), 4)]
+    elif kind == RECORD_INT:
+        heads = {size: around(size) for size in range(1, 11)}
+        entries = []
+        for value in column.fill_null(0).to_pylist():
+            number = _varint(value)
+            entries.append(heads[len(number)] + number)
+    else:
+        entries = [_field(1, label + _field(2, _feature(kind, [v]))) for v in column.fill_null("" if
+                   pa.types.is_string(column.type) else b"").to_pylist()]
+    if column.null_count:
+        entries = [e if valid else b"" for e, valid in zip(entries, column.is_valid().to_pylist())]
+    return entries
+
+
 def encode_examples(batch: pa.RecordBatch, kinds: list[tuple[str, str, bool]]) -> list[bytes]:
     """Example messages of a batch. A null leaves its feature out."""
-    columns = [c.to_pylist() for c in batch.columns]
-    labels = [_field(1, name.encode()) for name, _, _ in kinds]
-    messages = []
-    for row in zip(*columns):
-        entries = [
-            _field(1, label + _field(2, _feature(kind, value if is_array else [value])))
-            for label, (_, kind, is_array), value in zip(labels, kinds, row)
-            if value is not None
-        ]
-        messages.append(_field(1, b"".join(entries)))
-    return messages
+    columns = []
+    for column, (name, kind, is_array) in zip(batch.columns, kinds):
+        if is_array:
+            label = _field(1, name.encode())
+            columns.append([
+                b"" if v is None else _field(1, label + _field(2, _feature(kind, v))) for v in column.to_pylist()
+            ])
+        else:
+            columns.append(_scalar_entries(name.encode(), kind, column))
+    return [_field(1, b"".join(entries)) for entries in zip(*columns)]
 
 
 class RecordWriter(FileWriter):
@@ -400,7 +430,8 @@ def _values(feature) -> list:
     return values
 
 
-def decode_example(message) -> dict[str, list]:
+def _decode_any(message) -> dict[str, list]:
+    """Features of a message in any field order."""
     row = {}
     for _, features in _fields(message):
         for _, entry in _fields(features):
@@ -409,6 +440,62 @@ def decode_example(message) -> dict[str, list]:
     return row
 
 
+def decode_example(message: bytes) -> dict[str, list]:
+    """Features of a message. The common layout, key before value and packed numbers, is read directly."""
+    def sized(at):
+        size = message[at + 1]
+        return (size, at + 2) if size < 0x80 else _read_varint(message, at + 1)
+
+    row, at = {}, 0
+    if not message:
+        return row
+    if message[0] != 0x0A:
+        return _decode_any(message)
+    size, at = sized(0)
+    end = at + size
+    while at < end:
+        size, at = sized(at)
+        stop = at + size
+        if message[at] != 0x0A:
+            return _decode_any(message)
+        size, at = sized(at)
+        name = message[at:at + size].decode()
+        at += size
+        if at == stop or message[at] != 0x12:
+            return _decode_any(message)
+        size, at = sized(at)
+        if size == 0:
+            row[name] = []
+            continue
+        kind = message[at] >> 3
+        size, at = sized(at)
+        if kind == FLOAT_LIST and size and message[at] == 0x0A:
+            size, at = sized(at)
+            if at + size != stop:
+                return _decode_any(message)
+            row[name] = list(struct.unpack_from(f"<{size // 4}f", message, at))
+        elif kind == INT_LIST and size and message[at] == 0x0A:
+            size, at = sized(at)
+            if at + size != stop:
+                return _decode_any(message)
+            values = []
+            while at < stop:
+                value, at = _read_varint(message, at)
+                values.append(value - (1 << 64) if value >> 63 else value)
+            row[name] = values
+        elif kind == BYTES_LIST:
+            values = []
+            while at < stop:
+                size, at = sized(at)
+                values.append(message[at:at + size])
+                at += size
+            row[name] = values
+        else:
+            return _decode_any(message)
+        at = stop
+    return row
+
+
 def split_records(data) -> list:
     """Payloads of a record file, checksums verified."""
     view, at, headers, bodies, sums = memoryview(data), 0, [], [], []

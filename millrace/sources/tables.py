@@ -20,10 +20,16 @@ def read_csv(
     comment: str | None = None,
     schema: T.StructType | str | None = None,
     infer_schema: bool = True,
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
-    """CSV files. With a schema they are read once; inferring one costs a pass over the data."""
-    reader = spark.read.option("sep", sep).option("header", str(header).lower())
+    """CSV files. With a schema they are read once; inferring one costs a pass over the data.
+
+    ``multi_line`` is for quoted values that hold line ends; a file is then one task's work.
+    """
+    reader = spark.read.option("sep", sep).option("header", str(header).lower()).option("escape", '"').option(
+        "multiLine", str(multi_line).lower()
+    )
     if na_values is not None:
         reader = reader.option("nullValue", na_values)
     if comment is not None:
@@ -55,7 +61,7 @@ def read_json(spark: SparkSession, path: str, orient: str = "lines", schema: T.S
         return reader.option("multiLine", str(orient == "records").lower()).json(path)
     if orient != "columns":
         raise ValueError(f"orient must be lines, records or columns, not {orient!r}")
-    files = spark.read.option("wholetext", "true").text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("_file"),
         F.from_json("value", "map<string,map<string,string>>").alias("_columns"),
     )
@@ -101,13 +107,23 @@ def read_whole(spark: SparkSession, path: str, binary: bool = False) -> DataFram
     """Whole files as (path, content)."""
     if binary:
         return spark.read.format("binaryFile").load(path).select("path", "content")
-    return spark.read.option("wholetext", "true").text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")
     )
 
 
+# --- fixed values -------------------------------------------------------------------------------
+CSV_WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# ------------------------------------------------------------------------------------------------
+
+
 def write_csv(df: DataFrame, path: str, **options: str) -> None:
-    df.write.mode("overwrite").options(**{"header": "true", "escape": '"', **options}).csv(path)
+    df.write.mode("overwrite").options(**{**CSV_WRITE_OPTIONS, **options}).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, **options: str) -> None:

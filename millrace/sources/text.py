@@ -111,7 +111,7 @@ def read_regex(spark: SparkSession, path: str, pattern: str, schema: T.StructTyp
     lines and then reads a file as one value.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = spark.read.option("wholetext", str(whole_files).lower()).text(path).filter(F.col("value").rlike(pattern))
+    text = spark.read.text(path, wholetext=whole_files).filter(F.col("value").rlike(pattern))
     groups = [F.regexp_extract_all("value", F.lit(pattern), F.lit(i + 1)).alias(f.name) for i, f in enumerate(fields)]
     matches = text.select(F.inline(F.arrays_zip(*groups)))
     return matches.select(*[
