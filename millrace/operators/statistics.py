@@ -23,8 +23,11 @@ HISTOGRAM_BINS = 20
 CLUSTERS = 5
 # ------------------------------------------------------------------------------------------------
 
-# Correlations of more columns than fit in one aggregate are computed in several scans.
-_PAIRS_PER_SCAN = 300
+# Up to this many pairs are plain aggregates; beyond it their generated code becomes too large to be
+# compiled by the JVM, and matrix products over Arrow batches are much faster.
+_PAIRS_AS_AGGREGATES = 10
+# Rows whose mean centres the sums of products.
+_CENTRE_ROWS = 1000
 
 
 def _measures(column: str, i: int) -> list:
@@ -62,7 +65,7 @@ def profile(
     descriptive: bool = True,
     correlation: bool = True,
 ) -> DataFrame:
-    """One wide row with the measures and pair correlations of the columns."""
+    """One wide row with the measures and pair correlations of the columns, which should be few."""
     columns = numeric_columns(df, columns)
     aggregates = [F.count(F.lit(1)).alias("rows")]
     if descriptive:
@@ -72,12 +75,7 @@ def profile(
     if correlation:
         _check_matrix(columns)
         aggregates += [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(columns)]
-    first, rest = pairs[:_PAIRS_PER_SCAN], pairs[_PAIRS_PER_SCAN:]
-    wide = df.agg(*aggregates, *_pair_aggregates(columns, first))
-    for start in range(0, len(rest), _PAIRS_PER_SCAN):
-        part = df.agg(F.count(F.lit(1)).alias("rows"), *_pair_aggregates(columns, rest[start:start + _PAIRS_PER_SCAN]))
-        wide = wide.join(part, "rows")  # one row on either side
-    return wide
+    return df.agg(*aggregates, *_pair_aggregates(columns, pairs))
 
 
 def descriptive_rows(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,17 +114,75 @@ def descriptive_table(long_form: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
     """Pairwise correlations; a pair leaves out the rows where either value is null."""
     columns = numeric_columns(df, columns)
+    _check_matrix(columns)
     if method == "pearson":
-        return correlation_rows(profile(df, columns, descriptive=False), columns)
+        return _pearson(df, columns)
     if method != "spearman":
         raise ValueError(f"method must be pearson or spearman, not {method!r}")
-    _check_matrix(columns)
     # Ranks need every value: rows with a null are left out as a whole.
     rows = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).dropna()
     ranked = rows
     for column in columns:
         ranked = ranked.join(average_ranks(rows, column), column).drop(column).withColumnRenamed("_rank", column)
-    return correlation_rows(profile(ranked, columns, descriptive=False), columns)
+    return _pearson(ranked, columns)
+
+
+def few_pairs(columns: Sequence[str]) -> bool:
+    return len(_pairs(len(columns))) <= _PAIRS_AS_AGGREGATES
+
+
+def _pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    if few_pairs(columns):
+        return correlation_rows(profile(df, columns, descriptive=False), columns)
+    return moment_correlations(df, columns)
+
+
+def moment_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Correlation matrix from sums of products that tasks form as matrix products.
+
+    A task hands on one row per pair of columns, whatever its number of input rows. Values are
+    centred near their mean first, so that large values with a small spread keep their digits.
+    """
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    head = numbers.limit(_CENTRE_ROWS).agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
+    centres = [v if v is not None and v == v and abs(v) != float("inf") else 0.0 for v in head]
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+    def moments(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for batch in batches:
+            present = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+            values = np.column_stack([
+                c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns
+            ]) - centres
+            mask = present.astype(np.float64)
+            values = np.where(present, values, 0.0)
+            squares = values * values
+            # Entry (i, j) sums over the rows where both columns have a value.
+            part = np.stack([
+                mask.T @ mask, values.T @ mask, mask.T @ values, squares.T @ mask, mask.T @ squares, values.T @ values,
+            ])
+            total = part if total is None else total + part
+        if total is not None:
+            i, j = np.triu_indices(total.shape[1])
+            arrays = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in total]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["i", "j", *sums])
+
+    parts = numbers.mapInArrow(moments, "i int, j int, " + ", ".join(f"{s} double" for s in sums))
+    summed = parts.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+    n = F.col("n")
+    covariance = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    spread = F.sqrt(F.col("sxx") - F.col("sx") ** 2 / n) * F.sqrt(F.col("syy") - F.col("sy") ** 2 / n)
+    value = F.when(n > 0, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.try_divide(covariance, spread)))
+    names = F.array(*[F.lit(c) for c in columns])
+    a, b = F.element_at(names, F.col("i") + 1), F.element_at(names, F.col("j") + 1)
+    one_way = F.struct(a.alias("feature"), b.alias("other"), F.col("r").alias("correlation"))
+    other_way = F.struct(b.alias("feature"), a.alias("other"), F.col("r").alias("correlation"))
+    both = F.when(F.col("i") == F.col("j"), F.array(one_way)).otherwise(F.array(one_way, other_way))
+    return summed.withColumn("r", value).select(F.inline(both))
 
 
 def average_ranks(rows: DataFrame, column: str) -> DataFrame:

@@ -20,8 +20,9 @@ MAX, MIN = "MAX", "MIN"
 RESULT_SCHEMA = (
     "trial_id long, trial_key string, params map<string,string>, outputs map<string,string>, metric double"
 )
-# Aggregates of one data scan; more trials take further scans.
-_TRIALS_PER_SCAN = 128
+# Aggregates of one data scan; more trials take further scans. With many more, the generated code of a
+# scan becomes too large for the JVM to compile well, which costs more than reading again.
+_TRIALS_PER_SCAN = 32
 
 
 def check_direction(direction: str) -> str:
@@ -200,7 +201,7 @@ def evaluate(
 def score_over(data: DataFrame, trials: DataFrame, metric: Callable[[dict[str, Column]], Column]) -> DataFrame:
     """Data-parallel evaluation: ``metric`` turns parameter literals into an aggregate over ``data``.
 
-    All trials are aggregates of the same scan, so the data is read once per 128 trials, no row is
+    All trials are aggregates of the same scan, so the data is read once per 32 trials, no row is
     copied per trial, and only one row per task is shuffled. The trial list, which its caller made
     from parameter lists, is read by the driver in parts.
     """

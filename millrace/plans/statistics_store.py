@@ -84,7 +84,8 @@ class StatisticsStore:
         self._write("settings", entity, self.spark.createDataFrame([(json.dumps(settings),)], _SCHEMAS["settings"]))
         if not columns:
             return
-        pearson = feature_correlation and corr_method == "pearson"
+        # A few correlations ride along with the measures; more are a job of their own.
+        pearson = feature_correlation and corr_method == "pearson" and S.few_pairs(columns)
         limits = None
         if descriptive_statistics or pearson:
             # One scan serves measures and correlations; its single row is small and used three times.

@@ -8,19 +8,40 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import strip_scheme
 
 
-def list_files(spark: SparkSession, path: str, recursive: bool = False, pattern: str | None = None) -> DataFrame:
+def _plain_path(path):
+    """Paths as the file system prints them: not URL-encoded, local ones with a single slash."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _all_paths(frame: DataFrame) -> DataFrame:
+    """Paths of all files of a frame, as its file index on the driver has them."""
+    paths = frame.sparkSession.createDataFrame([(p,) for p in frame.inputFiles()], "value string")
+    decoded = F.url_decode(F.replace(F.col("value"), F.lit("+"), F.lit("%2B")))
+    return paths.select(_plain_path(decoded).alias("path"))
+
+
+def list_files(
+    spark: SparkSession, path: str, recursive: bool = False, pattern: str | None = None, include_empty: bool = True
+) -> DataFrame:
     """Files as (path, name, length, modified). Contents are not read.
 
-    ``pattern`` is a glob over file names.
+    ``pattern`` is a glob over file names. Scans leave out empty files; ``include_empty`` adds them
+    with length 0 and no modification time, from the file index that the driver holds anyway.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(
+    frame = reader.load(path)
+    known = frame.select(
+        _plain_path(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified")
+    )
+    if include_empty:
+        known = _all_paths(frame).join(known, "path", "left")
+    return known.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
-        "length",
-        F.col("modificationTime").alias("modified"),
+        F.coalesce("length", F.lit(0).cast("long")).alias("length"),
+        "modified",
     )
 
 
@@ -30,7 +51,7 @@ def total_size(files: DataFrame) -> DataFrame:
 
 def relative_to(files: DataFrame, root: str) -> DataFrame:
     """Listing with ``relative`` paths below the root."""
-    plain = strip_scheme(F.regexp_replace("path", "^file:/+", "/"))
+    plain = strip_scheme(F.regexp_replace("path", "^file:/", "/"))
     base = root.split("://", 1)[-1].rstrip("/")
     return files.withColumn("relative", F.regexp_replace(plain, f"^.*?\\Q{base}\\E/", ""))
 

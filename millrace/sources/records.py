@@ -230,16 +230,12 @@ def _crc_table() -> np.ndarray:
 _CRC = _crc_table()
 
 
-def crc32c(payloads: list[bytes]) -> np.ndarray:
-    """CRC-32C of many byte strings at once: one step per byte position over all that reach it."""
-    lengths = np.array([len(p) for p in payloads], dtype=np.int64)
+def _crc_of_slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """CRC-32C of many slices of a buffer: one step per byte position over all that reach it."""
     order = np.argsort(-lengths, kind="stable")
-    starts = np.zeros(len(payloads), dtype=np.int64)
-    np.cumsum(lengths[:-1], out=starts[1:])
-    data = np.frombuffer(b"".join(payloads), dtype=np.uint8)
     starts, ordered = starts[order], lengths[order]
-    state = np.full(len(payloads), 0xFFFFFFFF, dtype=np.uint32)
-    active, position = len(payloads), 0
+    state = np.full(len(starts), 0xFFFFFFFF, dtype=np.uint32)
+    active, position = len(starts), 0
     while active:
         while active and ordered[active - 1] <= position:
             active -= 1
@@ -249,32 +245,26 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
         state[:active] = _CRC[step] ^ (state[:active] >> 8)
         position += 1
     table = _CRC.tolist() if active else ()
-    for i in range(active):  # a few long strings are left
+    for i in range(active):  # a few long slices are left
         value = int(state[i])
         for byte in data[starts[i] + position:starts[i] + ordered[i]].tobytes():
             value = table[(value ^ byte) & 0xFF] ^ (value >> 8)
         state[i] = value
-    result = np.empty(len(payloads), dtype=np.uint32)
+    result = np.empty(len(starts), dtype=np.uint32)
     result[order] = state ^ np.uint32(0xFFFFFFFF)
     return result
 
 
+def crc32c(payloads: list[bytes]) -> np.ndarray:
+    lengths = np.array([len(p) for p in payloads], dtype=np.int64)
+    return _crc_of_slices(np.frombuffer(b"".join(payloads), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths)
+
+
 def _masked(crc: np.ndarray) -> np.ndarray:
     rotated = (crc >> np.uint32(15)) | (crc << np.uint32(17))
     return (rotated.astype(np.uint64) + CRC_MASK_DELTA).astype(np.uint32)
 
 
-def frame_records(payloads: list[bytes]) -> bytes:
-    """Length, its checksum, payload, its checksum for each record."""
-    headers = [struct.pack("<Q", len(p)) for p in payloads]
-    head, body = _masked(crc32c(headers)).tolist(), _masked(crc32c(payloads)).tolist()
-    pack = struct.Struct("<I").pack
-    parts = []
-    for header, h, payload, b in zip(headers, head, payloads, body):
-        parts += (header, pack(h), payload, pack(b))
-    return b"".join(parts)
-
-
 def _varint(value: int) -> bytes:
     value &= (1 << 64) - 1
     out = bytearray()
@@ -298,49 +288,92 @@ def _feature(kind: str, values: list) -> bytes:
     return _field(BYTES_LIST, b"".join(_field(1, t) for t in texts))
 
 
-def _scalar_entries(name: bytes, kind: str, column: pa.Array) -> list[bytes]:
-    """Map entries of a scalar column.
-
-    Around a number of known size all tags and lengths are the same, so they are built once per
-    size and only the number changes from row to row.
-    """
-    label = _field(1, name)
-
-    def around(size: int) -> bytes:
-        number = FLOAT_LIST if kind == RECORD_FLOAT else INT_LIST
-        blank = _field(1, label + _field(2, _field(number, _field(1, bytes(size)))))
-        return blank[:-size]
-
+def _payloads(column: pa.Array, kind: str, is_array: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes that follow the last length of each row's entry: (buffer, starts, sizes); null has size -1."""
+    n = len(column)
+    if is_array or kind not in (RECORD_FLOAT, RECORD_INT):
+        if is_array:
+            packed = {RECORD_FLOAT: lambda v: struct.pack(f"<{len(v)}f", *v),
+                      RECORD_INT: lambda v: b"".join(map(_varint, v))}.get(
+                kind, lambda v: b"".join(_field(1, t.encode() if isinstance(t, str) else t) for t in v))
+            rows = [None if v is None else packed(v) for v in column.to_pylist()]
+        else:
+            rows = [v.encode() if isinstance(v, str) else v for v in column.to_pylist()]
+        sizes = np.array([-1 if r is None else len(r) for r in rows], dtype=np.int64)
+        buffer = np.frombuffer(b"".join(r for r in rows if r), dtype=np.uint8)
+        used = np.maximum(sizes, 0)
+        return buffer, np.cumsum(used) - used, sizes
+    if kind == RECORD_FLOAT:
+        values = column.fill_null(0).to_numpy(zero_copy_only=False).astype("<f4")
+        buffer, starts, sizes = values.view(np.uint8), np.arange(n) * 4, np.full(n, 4)
+    else:
+        values = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        shifts = np.arange(10, dtype=np.uint64) * np.uint64(7)
+        groups = values[:, None] >> shifts
+        sizes = np.maximum((groups > 0).sum(axis=1), 1)
+        more = np.arange(10) < (sizes - 1)[:, None]
+        buffer = ((groups & np.uint64(0x7F)).astype(np.uint8) | np.where(more, 0x80, 0).astype(np.uint8)).ravel()
+        starts = np.arange(n) * 10
+    return buffer, starts, np.where(column.is_valid().to_numpy(zero_copy_only=False), sizes, -1)
+
+
+def _around(name: bytes, kind: str, is_array: bool, size: int) -> bytes:
+    """Tags and lengths in front of a payload of that size."""
     if kind == RECORD_FLOAT:
-        raw = column.fill_null(0).to_numpy(zero_copy_only=False).astype("<f4").tobytes()
-        head = around(4)
-        entries = [head + raw[i:i + 4] for i in range(0, len(raw), 4)]
+        feature = _field(FLOAT_LIST, _field(1, bytes(size)))
     elif kind == RECORD_INT:
-        heads = {size: around(size) for size in range(1, 11)}
-        entries = []
-        for value in column.fill_null(0).to_pylist():
-            number = _varint(value)
-            entries.append(heads[len(number)] + number)
+        feature = _field(INT_LIST, _field(1, bytes(size)))
     else:
-        entries = [_field(1, label + _field(2, _feature(kind, [v]))) for v in column.fill_null("" if
-                   pa.types.is_string(column.type) else b"").to_pylist()]
-    if column.null_count:
-        entries = [e if valid else b"" for e, valid in zip(entries, column.is_valid().to_pylist())]
-    return entries
+        feature = _field(BYTES_LIST, bytes(size) if is_array else _field(1, bytes(size)))
+    entry = _field(1, _field(1, name) + _field(2, feature))
+    return entry[:len(entry) - size]
 
 
-def encode_examples(batch: pa.RecordBatch, kinds: list[tuple[str, str, bool]]) -> list[bytes]:
-    """Example messages of a batch. A null leaves its feature out."""
-    columns = []
-    for column, (name, kind, is_array) in zip(batch.columns, kinds):
-        if is_array:
-            label = _field(1, name.encode())
-            columns.append([
-                b"" if v is None else _field(1, label + _field(2, _feature(kind, v))) for v in column.to_pylist()
-            ])
-        else:
-            columns.append(_scalar_entries(name.encode(), kind, column))
-    return [_field(1, b"".join(entries)) for entries in zip(*columns)]
+def encode_records(batch: pa.RecordBatch, kinds: list[tuple[str, str, bool]]) -> bytes:
+    """A batch as framed Example messages. A null leaves its feature out.
+
+    Rows whose values have the same sizes share all tags and lengths: the bytes around the values
+    are built once per such group and the values are copied in as arrays.
+    """
+    n = batch.num_rows
+    if n == 0:
+        return b""
+    columns = [_payloads(c, kind, is_array) for c, (_, kind, is_array) in zip(batch.columns, kinds)]
+    shapes, group_of = np.unique(np.column_stack([sizes for _, _, sizes in columns]), axis=0, return_inverse=True)
+    group_of = group_of.ravel()
+    layouts = []
+    for shape in shapes.tolist():
+        body, spots = b"", []
+        for k, (size, (name, kind, is_array)) in enumerate(zip(shape, kinds)):
+            if size >= 0:
+                body += _around(name.encode(), kind, is_array, size)
+                spots.append((k, len(body), size))
+                body += bytes(size)
+        head = _field(1, body)
+        shift = len(head) - len(body)
+        layouts.append((np.frombuffer(head, dtype=np.uint8), [(k, at + shift, size) for k, at, size in spots]))
+    lengths = np.array([len(body) for body, _ in layouts], dtype=np.int64)[group_of]
+    starts = np.cumsum(lengths + 16) - (lengths + 16)
+    out = np.zeros(int(starts[-1] + lengths[-1] + 16), dtype=np.uint8)
+    order = np.argsort(group_of, kind="stable")
+    edges = np.searchsorted(group_of[order], np.arange(len(layouts) + 1))
+    for g, (body, spots) in enumerate(layouts):
+        rows = order[edges[g]:edges[g + 1]]
+        block = np.tile(body, (len(rows), 1))
+        for k, at, size in spots:
+            buffer, begin, _ = columns[k]
+            if size:
+                block[:, at:at + size] = buffer[begin[rows][:, None] + np.arange(size)]
+        out[(starts[rows] + 12)[:, None] + np.arange(len(body))] = block
+
+    def put(offset, values):
+        raw = np.ascontiguousarray(values).view(np.uint8).reshape(n, -1)
+        out[(starts + offset)[:, None] + np.arange(raw.shape[1])] = raw
+
+    put(0, lengths.astype("<u8"))
+    put(8, _masked(_crc_of_slices(out, starts, np.full(n, 8))).astype("<u4"))
+    put(lengths + 12, _masked(_crc_of_slices(out, starts + 12, lengths)).astype("<u4"))
+    return out.tobytes()
 
 
 class RecordWriter(FileWriter):
@@ -351,7 +384,7 @@ class RecordWriter(FileWriter):
         held, size = [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, _BATCH_ROWS):
-                framed = frame_records(encode_examples(batch.slice(start, _BATCH_ROWS), kinds))
+                framed = encode_records(batch.slice(start, _BATCH_ROWS), kinds)
                 held.append(framed)
                 size += len(framed)
                 if size >= _FILE_BYTES:
@@ -496,22 +529,109 @@ def decode_example(message: bytes) -> dict[str, list]:
     return row
 
 
-def split_records(data) -> list:
-    """Payloads of a record file, checksums verified."""
-    view, at, headers, bodies, sums = memoryview(data), 0, [], [], []
-    while at < len(view):
-        length = int.from_bytes(view[at:at + 8], "little")
-        headers.append(bytes(view[at:at + 8]))
-        bodies.append(bytes(view[at + 12:at + 12 + length]))
-        sums.append((int.from_bytes(view[at + 8:at + 12], "little"),
-                     int.from_bytes(view[at + 12 + length:at + 16 + length], "little")))
+def record_slices(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the payloads of a record file, checksums verified."""
+    raw, at, starts, lengths = data.tobytes(), 0, [], []
+    while at < len(raw):
+        length = int.from_bytes(raw[at:at + 8], "little")
+        starts.append(at + 12)
+        lengths.append(length)
         at += 16 + length
-    for start in range(0, len(bodies), _BATCH_ROWS):
-        part = slice(start, start + _BATCH_ROWS)
-        found = zip(_masked(crc32c(headers[part])).tolist(), _masked(crc32c(bodies[part])).tolist())
-        if list(found) != sums[part]:
+    begin, size = np.array(starts, dtype=np.int64), np.array(lengths, dtype=np.int64)
+
+    def stored(offsets):
+        return data[offsets[:, None] + np.arange(4)].view("<u4").ravel()
+
+    for first in range(0, len(begin), _BATCH_ROWS):
+        b, s = begin[first:first + _BATCH_ROWS], size[first:first + _BATCH_ROWS]
+        heads = _masked(_crc_of_slices(data, b - 12, np.full(len(b), 8)))
+        if at != len(raw) or (heads != stored(b - 4)).any() or (
+            _masked(_crc_of_slices(data, b, s)) != stored(b + s)
+        ).any():
             raise ValueError("a record file is damaged: a checksum does not match")
-    return bodies
+    return begin, size
+
+
+def _layout(message: bytes, kinds) -> list[tuple[int, int]] | None:
+    """(start, size) of the payload of each wanted scalar in a message, when all of them are plain.
+
+    Found by decoding the message twice: once as it is, and by locating each value's only possible
+    place, the end of its entry. Messages with other features or shapes give None.
+    """
+    found, at = {}, 0
+    try:
+        _, at = _read_varint(message, 1)
+        while at < len(message):
+            size, at = _read_varint(message, at + 1)
+            stop = at + size
+            key_size, at = _read_varint(message, at + 1)
+            name = message[at:at + key_size].decode()
+            at += key_size
+            for _ in range(3):  # feature, list, packed values or text
+                size, at = _read_varint(message, at + 1)
+            if at + size != stop:
+                return None
+            found[name] = (at, size)
+            at = stop
+        places = [found.get(name) for name, _, _ in kinds]
+        rebuilt = b""
+        for name in found:
+            kind = next(k for n, k, _ in kinds if n == name)
+            start, size = found[name]
+            rebuilt += _around(name.encode(), kind, False, size) + message[start:start + size]
+        return places if _field(1, rebuilt) == message else None
+    except (IndexError, StopIteration, UnicodeDecodeError):
+        return None
+
+
+def decode_records(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, kinds, types) -> list[pa.Array]:
+    """Columns of a batch of messages.
+
+    Messages that agree in all bytes but those of the values are decoded together as arrays; the
+    few that agree with no other, and all messages with array features, one by one.
+    """
+    n = len(starts)
+    columns: list[list] = [[None] * n for _ in kinds]
+    left = np.arange(n)
+    tries = 0 if any(is_array for _, _, is_array in kinds) else 64
+    while len(left) and tries:
+        tries -= 1
+        start, length = starts[left[0]], lengths[left[0]]
+        message = data[start:start + length].tobytes()
+        places = _layout(message, kinds)
+        if places is None:
+            break
+        same = left[lengths[left] == length]
+        block = data[starts[same][:, None] + np.arange(length)]
+        fixed = np.ones(length, dtype=np.uint8) * 0xFF
+        for place, (_, kind, _) in zip(places, kinds):
+            if place:
+                # Of integers the continuation bits belong to the layout.
+                fixed[place[0]:place[0] + place[1]] = 0x80 if kind == RECORD_INT else 0
+        alike = ((block ^ np.frombuffer(message, dtype=np.uint8)) & fixed == 0).all(axis=1)
+        rows, block = same[alike].tolist(), block[alike]
+        for column, place, (_, kind, _) in zip(columns, places, kinds):
+            if place is None:
+                continue
+            part = np.ascontiguousarray(block[:, place[0]:place[0] + place[1]])
+            if kind == RECORD_FLOAT:
+                values = part.view("<f4")[:, 0].tolist() if place[1] else [None] * len(rows)
+            elif kind == RECORD_INT:
+                shifts = np.arange(place[1], dtype=np.uint64) * np.uint64(7)
+                whole = ((part & 0x7F).astype(np.uint64) << shifts).sum(axis=1, dtype=np.uint64)
+                values = whole.view(np.int64).tolist()
+            else:
+                raw, size = part.tobytes(), place[1]
+                values = [raw[i * size:(i + 1) * size] for i in range(len(rows))]
+            for row, value in zip(rows, values):
+                column[row] = value
+        left = np.setdiff1d(left, same[alike], assume_unique=True)
+    for row in left.tolist():
+        features = decode_example(data[starts[row]:starts[row] + lengths[row]].tobytes())
+        for column, (name, _, is_array) in zip(columns, kinds):
+            values = features.get(name)
+            column[row] = values if is_array else (values[0] if values else None)
+    return [pa.array(c, type=t) for c, t in zip(columns, types)]
 
 
 def read_tfrecord(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -531,13 +651,12 @@ def read_tfrecord(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     def decode(batches):
         for batch in batches:
             for content in batch.column(0):
-                records = split_records(content.as_buffer())
-                for start in range(0, len(records), _BATCH_ROWS):
-                    rows = [decode_example(r) for r in records[start:start + _BATCH_ROWS]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([(r.get(n) if a else (r[n][0] if r.get(n) else None)) for r in rows], type=t.type)
-                        for (n, _, a), t in zip(kinds, target)
-                    ], schema=target)
+                data = np.frombuffer(content.as_buffer(), dtype=np.uint8)
+                starts, lengths = record_slices(data)
+                for first in range(0, len(starts), _BATCH_ROWS):
+                    part = slice(first, first + _BATCH_ROWS)
+                    arrays = decode_records(data, starts[part], lengths[part], kinds, target.types)
+                    yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tfrecord*").load(path)
     decoded = files.select("content").mapInArrow(decode, flat)

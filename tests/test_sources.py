@@ -161,12 +161,30 @@ def test_records_in_any_field_order():
     entry = records._field(2, feature) + records._field(1, b"x")  # value before key
     message = records._field(1, records._field(1, entry))
     assert records.decode_example(message) == {"x": [1.0]}
-    batch = pa.RecordBatch.from_pydict({"x": [1.5, None], "y": [300, -1]})
-    kinds = [("x", "float32", False), ("y", "int64", False)]
-    messages = records.encode_examples(batch, kinds)
-    for m in messages:
-        assert records.decode_example(m) == records._decode_any(m)
-    assert [records.decode_example(m) for m in messages] == [{"x": [1.5], "y": [300]}, {"y": [-1]}]
+
+
+def test_records_decode_alike_in_groups_and_one_by_one():
+    rng = np.random.default_rng(1)
+    n = 3000
+    rows = {
+        "x": [None if i % 7 == 0 else float(i) / 8 for i in range(n)],
+        "y": [int(v) for v in rng.integers(-5, 1 << 40, n)],
+        "s": [None if i % 11 == 0 else "t" * (i % 5) + "é" for i in range(n)],
+        "b": [bytes([i % 256]) * (i % 90) for i in range(n)],
+    }
+    batch = pa.RecordBatch.from_pydict(rows)
+    kinds = [("x", "float32", False), ("y", "int64", False), ("s", "string", False), ("b", "string", False)]
+    data = np.frombuffer(records.encode_records(batch, kinds), dtype=np.uint8)
+    starts, lengths = records.record_slices(data)
+    assert len(starts) == n
+    types = [pa.float32(), pa.int64(), pa.binary(), pa.binary()]
+    together = [a.to_pylist() for a in records.decode_records(data, starts, lengths, kinds, types)]
+    assert together[:2] == [rows["x"], rows["y"]] and together[3] == rows["b"]
+    assert [None if v is None else v.decode() for v in together[2]] == rows["s"]
+    for i in (0, 1, 7, 11, 2999):
+        alone = records.decode_example(data[starts[i]:starts[i] + lengths[i]].tobytes())
+        assert alone.get("y") == [rows["y"][i]] and alone.get("x") == (None if rows["x"][i] is None else [rows["x"][i]])
+    assert records.encode_records(batch.slice(0, 0), kinds) == b""
 
 
 def test_listings(spark, folder):

@@ -44,15 +44,35 @@ def test_histogram_edges(spark):
 
 def test_correlations_against_pandas(spark):
     rng = np.random.default_rng(3)
-    pdf = pd.DataFrame(rng.normal(size=(400, 4)), columns=list("abcd"))
+    pdf = pd.DataFrame(rng.normal(size=(400, 6)), columns=list("abcdef"))
     pdf["d"] = (pdf["a"] * 2 + pdf["d"]).round(1)
-    df = spark.createDataFrame(pdf)
-    for method in ("pearson", "spearman"):
-        wanted = pdf.corr(method=method)
-        rows = S.correlation_matrix(df, method=method).collect()
-        assert len(rows) == 16
+    pdf["e"] = pdf["e"] + 1e9
+    df = spark.createDataFrame(pdf).repartition(3)
+    for names, method in ((list("abcd"), "pearson"), (list("abcdef"), "pearson"), (list("abcd"), "spearman")):
+        wanted = pdf[names].corr(method=method)
+        rows = S.correlation_matrix(df, names, method).collect()
+        assert len(rows) == len(names) ** 2
         for r in rows:
-            assert r.correlation == pytest.approx(wanted.loc[r.feature, r.other], abs=1e-9)
+            assert r.correlation == pytest.approx(wanted.loc[r.feature, r.other], abs=1e-6)
+
+
+def test_matrix_products_leave_out_nulls(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(300, 6)), columns=list("abcdef"))
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.2)
+    pdf["f"] = 3.0
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(4)
+    wanted = pdf.corr()
+    found = {(r.feature, r.other): r.correlation for r in S.correlation_matrix(df).collect()}
+    assert len(found) == 36
+    for (a, b), value in found.items():
+        if a == b:
+            assert value == 1.0
+        elif "f" in (a, b):
+            assert value is None
+        else:
+            assert value == pytest.approx(wanted.loc[a, b], abs=1e-9)
 
 
 def test_ranks_of_a_hot_value(spark):
