@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,13 +155,19 @@ class FeatureStore:
             raise ValueError(f"not columns of the data: {unknown}")
         if check_primary_key and primary_key and not primary_key_violations(df, primary_key).isEmpty():
             raise ValueError(f"primary key {list(primary_key)} is null or repeated in the data")
-        writer = df.write.format(data_format)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
         if buckets:
             if not primary_key:
                 raise ValueError("buckets need a primary key")
-            writer = writer.bucketBy(buckets, *primary_key).sortBy(*primary_key)
+            # One task per bucket, and so one file.
+            writer = df.repartition(buckets, *primary_key).write.bucketBy(buckets, *primary_key).sortBy(*primary_key)
+        elif partition_by:
+            # Rows of a partition come together, but a large partition still gets several tasks.
+            writer = df.hint("rebalance", *partition_by).write
+        else:
+            writer = df.write
+        writer = writer.format(data_format)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         store = featurestore or self.database
         table = self.table_name(name, featuregroup_version, store)
         self._write_and_swap(writer, store, f"{name}_{featuregroup_version}")
@@ -236,15 +243,16 @@ class FeatureStore:
         if mode == "append":
             rows.write.insertInto(table)
             return
-        stored_at = set(present.inputFiles())
-        if stored_at & set(df.inputFiles()):
-            # An overwrite may not read its own table: stage the rows first.
+        try:
+            rows.write.insertInto(table, overwrite=True)
+        except AnalysisException as error:
+            if "UNSUPPORTED_OVERWRITE" not in (error.getCondition() or ""):
+                raise
+            # The rows come from the table itself: stage them first.
             staged = quoted(store, f"{_HIDDEN}stage_{uuid.uuid4().hex}")
             rows.write.saveAsTable(staged)
             self.spark.table(staged).write.insertInto(table, overwrite=True)
             self.spark.sql(f"DROP TABLE {staged}")
-        else:
-            rows.write.insertInto(table, overwrite=True)
 
     def drop_featuregroup(self, name: str, featuregroup_version: int = 1) -> None:
         table = self.table_name(name, featuregroup_version)

@@ -54,11 +54,12 @@ def fg_features_nway(spark, sf_dir):
 def fg_features_bucketed(spark, sf_dir):
     """Groups bucketed by their key: the join itself shuffles nothing."""
     store = new_store(spark)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, rows in (
         ("customer", table(spark, sf_dir, "customer")),
         ("spend", spark.sql(SPEND.format(orders=source(sf_dir, "orders")))),
     ):
-        store.create_featuregroup(rows, name, primary_key=["c_custkey"], buckets=8, **NO_STATS)
+        store.create_featuregroup(rows, name, primary_key=["c_custkey"], buckets=buckets, **NO_STATS)
     return store.get_features(["c_custkey", "c_acctbal", "order_count"], join_key="c_custkey")
 
 

@@ -138,9 +138,11 @@ def read_binary_records(spark: SparkSession, path: str, fields: Sequence[tuple[s
             raise ValueError(f"field {name} has a type that Spark lacks: {layout[name]}")
         columns.append((name, spark_types.get(kind, "binary" if kind[0] == "V" else "string")))
     schema = ", ".join(f"`{n}` {t}" for n, t in columns)
-    records = spark.createDataFrame(
-        spark.sparkContext.binaryRecords(path, layout.itemsize).map(lambda r: (bytearray(r),)), "record binary"
-    )
+    # The splits stay in the JVM until whole Arrow batches of records go to the decoder.
+    context = spark.sparkContext
+    pieces = context._jsc.sc().binaryRecords(path, layout.itemsize, context._jsc.hadoopConfiguration())
+    encoder = context._jvm.org.apache.spark.sql.Encoders.BINARY()
+    records = DataFrame(spark._jsparkSession.createDataset(pieces, encoder).toDF(), spark)
 
     def decode(batches):
         import pyarrow as pa
