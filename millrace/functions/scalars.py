@@ -15,6 +15,7 @@ NAME_PATTERN = "^[a-zA-Z0-9]+$"
 NAME_MAX_LENGTH = 256
 # Time stamps in metadata records.
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+ISO_ZONED_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 # Scheme and authority in front of a path.
 SCHEME_PATTERN = "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*"
 # jdbc:redshift://<cluster>.<id>.<region>.<rest>/<database>?user=<user>
@@ -120,7 +121,7 @@ def is_valid_name(name: str | Column) -> Column:
 
 
 def iso_timestamp(text: str | Column) -> Column:
-    return F.to_timestamp(_col(text), ISO_FORMAT)
+    return F.to_timestamp(_col(text), ISO_ZONED_FORMAT)
 
 
 # Connectors -------------------------------------------------------------------------------------

@@ -109,7 +109,8 @@ class Experiments:
     def run_path(self, run_id: str) -> str:
         return f"{self.root}/runs/run_id={run_id}"
 
-    def _store(self, run_id: str, results: DataFrame) -> DataFrame:
+    def store_results(self, run_id: str, results: DataFrame) -> DataFrame:
+        """Write the trials of a run and read them back, so that nothing is computed again."""
         target = f"{self.run_path(run_id)}/trials"
         results.write.mode("overwrite").json(target)
         return self.spark.read.schema(T.RESULT_SCHEMA).json(target)
@@ -118,7 +119,7 @@ class Experiments:
         direction = check_direction(direction)
 
         def body(run_id):
-            stored = self._store(run_id, T.evaluate(trials, train_fn, optimization_key, True, count))
+            stored = self.store_results(run_id, T.evaluate(trials, train_fn, optimization_key, True, count))
             best = T.best_trial(stored, direction).first()
             if best is None:
                 raise ValueError("no trial returned a number to compare")
@@ -138,7 +139,7 @@ class Experiments:
         count = len(next(iter(args_dict.values()))) if args_dict else 1
 
         def body(run_id):
-            stored = self._store(run_id, T.evaluate(trials, train_fn, None, False, count))
+            stored = self.store_results(run_id, T.evaluate(trials, train_fn, None, False, count))
             if count != 1:
                 return (self.run_path(run_id), None), None, None
             outputs = {k: _parsed(v) for k, v in (stored.first().outputs or {}).items()}
@@ -179,7 +180,7 @@ class Experiments:
                 self.spark, lambda trials: T.evaluate(trials, train_fn, optimization_key, True, population), boundary_dict,
                 self.run_path(run_id), direction, generations, population, mutation, crossover, seed,
             )
-            stored = self._store(run_id, numbered(found.history))
+            stored = self.store_results(run_id, numbered(found.history))
             best = T.best_trial(stored, direction).first()
             params = {k: _parsed(v) for k, v in best.params.items()}
             outputs = {k: _parsed(v) for k, v in best.outputs.items()}

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.types import primary_key_violations
+from millrace.operators.upsert import upsert
 from millrace.plans.statistics_store import StatisticsStore
 from millrace.plans.training_datasets import TrainingDatasets
 from millrace.session import shared_dir
@@ -254,6 +255,22 @@ class FeatureStore:
             self.spark.table(staged).write.insertInto(table, overwrite=True)
             self.spark.sql(f"DROP TABLE {staged}")
 
+    def upsert_into_featuregroup(
+        self, df, name: str, featuregroup_version: int = 1, key: Sequence[str] | None = None, order: str | None = None
+    ) -> None:
+        """Replace the rows of changed keys and add new ones, as an online copy does.
+
+        The key is the declared primary key. With ``order`` the newest of several changes of a key
+        counts, otherwise keys must not repeat. Fits ``foreachBatch`` of a stream of changes.
+        """
+        df = as_spark(self.spark, df)
+        table = self.table_name(name, featuregroup_version)
+        keys = list(key or filter(None, self._properties(table).get(_PRIMARY, "").split(",")))
+        if not keys:
+            raise ValueError(f"feature group {name}_{featuregroup_version} has no primary key")
+        merged = upsert(self.spark.table(table), df, keys, order)
+        self.insert_into_featuregroup(merged, name, featuregroup_version=featuregroup_version, mode="overwrite")
+
     def drop_featuregroup(self, name: str, featuregroup_version: int = 1) -> None:
         table = self.table_name(name, featuregroup_version)
         if self.spark.catalog.tableExists(table):

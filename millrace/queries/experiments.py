@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import trial_key
 from millrace.operators import evolution as E
 from millrace.operators import trials as T
-from millrace.plans.experiments import latest_status, run_summary
+from millrace.plans.experiments import Experiments, latest_status, run_summary
 from millrace.queries.common import table
 from millrace.session import fresh_dir
 
@@ -15,15 +15,22 @@ _DISCOUNTS = [0.0, 0.02, 0.04, 0.06, 0.08]
 _QUANTITIES = [5.0, 15.0, 25.0, 35.0, 45.0]
 
 
-def _discounted(p):
-    """Cents of discount on lines that pass both thresholds; whole numbers add up exactly."""
+def _lines(spark, sf_dir):
+    """Lines with their price in cents: whole numbers add up exactly."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_discount", "l_quantity", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents")
+    )
+
+
+def _price(p):
+    """Cents of the lines that pass both thresholds."""
     passed = (F.col("l_discount") >= p["discount"]) & (F.col("l_quantity") < p["quantity"])
-    return F.sum(F.when(passed, F.round(F.col("l_extendedprice") * 100).cast("long")).otherwise(F.lit(0)))
+    return F.sum(F.when(passed, F.col("cents")).otherwise(F.lit(0)))
 
 
 def _scored_grid(spark, sf_dir):
     grid = T.grid(spark, {"discount": _DISCOUNTS, "quantity": _QUANTITIES})
-    return T.score_over(table(spark, sf_dir, "lineitem"), grid, _discounted)
+    return T.score_over(_lines(spark, sf_dir), grid, _price)
 
 
 def trials_objective(spark, sf_dir):
@@ -79,7 +86,7 @@ def trials_zip(spark, sf_dir):
 
 def trials_random(spark, sf_dir):
     trials = T.random_samples(spark, {"discount": [0.0, 0.1], "quantity": [1, 50]}, samples=20, seed=7)
-    return T.score_over(table(spark, sf_dir, "lineitem"), trials, _discounted).select("trial_id", "trial_key", "metric")
+    return T.score_over(_lines(spark, sf_dir), trials, _price).select("trial_id", "trial_key", "metric")
 
 
 def trials_dedup(spark, sf_dir):
@@ -191,6 +198,18 @@ def experiment_status(spark, sf_dir):
     return latest_status(statuses)
 
 
+def experiment_results(spark, sf_dir):
+    """Trials of two runs, stored below their run folders and read back together."""
+    runs = Experiments(spark, fresh_dir(spark, "experiments"), "app")
+    trials = _order_trials(spark, sf_dir).drop("generation")
+    for state in ("F", "O"):
+        orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == state)
+        runs.store_results(f"app_{state}", trials.join(orders, F.col("trial_id") == F.col("o_orderkey"), "left_semi"))
+    return runs.results().select(
+        "run_id", "trial_id", F.col("params")["priority"].alias("priority"), "metric"
+    )
+
+
 def run_summaries(spark, sf_dir):
     return run_summary(_order_trials(spark, sf_dir).withColumn(
         "outputs", F.create_map(F.lit("cents"), F.round(F.col("metric") * 100).cast("long").cast("string"))
@@ -216,6 +235,7 @@ QUERIES = {
     "de_search": de_search,
     "de_generation": de_generation,
     "experiment_status": experiment_status,
+    "experiment_results": experiment_results,
     "run_summaries": run_summaries,
 }
 
@@ -298,6 +318,10 @@ SQL = {
         "SELECT user_id AS run_id, upper(event_type) AS state, value AS metric, event_id AS seq FROM events "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
     ),
+    "experiment_results": (
+        "SELECT 'app_' || o_orderstatus AS run_id, o_orderkey AS trial_id, o_orderpriority AS priority, "
+        "o_totalprice AS metric FROM orders WHERE o_orderstatus IN ('F', 'O')"
+    ),
     "run_summaries": (
         "SELECT o_orderkey AS trial_id, '{\"priority\":\"' || o_orderpriority || '\"}' AS parameters, "
         "'{\"cents\":\"' || CAST(round(o_totalprice * 100) AS BIGINT) || '\"}' AS outputs FROM orders"

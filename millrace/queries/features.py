@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.types import primary_key_violations, record_schema
-from millrace.operators.upsert import upsert
 from millrace.queries.common import NO_STATS, SPEND, URGENT, customer_store, new_store, source, table
 
 
@@ -179,7 +178,9 @@ def fg_online_upsert(spark, sf_dir):
     changes = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).select("c_custkey", "c_name", "c_nationkey", F.col("o_totalprice").alias("c_acctbal"), "c_mktsegment", "o_orderkey")
-    return upsert(table(spark, sf_dir, "customer"), changes, ["c_custkey"], order="o_orderkey")
+    store = _cached(spark, sf_dir, "customer", primary_key=["c_custkey"])
+    store.upsert_into_featuregroup(changes, "customer", order="o_orderkey")
+    return store.get_featuregroup("customer")
 
 
 def fg_primary_key_check(spark, sf_dir):

@@ -12,7 +12,8 @@ def _requests(spark, sf_dir):
     """The events file as a stream of requests."""
     schema = table(spark, sf_dir, "events").schema
     stream = L.file_stream(spark, sf_dir, schema, pattern="events.parquet")
-    return stream.withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    in_utc = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    return stream.withColumn("ms", F.unix_millis(in_utc))
 
 
 def _events(spark, sf_dir):

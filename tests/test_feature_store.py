@@ -165,6 +165,24 @@ def test_group_replaced_by_its_own_rows(filled):
     assert filled.get_featuregroup("teams_features").count() == 25
 
 
+def test_upsert_from_a_stream(spark, store, folder, teams):
+    store.create_featuregroup(teams, "online", primary_key=["team_id"], **NO_STATS)
+    changes = spark.range(0, 6).select(
+        (F.col("id") * 1000.0).alias("team_budget"), (F.col("id") % 3 + 49).cast("int").alias("team_id"),
+        F.lit(1).alias("team_position"), F.col("id").alias("seq"),
+    )
+    changes.write.parquet(folder)
+    query = spark.readStream.schema(changes.schema).parquet(folder).writeStream.foreachBatch(
+        lambda batch, _: store.upsert_into_featuregroup(batch, "online", order="seq")
+    ).option("checkpointLocation", f"{folder}-checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    rows = {r.team_id: r.team_budget for r in store.get_featuregroup("online").collect()}
+    assert len(rows) == 51 and (rows[49], rows[50], rows[51]) == (3000.0, 4000.0, 5000.0)
+    store.create_featuregroup(teams, "keyless", **NO_STATS)
+    with pytest.raises(ValueError, match="no primary key"):
+        store.upsert_into_featuregroup(teams, "keyless")
+
+
 def test_result_types(filled):
     assert isinstance(filled.get_featuregroup("teams_features", dataframe_type="pandas"), pd.DataFrame)
     array = filled.get_features(["team_budget", "average_attendance"], dataframe_type="numpy")

@@ -62,6 +62,27 @@ def test_excel_is_gated(spark, folder):
             tables.read_excel(spark, folder, "a int")
 
 
+def test_images(spark, folder):
+    import struct
+    import zlib
+
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    pixels = zlib.compress(b"\x00" + b"\xff\x00\x00" * 3 + b"\x00" + b"\x00\xff\x00" * 3)
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 3, 2, 8, 2, 0, 0, 0)) + chunk(
+        b"IDAT", pixels) + chunk(b"IEND", b"")
+    write(folder, "a.png", png, "wb")
+    row = tables.read_images(spark, folder).first()
+    assert (row.width, row.height, row.nChannels) == (3, 2, 3)
+
+
+def test_tables_of_the_catalog(spark, store):
+    store.create_featuregroup(spark.sql("SELECT 1 AS a"), "g", descriptive_statistics=False, feature_correlation=False,
+                              feature_histograms=False, cluster_analysis=False)
+    assert tables.read_table(spark, "g_1", store.database).count() == 1
+
+
 def test_matrix(spark, folder):
     path = write(folder, "m.txt", "# head\n1 2.5 -3e1\n\n4 nan 6 # tail\n")
     rows = [r["values"] for r in text.read_matrix(spark, path).collect()]
