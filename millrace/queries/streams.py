@@ -9,9 +9,10 @@ from millrace.streaming import inference_log as L
 
 
 def _requests(spark, sf_dir):
-    """The events file as a stream of requests."""
+    """The event table, one file or a folder of them, as a stream of requests."""
     schema = table(spark, sf_dir, "events").schema
-    stream = L.file_stream(spark, sf_dir, schema, pattern="events.parquet")
+    # A glob, because a stream takes a single file only as a match.
+    stream = L.file_stream(spark, f"{sf_dir}/{{events.parquet}}", schema)
     in_utc = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
     return stream.withColumn("ms", F.unix_millis(in_utc))
 
