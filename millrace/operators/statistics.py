@@ -26,6 +26,8 @@ CLUSTERS = 5
 # Up to this many pairs are plain aggregates; beyond it their generated code becomes too large to be
 # compiled by the JVM, and matrix products over Arrow batches are much faster.
 _PAIRS_AS_AGGREGATES = 10
+# Likewise for the measures: of more columns than this they are grouped by column instead.
+_COLUMNS_AS_AGGREGATES = 8
 # Rows whose mean centres the sums of products.
 _CENTRE_ROWS = 1000
 
@@ -45,7 +47,7 @@ def _pairs(count: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(count) for j in range(i + 1, count)]
 
 
-def _check_matrix(columns: Sequence[str]) -> None:
+def check_matrix(columns: Sequence[str]) -> None:
     if len(columns) >= MAX_CORRELATION_COLUMNS:
         raise ValueError(
             f"a correlation matrix takes fewer than {MAX_CORRELATION_COLUMNS} columns, not {len(columns)}"
@@ -73,7 +75,7 @@ def profile(
             aggregates += _measures(column, i)
     pairs = _pairs(len(columns)) if correlation else []
     if correlation:
-        _check_matrix(columns)
+        check_matrix(columns)
         aggregates += [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(columns)]
     return df.agg(*aggregates, *_pair_aggregates(columns, pairs))
 
@@ -103,7 +105,27 @@ def correlation_rows(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
 def descriptive_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum per column, in long form."""
     columns = numeric_columns(df, columns)
-    return descriptive_rows(profile(df, columns, correlation=False), columns)
+    if few_columns(columns):
+        return descriptive_rows(profile(df, columns, correlation=False), columns)
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    value = F.col("value")
+    grouped = numbers.unpivot([], numbers.columns, "column", "value").groupBy("column").agg(
+        F.count(value).cast("double").alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("stddev"),
+        F.min(value).alias("min"), F.max(value).alias("max"),
+    )
+    names = df.sparkSession.createDataFrame([(f"c{i}", c) for i, c in enumerate(columns)], "column string, feature string")
+    entries = [
+        F.struct(
+            F.col("feature"), F.lit(m).alias("metric"),
+            (F.coalesce(F.col(m), F.lit(0.0)) if m == "count" else F.col(m)).alias("value"),
+        )
+        for m in METRICS
+    ]
+    return names.join(grouped, "column", "left").select(F.inline(F.array(*entries)))
+
+
+def few_columns(columns: Sequence[str]) -> bool:
+    return len(columns) <= _COLUMNS_AS_AGGREGATES
 
 
 def descriptive_table(long_form: DataFrame) -> DataFrame:
@@ -114,7 +136,7 @@ def descriptive_table(long_form: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
     """Pairwise correlations; a pair leaves out the rows where either value is null."""
     columns = numeric_columns(df, columns)
-    _check_matrix(columns)
+    check_matrix(columns)
     if method == "pearson":
         return _pearson(df, columns)
     if method != "spearman":

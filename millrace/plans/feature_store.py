@@ -16,7 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.types import primary_key_violations
+from millrace.functions.types import numeric_columns, primary_key_violations
+from millrace.operators.statistics import check_matrix
 from millrace.operators.upsert import upsert
 from millrace.plans.statistics_store import StatisticsStore
 from millrace.plans.training_datasets import TrainingDatasets
@@ -154,6 +155,8 @@ class FeatureStore:
         unknown = [c for c in (*primary_key, *partition_by) if c not in df.columns]
         if unknown:
             raise ValueError(f"not columns of the data: {unknown}")
+        if feature_correlation:
+            check_matrix(numeric_columns(df, stat_columns))
         if check_primary_key and primary_key and not primary_key_violations(df, primary_key).isEmpty():
             raise ValueError(f"primary key {list(primary_key)} is null or repeated in the data")
         if buckets:

@@ -85,22 +85,20 @@ class StatisticsStore:
         if not columns:
             return
         # A few correlations ride along with the measures; more are a job of their own.
-        pearson = feature_correlation and corr_method == "pearson" and S.few_pairs(columns)
-        limits = None
-        if descriptive_statistics or pearson:
-            # One scan serves measures and correlations; its single row is small and used three times.
-            wide = S.profile(df, columns, descriptive_statistics, pearson)
-            row = wide.collect()
-            wide = self.spark.createDataFrame(row, wide.schema)
+        together = feature_correlation and corr_method == "pearson" and S.few_pairs(columns)
+        if together or (descriptive_statistics and S.few_columns(columns)):
+            # The single row is small and used three times.
+            wide = S.profile(df, columns, descriptive_statistics, together)
+            wide = self.spark.createDataFrame(wide.collect(), wide.schema)
             if descriptive_statistics:
                 self._write("descriptive", entity, S.descriptive_rows(wide, columns))
-                values = [row[0][f"{m}_{i}"] for i in range(len(columns)) for m in ("min", "max")]
-                if all(v is not None and v == v and abs(v) != float("inf") for v in values):
-                    limits = {c: (row[0][f"min_{i}"], row[0][f"max_{i}"]) for i, c in enumerate(columns)}
-            if pearson:
+            if together:
                 self._write("correlation", entity, S.correlation_rows(wide, columns))
-        if feature_correlation and not pearson:
+        elif descriptive_statistics:
+            self._write("descriptive", entity, S.descriptive_statistics(df, columns))
+        if feature_correlation and not together:
             self._write("correlation", entity, S.correlation_matrix(df, columns, corr_method))
+        limits = self._limits(entity, columns) if descriptive_statistics and feature_histograms else None
         if feature_histograms:
             self._write("histogram", entity, S.histograms(df, columns, num_bins, limits))
         if cluster_analysis:
@@ -109,6 +107,13 @@ class StatisticsStore:
                 S.cluster_analysis(df, columns, num_clusters, seed, sample_points=cluster_points),
             )
 
+    def _limits(self, entity: str, columns: Sequence[str]) -> dict | None:
+        """Stored minimum and maximum per column; None when one of them is not a finite number."""
+        found = {(r.feature, r.metric): r.value for r in self.frame("descriptive", entity).collect()}
+        limits = {c: (found.get((c, "min")), found.get((c, "max"))) for c in columns}
+        finite = all(v is not None and v == v and abs(v) != float("inf") for pair in limits.values() for v in pair)
+        return limits if finite else None
+
     def frame(self, family: str, entity: str) -> DataFrame:
         """One family of one entity; the filter prunes to its partition."""
         return self.spark.table(self._table(family)).filter(F.col("entity") == entity).drop("entity")

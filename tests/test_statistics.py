@@ -90,6 +90,18 @@ def test_pairs_leave_out_nulls(spark):
     assert found[("a", "b")] == pytest.approx(1.0) and found[("b", "a")] == found[("a", "b")]
 
 
+def test_measures_of_many_columns(spark):
+    columns = [(F.col("id") * (i + 1) / 3).alias(f"c{i}") for i in range(11)]
+    df = spark.range(100).select(*columns, F.lit(None).cast("double").alias("empty"))
+    found = {(r.feature, r.metric): r.value for r in S.descriptive_statistics(df).collect()}
+    few = {(r.feature, r.metric): r.value for n in range(0, 11, 5)
+           for r in S.descriptive_statistics(df, [f"c{i}" for i in range(n, min(n + 5, 11))]).collect()}
+    assert len(found) == 60 and found[("empty", "count")] == 0 and found[("empty", "mean")] is None
+    for key, value in few.items():
+        assert found[key] == pytest.approx(value, rel=1e-12)
+    assert {r.feature for r in S.descriptive_statistics(df.limit(0)).collect()} == set(df.columns)
+
+
 def test_many_columns(spark):
     wide = spark.range(30).select(*[(F.rand(i) * 10).alias(f"c{i}") for i in range(49)])
     assert S.correlation_matrix(wide).count() == 49 * 49
