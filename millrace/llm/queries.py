@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash
+import public_tokenizers
+
+from millrace.llm import packing, secret_scan, simhash, token_counts
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,5 +25,25 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash_near_dedup,)}
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets by patterns and by a character network trained on them."""
+    docs = _table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts by heap-and-linked-list pair merging."""
+    found = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in sequences of 4096 tokens, packed shortest pack first."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+QUERIES = {
+    query.__name__: query for query in (op1_simhash_near_dedup, op2_secret_scans, op4_token_counts, op5_packing)
+}
 SQL: dict[str, str] = {}
