@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from millrace.llm import packing, secret_scan, simhash, token_counts
+from millrace.llm import decontaminate, language, packing, quality, repeats, secret_scan, simhash, token_counts
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -32,6 +32,21 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of a factorisation machine; a fifth of the ids is held out of training."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    marks = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    known = docs.where(_remainder(5) != 0).join(marks, "doc_id")
+    found = quality.score(docs, quality.train(known)).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts by heap-and-linked-list pair merging."""
     found = token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -43,7 +58,32 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of strings of 200 bytes that start elsewhere too."""
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"), size=200)
+    return found.drop("spans").withColumnRenamed("id", "doc_id")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages by bit-sliced n-gram filters; a third of the ids is held out of learning."""
+    docs = _table(spark, sf_dir, "documents")
+    filters = language.learn(docs.where(_remainder(3) != 1))
+    found = language.identify(docs, filters).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and its best window."""
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
-    query.__name__: query for query in (op1_simhash_near_dedup, op2_secret_scans, op4_token_counts, op5_packing)
+    query.__name__: query
+    for query in (
+        op1_simhash_near_dedup, op2_secret_scans, op3_quality_classifier, op4_token_counts, op5_packing,
+        op6_suffix_array_dedup, op9_language_id,
+        op10_decontamination,
+    )
 }
 SQL: dict[str, str] = {}

@@ -27,11 +27,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that one piece holds about STEP_BYTES of text, or one row if that is longer."""
+def steps(
+    batches: Iterable[pa.RecordBatch], column: str = "text", most: int = STEP_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that one piece holds about ``most`` bytes of text, or one row if that is longer."""
     for batch in batches:
         size = max(1, batch.column(batch.schema.get_field_index(column)).nbytes)
-        rows = max(1, min(batch.num_rows, batch.num_rows * STEP_BYTES // size))
+        rows = max(1, min(batch.num_rows, batch.num_rows * most // size))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
 
