@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from millrace.llm import decontaminate, language, packing, quality, repeats, secret_scan, simhash, token_counts
+from millrace.llm import decontaminate, language, packing, quality, repeats, secret_scan, simhash, sketches, token_counts
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -64,6 +64,11 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans").withColumnRenamed("id", "doc_id")
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold-scaled sketches of texts and of their edited copies."""
+    return sketches.edited(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages by bit-sliced n-gram filters; a third of the ids is held out of learning."""
     docs = _table(spark, sf_dir, "documents")
@@ -82,7 +87,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash_near_dedup, op2_secret_scans, op3_quality_classifier, op4_token_counts, op5_packing,
-        op6_suffix_array_dedup, op9_language_id,
+        op6_suffix_array_dedup, op7_document_fingerprints, op9_language_id,
         op10_decontamination,
     )
 }
