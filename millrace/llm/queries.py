@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from millrace.llm import decontaminate, language, packing, quality, repeats, secret_scan, simhash, sketches, token_counts
+from millrace.llm import (
+    decontaminate, language, packing, quality, repeats, secret_scan, simhash, sketches, token_counts, warc,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -69,6 +71,11 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.edited(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, read back through the capture index."""
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages by bit-sliced n-gram filters; a third of the ids is held out of learning."""
     docs = _table(spark, sf_dir, "documents")
@@ -87,8 +94,18 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash_near_dedup, op2_secret_scans, op3_quality_classifier, op4_token_counts, op5_packing,
-        op6_suffix_array_dedup, op7_document_fingerprints, op9_language_id,
-        op10_decontamination,
+        op6_suffix_array_dedup, op7_document_fingerprints, op8_warc,
+        op9_language_id, op10_decontamination,
     )
 }
-SQL: dict[str, str] = {}
+SQL = {
+    # SHA-256 and the first page of each payload; the archives themselves have no SQL form.
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE strlen(html) >= 100 GROUP BY 1)
+        SELECT page_id, strlen(html) AS payload_bytes, p.payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)""",
+}
