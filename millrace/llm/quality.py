@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from millrace.llm.work import column, steps, stored, texts_of
 
 _BUCKETS = 12
+#: Byte classes that are counted.
+_SPACES, _UPPER, _DIGITS, _MARKS, _CALLS, _STOPS = (
+    list(members) for members in (b" \t\n\r", range(65, 91), range(48, 58), b"#$%&*|<>{}[]=~^_\\", b"!?", b".,;:")
+)
 
 
 def statistics(text: str, words: list[str], counts: Counter) -> list[float]:
@@ -27,24 +31,22 @@ def statistics(text: str, words: list[str], counts: Counter) -> list[float]:
     n, w = len(text), len(words)
     if not n:
         return [0.0] * 12
-    raw = text.encode("utf-8", "surrogatepass")
-    letters = sum(map(len, words))
-    lower = text.lower()
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    found = np.bincount(raw, minlength=256)
     lines = text.split("\n")
-    many = sum(c for c in counts.values() if c > 1)
-    marks = sum(raw.count(c) for c in b"#$%&*|<>{}[]=~^_\\")
+    often = [c for c in counts.values() if c > 1]
     return [
         min(1.0, np.log2(n + 1) / 20),
         min(1.0, w / (n / 4)),
-        min(1.0, letters / max(w, 1) / 16),
-        sum(map(str.__ne__, text, lower)) / n if len(lower) == n and text != lower else 0.0,
-        min(1.0, 4 * sum(raw.count(c) for c in b"0123456789") / n),
-        min(1.0, 4 * marks / n),
-        min(1.0, 4 * sum(raw.count(c) for c in b"!?") / n),
-        min(1.0, 4 * sum(raw.count(c) for c in b".,;:") / n),
+        min(1.0, (n - found[_SPACES].sum()) / max(w, 1) / 16),
+        found[_UPPER].sum() / len(raw),
+        min(1.0, 4 * found[_DIGITS].sum() / len(raw)),
+        min(1.0, 4 * found[_MARKS].sum() / len(raw)),
+        min(1.0, 4 * found[_CALLS].sum() / len(raw)),
+        min(1.0, 4 * found[_STOPS].sum() / len(raw)),
         len(counts) / max(w, 1),
-        many / max(w, 1),
-        max(counts.values(), default=0) / max(w, 1),
+        sum(often) / max(w, 1),
+        max(often, default=1) / max(w, 1),
         len(set(lines)) / len(lines),
     ]
 
