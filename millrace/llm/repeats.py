@@ -11,9 +11,12 @@ Ranks grow as in prefix doubling, and what is unique leaves:
 2. rank by everything its windows cover: anchors that agree in it repeat in all their windows;
 3. one of each such class and the rest are ranked by 96 bytes to the right and to the left of the
    anchor, which leaves the offsets at which a window could still be repeated;
-4. the windows at those offsets are ranked by all their ``size`` bytes.
+4. blocks of eight windows at those offsets are ranked by the bytes that all eight share: if those
+   are unique, so is every window; then by the bytes that they cover together: if those are not
+   unique, no window is;
+5. the windows of the other blocks are ranked by all their ``size`` bytes.
 
-Ranks are keys of 128 bits where they decide and 32 bits where they only rule out. Each is counted
+Ranks are keys of 128 bits where they decide (the anchor's k-gram is a half of them). Each is counted
 inside the tasks before it is shuffled, so a string in a third of all documents is one row per task.
 """
 
@@ -103,12 +106,13 @@ def _bytes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-_ANCHOR = "did long, tid long, anchor int, low int, high int, gram long"
-_FULL = f"{_ANCHOR}, all1 long, all2 long, right int, left int"
+#: place: anchor, and how far the first and the last window start before it; sides: 32 bits each.
+_ANCHOR = "did long, tid long, place long, gram long, all long, sides long"
+_BITS, _BLOCK = 12, 8
 
 
 def _anchor_rows(rows: DataFrame, size: int) -> DataFrame:
-    """A row per anchor. ``right`` and ``left`` are 0 where the text ends before the context does."""
+    """A row per anchor. A half of ``sides`` is 0 where the text ends before the context does."""
 
     def made(batches):
         for batch in steps(batches, most=1 << 20):
@@ -117,47 +121,93 @@ def _anchor_rows(rows: DataFrame, size: int) -> DataFrame:
             for (did, tid), data in zip(ids, _bytes_of(batch)):
                 for at, part in _segments(data, size):
                     anchor, low, high, gram, one = _anchors(part, size)
-                    end, two = high + size, Hashes(part, 1)
                     right, left = anchor + CONTEXT, anchor - CONTEXT
-                    near, far = np.minimum(right, len(part)), np.maximum(left, 0)
+                    after = one.of(anchor, np.minimum(right, len(part))) >> np.uint64(32)
+                    before = one.of(np.maximum(left, 0), anchor) >> np.uint64(32)
+                    after[right > len(part)] = 0
+                    before[left < 0] = 0
                     parts.append((
-                        np.full(len(anchor), did), np.full(len(anchor), tid), anchor + at, low + at, high + at,
-                        gram.view(np.int64), one.of(low, end).view(np.int64), two.of(low, end).view(np.int64),
-                        np.where(right <= len(part), one.of(anchor, near).view(np.int64) >> 32, 0),
-                        np.where(left >= 0, one.of(far, anchor).view(np.int64) >> 32, 0),
+                        np.full(len(anchor), did), np.full(len(anchor), tid),
+                        (anchor + at) << 2 * _BITS | (anchor - low) << _BITS | (anchor - high),
+                        gram.view(np.int64), Hashes(part, 1).of(low, high + size).view(np.int64),
+                        (after << np.uint64(32) | before).view(np.int64),
                     ))
             if parts:
-                kinds = (np.int64,) * 2 + (np.int32,) * 3 + (np.int64,) * 3 + (np.int32,) * 2
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).astype(kind)) for c, kind in zip(zip(*parts), kinds)],
-                    [field.split()[0] for field in _FULL.split(", ")],
+                    [pa.array(np.concatenate(c)) for c in zip(*parts)],
+                    [field.split()[0] for field in _ANCHOR.split(", ")],
                 )
 
-    return rows.mapInArrow(made, _FULL)
+    return rows.mapInArrow(made, _ANCHOR)
+
+
+def _runs(batch: pa.RecordBatch, size: int):
+    """(did, tid, segment's first start, bytes, runs that have starts in the segment) of each text."""
+    ids = zip(column(batch, "did").to_pylist(), column(batch, "tid").to_pylist(), column(batch, "runs").to_pylist())
+    for (did, tid, runs), data in zip(ids, _bytes_of(batch)):
+        runs = np.array([tuple(r.values()) for r in runs], np.int64)  # low, high, anchor, gram, mark
+        for at, part in _segments(data, size):
+            own = runs[(runs[:, 0] >= at) & (runs[:, 0] < at + _SEGMENT)]
+            if len(own):
+                yield did, tid, at, part, own
+
+
+def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every integer from each low to its high, and the number of its pair."""
+    count = high - low + 1
+    pair = np.repeat(np.arange(len(low)), count)
+    return np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count) + low[pair], pair
+
+
+def _block_rows(rows: DataFrame, size: int) -> DataFrame:
+    """A row per block of window starts, aligned by their distance from the anchor."""
+
+    def made(batches):
+        for batch in steps(batches, most=1 << 20):
+            for did, tid, at, part, own in _runs(batch, size):
+                low, high, anchor = own[:, 0] - at, own[:, 1] - at, own[:, 2] - at
+                block, run = _spread((anchor - high) // _BLOCK, (anchor - low) // _BLOCK)
+                first = np.maximum(low[run], anchor[run] - block * _BLOCK - _BLOCK + 1)
+                last = np.minimum(high[run], anchor[run] - block * _BLOCK)
+                # All windows of the block, also those beyond this run, hold these bytes.
+                core = anchor[run] - block * _BLOCK
+                one, two, n = Hashes(part), Hashes(part, 1), len(run)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, did)), pa.array(np.full(n, tid)), pa.array(own[run, 3]), pa.array(own[run, 4] > 0),
+                     pa.array(first + at), pa.array(last + at), pa.array(own[run, 2]), pa.array(block),
+                     _signed(one.of(core, core - _BLOCK + 1 + size)), _signed(two.of(first, last + size))],
+                    ["did", "tid", "gram", "mark", "low", "high", "anchor", "block", "core", "all"],
+                )
+
+    return rows.mapInArrow(
+        made, "did long, tid long, gram long, mark boolean, low long, high long, anchor long, block long, core long, all long"
+    )
 
 
 def _window_rows(rows: DataFrame, size: int) -> DataFrame:
-    """A row per window start in the ``runs`` of each text."""
+    """A row per window start in the runs of each text."""
 
     def made(batches):
         for batch in steps(batches, most=1 << 20):
-            ids = zip(column(batch, "did").to_pylist(), column(batch, "tid").to_pylist(), column(batch, "runs").to_pylist())
-            for (did, tid, runs), data in zip(ids, _bytes_of(batch)):
-                runs = sorted((r["low"], r["high"], r["mark"]) for r in runs)
-                for at, part in _segments(data, size):
-                    own = [(max(a, at), min(b, at + _SEGMENT - 1), mark) for a, b, mark in runs if a < at + _SEGMENT and b >= at]
-                    if not own:
-                        continue
-                    start = np.concatenate([np.arange(a, b + 1) for a, b, _ in own])
-                    mark = np.concatenate([np.full(b - a + 1, m) for a, b, m in own])
-                    low, n = start - at, len(start)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, did)), pa.array(np.full(n, tid)), pa.array(start.astype(np.int32)), pa.array(mark),
-                         _signed(Hashes(part).of(low, low + size)), _signed(Hashes(part, 1).of(low, low + size))],
-                        ["did", "tid", "start", "mark", "all1", "all2"],
-                    )
+            for did, tid, at, part, own in _runs(batch, size):
+                start, run = _spread(own[:, 0] - at, own[:, 1] - at)
+                n = len(run)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, did)), pa.array(np.full(n, tid)), pa.array(own[run, 3]), pa.array(own[run, 4] > 0),
+                     pa.array(start + at), _signed(Hashes(part, 1).of(start, start + size))],
+                    ["did", "tid", "gram", "mark", "start", "all"],
+                )
+
+    return rows.mapInArrow(made, "did long, tid long, gram long, mark boolean, start long, all long")
+
+
+def _with_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    run = F.struct("low", "high", "anchor", "gram", F.col("mark").cast("long").alias("mark"))
+    return rows.join(runs.groupBy("did", "tid").agg(F.collect_list(run).alias("runs")), ["did", "tid"])
+
 
-    return rows.mapInArrow(made, "did long, tid long, start int, mark boolean, all1 long, all2 long")
+def _repeated(rows: DataFrame, *key: str) -> DataFrame:
+    return rows.groupBy(*key).count().where("count > 1").drop("count")
 
 
 def repeated_spans(docs: DataFrame, size: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,42 +215,59 @@ def repeated_spans(docs: DataFrame, size: int = 200, id_col: str = "doc_id", tex
 
     ``did`` is the id (null as the smallest long) and ``tid`` the hash of the text.
     """
-    if size < GRAM + CONTEXT:
-        raise ValueError(f"strings must have at least {GRAM + CONTEXT} bytes")
+    if not GRAM + CONTEXT <= size < 1 << _BITS:
+        raise ValueError(f"strings must have {GRAM + CONTEXT} to {(1 << _BITS) - 1} bytes")
     rows = _keyed(docs, id_col, text_col)
     # Round 1: k-grams. The first scan sends keys only.
-    grams = _anchor_rows(rows, size).groupBy("gram").count().where("count > 1").select("gram")
+    grams = _repeated(_anchor_rows(rows, size), "gram")
     shared = stored(_anchor_rows(rows, size).join(grams, "gram"), "anchors")
     # Round 2: all that the windows of an anchor cover.
-    place = F.struct("did", "tid", "low", "high", "anchor", "right", "left")
     classes = stored(
-        shared.groupBy("gram", "all1", "all2").agg(F.count("*").alias("n"), F.min(place).alias("at")), "classes"
+        shared.groupBy("gram", "all").agg(F.count("*").alias("n"), F.min(F.struct("did", "tid", "place", "sides")).alias("at")),
+        "classes",
     )
-    whole = shared.join(classes.where("n > 1").select("gram", "all1", "all2"), ["gram", "all1", "all2"], "left_semi")
-    whole = whole.select("did", "tid", "low", "high")
+    place, mask = F.col("place"), (1 << _BITS) - 1
+    anchor = F.shiftright(place, 2 * _BITS)
+    low, high = anchor - F.shiftright(place, _BITS).bitwiseAND(mask), anchor - place.bitwiseAND(mask)
+    whole = shared.join(classes.where("n > 1").select("gram", "all"), ["gram", "all"], "left_semi")
+    whole = stored(whole.select("did", "tid", low.alias("low"), high.alias("high")), "whole-runs")
     # Round 3: contexts of one of each class, where a k-gram has several classes.
-    several = classes.groupBy("gram").count().where("count > 1").select("gram")
-    apart = classes.join(several, "gram").select("gram", "at.*", (F.col("n") == 1).alias("mark"))
-    right = apart.where("right != 0").groupBy("gram", "right").count().where("count > 1").drop("count")
-    left = apart.where("left != 0").groupBy("gram", "left").count().where("count > 1").drop("count")
-    apart = (
-        apart.join(right.withColumn("more_right", F.lit(True)), ["gram", "right"], "left")
-        .join(left.withColumn("more_left", F.lit(True)), ["gram", "left"], "left")
+    several = _repeated(classes, "gram")
+    apart = classes.join(several, "gram").select(
+        "gram", "at.*", (F.col("n") == 1).alias("mark"),
+    ).select(
+        "gram", "did", "tid", "mark", anchor.alias("anchor"), low.alias("low"), high.alias("high"),
+        F.shiftrightunsigned("sides", 32).alias("right"), F.col("sides").bitwiseAND((1 << 32) - 1).alias("left"),
     )
+    right = _repeated(apart.where("right != 0"), "gram", "right").withColumn("more_right", F.lit(True))
+    left = _repeated(apart.where("left != 0"), "gram", "left").withColumn("more_left", F.lit(True))
+    apart = apart.join(right, ["gram", "right"], "left").join(left, ["gram", "left"], "left")
     # A window reaches anchor - start bytes to the left; the rest of it lies to the right.
     most_left = F.when(F.col("more_left"), size).otherwise(CONTEXT - 1)
     most_right = F.when(F.col("more_right"), size).otherwise(CONTEXT - 1)
     apart = apart.select(
-        "did", "tid", F.greatest("low", F.col("anchor") - most_left).alias("low"),
-        F.least("high", F.col("anchor") + most_right - size).alias("high"), "mark",
+        "did", "tid", "gram", "mark", "anchor", F.greatest("low", F.col("anchor") - most_left).alias("low"),
+        F.least("high", F.col("anchor") + most_right - size).alias("high"),
     ).where("low <= high")
-    # Round 4: whole windows. A class that repeats anyway is there to be compared with.
-    runs = apart.groupBy("did", "tid").agg(F.collect_list(F.struct("low", "high", "mark")).alias("runs"))
-    windows = stored(_window_rows(rows.join(runs, ["did", "tid"]), size), "windows")
-    twice = windows.groupBy("all1", "all2").agg(F.count("*").alias("n"), F.max("mark").alias("mark"))
-    twice = twice.where("n > 1 AND mark").select("all1", "all2")
-    single = windows.where("mark").join(twice, ["all1", "all2"], "left_semi")
-    return whole.unionByName(single.select("did", "tid", F.col("start").alias("low"), F.col("start").alias("high")))
+    # Round 4: blocks of windows. A class that repeats anyway is there to be compared with.
+    blocks = stored(_block_rows(_with_runs(rows, apart), size), "blocks")
+    cores = _repeated(blocks, "gram", "block", "core")
+    blocks = stored(blocks.join(cores, ["gram", "block", "core"], "left_semi").drop("core", "block"), "open-blocks")
+    same = _repeated(blocks, "gram", "all").withColumn("same", F.lit(True))
+    blocks = stored(blocks.join(same, ["gram", "all"], "left").drop("all"), "judged-blocks")
+    several = blocks.where("same AND mark").select("did", "tid", "low", "high")
+    # Round 5: single windows. Blocks that repeat are still what others may partly repeat.
+    windows = stored(_window_rows(_with_runs(rows, _open(blocks)), size), "windows")
+    twice = windows.groupBy("gram", "all").agg(F.count("*").alias("n"), F.max("mark").alias("mark"))
+    single = windows.where("mark").join(twice.where("n > 1 AND mark"), ["gram", "all"], "left_semi")
+    single = single.select("did", "tid", F.col("start").alias("low"), F.col("start").alias("high"))
+    return whole.unionByName(several).unionByName(single)
+
+
+def _open(blocks: DataFrame) -> DataFrame:
+    """Blocks that are not judged, and of the k-grams that have such blocks the others to compare with."""
+    todo = blocks.where("mark AND same IS NULL").select("gram").distinct()
+    return blocks.join(todo, "gram", "left_semi").withColumn("mark", F.col("mark") & F.col("same").isNull())
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -20,6 +21,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
+    # What lay upstream is not read again: let the driver notice, so that its shuffle files go now.
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
