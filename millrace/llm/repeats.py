@@ -252,22 +252,27 @@ def repeated_spans(docs: DataFrame, size: int = 200, id_col: str = "doc_id", tex
     # Round 4: blocks of windows. A class that repeats anyway is there to be compared with.
     blocks = stored(_block_rows(_with_runs(rows, apart), size), "blocks")
     cores = _repeated(blocks, "gram", "block", "core")
-    blocks = stored(blocks.join(cores, ["gram", "block", "core"], "left_semi").drop("core", "block"), "open-blocks")
+    blocks = stored(blocks.join(cores, ["gram", "block", "core"], "left_semi"), "open-blocks")
     same = _repeated(blocks, "gram", "all").withColumn("same", F.lit(True))
-    blocks = stored(blocks.join(same, ["gram", "all"], "left").drop("all"), "judged-blocks")
+    blocks = stored(blocks.join(same, ["gram", "all"], "left"), "judged-blocks")
     several = blocks.where("same AND mark").select("did", "tid", "low", "high")
     # Round 5: single windows. Blocks that repeat are still what others may partly repeat.
     windows = stored(_window_rows(_with_runs(rows, _open(blocks)), size), "windows")
     twice = windows.groupBy("gram", "all").agg(F.count("*").alias("n"), F.max("mark").alias("mark"))
     single = windows.where("mark").join(twice.where("n > 1 AND mark"), ["gram", "all"], "left_semi")
-    single = single.select("did", "tid", F.col("start").alias("low"), F.col("start").alias("high"))
+    single = stored(single.select("did", "tid", F.col("start").alias("low"), F.col("start").alias("high")), "single-runs")
     return whole.unionByName(several).unionByName(single)
 
 
 def _open(blocks: DataFrame) -> DataFrame:
-    """Blocks that are not judged, and of the k-grams that have such blocks the others to compare with."""
-    todo = blocks.where("mark AND same IS NULL").select("gram").distinct()
-    return blocks.join(todo, "gram", "left_semi").withColumn("mark", F.col("mark") & F.col("same").isNull())
+    """Blocks that are not judged, and one of each repeated kind that shares their common bytes."""
+    key = ["gram", "block", "core"]
+    todo = blocks.where("mark AND same IS NULL").select(*key).distinct()
+    rest = blocks.where("NOT mark OR same").groupBy(*key, "all").agg(
+        F.min(F.struct("did", "tid", "low", "high", "anchor")).alias("at")
+    )
+    rest = rest.join(todo, key, "left_semi").select("gram", "at.*", F.lit(False).alias("mark"))
+    return blocks.where("mark AND same IS NULL").select(*rest.columns).unionByName(rest)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
