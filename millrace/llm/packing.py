@@ -24,10 +24,21 @@ _MEMORY = 400_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _core(chunk: str) -> tuple[str, ...]:
+    """Parts of an ASCII chunk that the library sees more often: lower case, without a mark at its end."""
+    if not chunk.isascii() or "|" in chunk:
+        return (chunk,)
+    core = chunk.lower()
+    if core[-1] in ".,;:!?" and core[-2:-1].isalnum():
+        return core[:-1], core[-1]
+    return (core,)
+
+
 class ChunkTokens:
     """Ids as little-endian bytes, through the library of the file; chunks between white space are remembered.
 
-    The tokenizer must drop white space and cut there, so that a text's ids are those of its chunks.
+    The tokenizer must lower-case texts, drop white space and cut there and between letters or digits
+    and marks, so that a text's ids are those of its parts.
     """
 
     def __init__(self, path: str):
@@ -42,11 +53,16 @@ class ChunkTokens:
         if len(self._known) > _MEMORY:
             self._known = {}
         known = self._known
-        new = list({chunk for words in cut for chunk in words if chunk not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for chunk, found in zip(some, self._encode(some, add_special_tokens=False)):
-                known[chunk] = np.array(found.ids, dtype="<u4").tobytes()
+        new = {chunk: _core(chunk) for words in cut for chunk in words if chunk not in known}
+        cores = {part for parts in new.values() for part in parts if part not in known}
+        missing = list(cores)
+        for at in range(0, len(missing), 4096):
+            some = missing[at : at + 4096]
+            for core, found in zip(some, self._encode(some, add_special_tokens=False)):
+                known[core] = np.array(found.ids, dtype="<u4").tobytes()
+        for chunk, parts in new.items():
+            if len(parts) > 1 or parts[0] is not chunk:
+                known[chunk] = b"".join([known[part] for part in parts])
         return [b"".join([known[chunk] for chunk in words]) for words in cut]
 
 
