@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from millrace.llm.token_counts import chunks
 from millrace.llm.work import column, partitions, steps, stored, texts_of
 
-_MEMORY = 400_000
+_MEMORY = 1_000_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
