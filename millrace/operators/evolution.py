@@ -113,10 +113,15 @@ def as_trials(population: DataFrame, genes: Sequence[Gene], column: str = "genes
 
 
 def select_better(scored: DataFrame, direction: str) -> DataFrame:
-    """Per individual the candidate when it is strictly better, else the present one."""
+    """Per individual the candidate when it is strictly better, else the present one.
+
+    A null or NaN score never wins and loses against every number.
+    """
     better = F.col("trial_score") > F.col("score")
     if check_direction(direction) != MAX:
         better = F.col("trial_score") < F.col("score")
+    known, had = (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in ("trial_score", "score"))
+    better = known & (~had | F.coalesce(better, F.lit(False)))
     return scored.select(
         "individual",
         F.when(better, F.col("trial_genes")).otherwise(F.col("genes")).alias("genes"),

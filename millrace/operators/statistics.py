@@ -23,13 +23,9 @@ HISTOGRAM_BINS = 20
 CLUSTERS = 5
 # ------------------------------------------------------------------------------------------------
 
-# Up to this many pairs are plain aggregates; beyond it their generated code becomes too large to be
-# compiled by the JVM, and matrix products over Arrow batches are much faster.
-_PAIRS_AS_AGGREGATES = 10
-# Likewise for the measures: of more columns than this they are grouped by column instead.
+# Of more columns than this the measures are grouped by column: as one aggregate their generated
+# code becomes too large to be compiled by the JVM.
 _COLUMNS_AS_AGGREGATES = 8
-# Rows whose mean centres the sums of products.
-_CENTRE_ROWS = 1000
 
 
 def _measures(column: str, i: int) -> list:
@@ -134,14 +130,17 @@ def descriptive_table(long_form: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
-    """Pairwise correlations; a pair leaves out the rows where either value is null."""
+    """Pairwise correlations, by the same arithmetic for any number of columns.
+
+    Pearson leaves out, per pair, the rows where either value is null. Spearman ranks whole rows: one
+    with a null in any of the columns is left out for all pairs.
+    """
     columns = numeric_columns(df, columns)
     check_matrix(columns)
     if method == "pearson":
         return _pearson(df, columns)
     if method != "spearman":
         raise ValueError(f"method must be pearson or spearman, not {method!r}")
-    # Ranks need every value: rows with a null are left out as a whole.
     rows = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).dropna()
     ranked = rows
     for column in columns:
@@ -149,26 +148,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, meth
     return _pearson(ranked, columns)
 
 
-def few_pairs(columns: Sequence[str]) -> bool:
-    return len(_pairs(len(columns))) <= _PAIRS_AS_AGGREGATES
-
-
 def _pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    if few_pairs(columns):
-        return correlation_rows(profile(df, columns, descriptive=False), columns)
     return moment_correlations(df, columns)
 
 
 def moment_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation matrix from sums of products that tasks form as matrix products.
 
-    A task hands on one row per pair of columns, whatever its number of input rows. Values are
-    centred near their mean first, so that large values with a small spread keep their digits.
+    A task hands on one row per pair of columns, whatever its number of input rows. Each batch is
+    centred on its own mean, and means and sums of products are merged, so that large values with a
+    small spread keep their digits. A pair leaves out rows where either value is null; NaN or an
+    infinity in a row of the pair makes its correlation NaN and leaves other pairs alone.
     """
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    head = numbers.limit(_CENTRE_ROWS).agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
-    centres = [v if v is not None and v == v and abs(v) != float("inf") else 0.0 for v in head]
-    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    sums = ("n", "mx", "my", "qx", "qy", "q", "bad")
 
     def moments(batches):
         import numpy as np
@@ -177,28 +170,47 @@ def moment_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         total = None
         for batch in batches:
             present = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
-            values = np.column_stack([
-                c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns
-            ]) - centres
-            mask = present.astype(np.float64)
-            values = np.where(present, values, 0.0)
-            squares = values * values
-            # Entry (i, j) sums over the rows where both columns have a value.
+            values = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            odd = present & ~np.isfinite(values)
+            values = np.where(present & ~odd, values, 0.0)
+            centre = values.sum(axis=0) / np.maximum((present & ~odd).sum(axis=0), 1)
+            values = np.where(present & ~odd, values - centre, 0.0)
+            squares, mask = values * values, present.astype(np.float64)
+            # Entry (i, j) is over the rows where both columns have a value.
+            n = mask.T @ mask
+            part = [n, values.T @ mask, mask.T @ values, squares.T @ mask, mask.T @ squares, values.T @ values]
+            some, x, y = np.maximum(n, 1), part[1], part[2]
             part = np.stack([
-                mask.T @ mask, values.T @ mask, mask.T @ values, squares.T @ mask, mask.T @ squares, values.T @ values,
+                n, centre[:, None] + x / some, centre[None, :] + y / some, part[3] - x * x / some, part[4] - y * y / some,
+                part[5] - x * y / some, odd.T.astype(np.float64) @ mask + mask.T @ odd.astype(np.float64),
             ])
-            total = part if total is None else total + part
+            total = part if total is None else _merged_moments(total, part)
         if total is not None:
             i, j = np.triu_indices(total.shape[1])
             arrays = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in total]]
             yield pa.RecordBatch.from_arrays(arrays, names=["i", "j", *sums])
 
     parts = numbers.mapInArrow(moments, "i int, j int, " + ", ".join(f"{s} double" for s in sums))
-    summed = parts.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
-    n = F.col("n")
-    covariance = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    spread = F.sqrt(F.col("sxx") - F.col("sx") ** 2 / n) * F.sqrt(F.col("syy") - F.col("sy") ** 2 / n)
-    value = F.when(n > 0, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.try_divide(covariance, spread)))
+
+    def total_of(value):
+        return F.aggregate("p", F.lit(0.0), lambda t, x: t + value(x))
+
+    # One entry per task: the tasks' means differ little, so their spread is added without cancelling.
+    merged = parts.groupBy("i", "j").agg(
+        F.collect_list(F.struct(*sums)).alias("p"), F.sum("n").alias("n"), F.sum("bad").alias("bad")
+    )
+    merged = merged.withColumns({m: total_of(lambda x, m=m: x["n"] * x[m]) / F.greatest("n", F.lit(1.0)) for m in ("mx", "my")})
+    a, b = F.col("mx"), F.col("my")
+    merged = merged.withColumns({
+        "qx": total_of(lambda x: x["qx"] + x["n"] * (x["mx"] - a) * (x["mx"] - a)),
+        "qy": total_of(lambda x: x["qy"] + x["n"] * (x["my"] - b) * (x["my"] - b)),
+        "q": total_of(lambda x: x["q"] + x["n"] * (x["mx"] - a) * (x["my"] - b)),
+    })
+    value = F.when(F.col("bad") > 0, F.lit(float("nan"))).when(
+        F.col("n") > 0,
+        F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.try_divide("q", F.sqrt("qx") * F.sqrt("qy"))),
+    )
+    summed = merged
     names = F.array(*[F.lit(c) for c in columns])
     a, b = F.element_at(names, F.col("i") + 1), F.element_at(names, F.col("j") + 1)
     one_way = F.struct(a.alias("feature"), b.alias("other"), F.col("r").alias("correlation"))
@@ -207,6 +219,19 @@ def moment_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return summed.withColumn("r", value).select(F.inline(both))
 
 
+def _merged_moments(a, b):
+    """Counts, means and sums of products about the means of two sets of rows, as of their union."""
+    import numpy as np
+
+    n = a[0] + b[0]
+    some = np.maximum(n, 1)
+    dx, dy, weight = b[1] - a[1], b[2] - a[2], a[0] * b[0] / some
+    return np.stack([
+        n, (a[0] * a[1] + b[0] * b[1]) / some, (a[0] * a[2] + b[0] * b[2]) / some, a[3] + b[3] + weight * dx * dx,
+        a[4] + b[4] + weight * dy * dy, a[5] + b[5] + weight * dx * dy, a[6] + b[6],
+    ])
+
+
 def average_ranks(rows: DataFrame, column: str) -> DataFrame:
     """(value, _rank) for the distinct values of a column; equal values share their mean rank.
 

@@ -163,7 +163,7 @@ def evaluate(
 ) -> DataFrame:
     """Run a Python function once per trial and return its results as rows.
 
-    ``parallelism`` is the number of tasks, by default one per trial id; trials go to them by their
+    ``parallelism`` is the number of tasks, by default as many as trials; trials go to them by their
     id in turn. An exception in the function fails the job. The frame is lazy: write it before it
     is used more than once.
     """
@@ -171,7 +171,7 @@ def evaluate(
     missing = [n for n in names if n not in trials.columns]
     if missing:
         raise KeyError(f"no values for the arguments {missing}")
-    tasks = parallelism or (trials.agg(F.max("trial_id")).first()[0] or 0) + 1
+    tasks = parallelism or max(1, trials.count())
     prepared = trials.select("trial_id", trial_key(names).alias("trial_key"), *names)
     # The id names the partition: hashing could give one task several trials and others none.
     spread = prepared.repartitionById(tasks, F.pmod("trial_id", F.lit(tasks)).cast("int"))

@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,9 +192,23 @@ class FeatureStore:
             writer.mode("overwrite").saveAsTable(target)
             return
         staged = quoted(store, f"{_HIDDEN}stage_{uuid.uuid4().hex}")
-        writer.mode("overwrite").saveAsTable(staged)
-        self.spark.sql(f"DROP {'VIEW' if self._is_view(target) else 'TABLE'} {target}")
-        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+        try:
+            writer.mode("overwrite").saveAsTable(staged)
+            self._swap(staged, target, store)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+
+    def _swap(self, staged: str, target: str, store: str) -> None:
+        """Give the staged table the target's name; the old table goes last and comes back on a failure."""
+        kind = "VIEW" if self._is_view(target) else "TABLE"
+        old = quoted(store, f"{_HIDDEN}old_{uuid.uuid4().hex}")
+        self.spark.sql(f"ALTER {kind} {target} RENAME TO {old}")
+        try:
+            self.spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+        except Exception:
+            self.spark.sql(f"ALTER {kind} {old} RENAME TO {target}")
+            raise
+        self.spark.sql(f"DROP {kind} {old}")
 
     def create_on_demand_featuregroup(
         self,
@@ -247,16 +260,19 @@ class FeatureStore:
         if mode == "append":
             rows.write.insertInto(table)
             return
+        # The job that can fail writes beside the present rows; only its finished result replaces
+        # them. Should that copy fail, the staged table is kept and named.
+        staged = quoted(store, f"{_HIDDEN}stage_{uuid.uuid4().hex}")
         try:
-            rows.write.insertInto(table, overwrite=True)
-        except AnalysisException as error:
-            if "UNSUPPORTED_OVERWRITE" not in (error.getCondition() or ""):
-                raise
-            # The rows come from the table itself: stage them first.
-            staged = quoted(store, f"{_HIDDEN}stage_{uuid.uuid4().hex}")
             rows.write.saveAsTable(staged)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            raise
+        try:
             self.spark.table(staged).write.insertInto(table, overwrite=True)
-            self.spark.sql(f"DROP TABLE {staged}")
+        except Exception as error:
+            raise RuntimeError(f"the new rows of {table} are complete in {staged}; copying them failed") from error
+        self.spark.sql(f"DROP TABLE {staged}")
 
     def upsert_into_featuregroup(
         self, df, name: str, featuregroup_version: int = 1, key: Sequence[str] | None = None, order: str | None = None

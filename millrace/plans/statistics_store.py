@@ -66,7 +66,7 @@ class StatisticsStore:
         num_bins: int = S.HISTOGRAM_BINS,
         num_clusters: int = S.CLUSTERS,
         corr_method: str = "pearson",
-        cluster_points: int | None = 50,
+        cluster_points: int | None = None,
         seed: int = 42,
     ) -> None:
         """Compute the switched-on families and keep them with the settings used."""
@@ -84,19 +84,14 @@ class StatisticsStore:
         self._write("settings", entity, self.spark.createDataFrame([(json.dumps(settings),)], _SCHEMAS["settings"]))
         if not columns:
             return
-        # A few correlations ride along with the measures; more are a job of their own.
-        together = feature_correlation and corr_method == "pearson" and S.few_pairs(columns)
-        if together or (descriptive_statistics and S.few_columns(columns)):
-            # The single row is small and used three times.
-            wide = S.profile(df, columns, descriptive_statistics, together)
+        if descriptive_statistics and S.few_columns(columns):
+            # The single row is small and used more than once.
+            wide = S.profile(df, columns, correlation=False)
             wide = self.spark.createDataFrame(wide.collect(), wide.schema)
-            if descriptive_statistics:
-                self._write("descriptive", entity, S.descriptive_rows(wide, columns))
-            if together:
-                self._write("correlation", entity, S.correlation_rows(wide, columns))
+            self._write("descriptive", entity, S.descriptive_rows(wide, columns))
         elif descriptive_statistics:
             self._write("descriptive", entity, S.descriptive_statistics(df, columns))
-        if feature_correlation and not together:
+        if feature_correlation:
             self._write("correlation", entity, S.correlation_matrix(df, columns, corr_method))
         limits = self._limits(entity, columns) if descriptive_statistics and feature_histograms else None
         if feature_histograms:

@@ -77,7 +77,7 @@ def same_tree(left: DataFrame, right: DataFrame) -> bool:
 
 def provenance(df: DataFrame) -> DataFrame:
     """Input files of a frame with size and modification time."""
-    paths = df.inputFiles()
+    paths = [r["path"] for r in _all_paths(df).collect()]
     if not paths:
         return df.sparkSession.createDataFrame([], "path string, length long, modified timestamp")
     listing = df.sparkSession.read.format("binaryFile").load(paths)

@@ -48,9 +48,10 @@ class FileWriter(DataSourceArrowWriter):
 
     suffix = ""
 
-    def __init__(self, options, schema):
+    def __init__(self, options, schema, overwrite=False):
         self.path = options["path"]
         self.schema = schema
+        self.overwrite = overwrite
 
     def contents(self, batches):
         raise NotImplementedError
@@ -70,6 +71,12 @@ class FileWriter(DataSourceArrowWriter):
     def commit(self, messages):
         system, root = _file_system(self.path)
         system.create_dir(root, recursive=True)
+        if self.overwrite:
+            from pyarrow import fs
+
+            for old in system.get_file_info(fs.FileSelector(root)):
+                if old.is_file:
+                    system.delete_file(old.path)
         for message in messages:
             for name in message.names if message else ():
                 system.move(f"{root}/_temporary/{name}", f"{root}/{name}")
@@ -99,8 +106,8 @@ def _cells(column: pa.Array) -> np.ndarray:
 class NpyWriter(FileWriter):
     """``.npy``: rows stacked to one 2-D array. ``.npz``: one array per column, under its name."""
 
-    def __init__(self, options, schema):
-        super().__init__(options, schema)
+    def __init__(self, options, schema, overwrite=False):
+        super().__init__(options, schema, overwrite)
         self.archive = options.get("archive", "false").lower() == "true"
         self.compressed = options.get("compressed", "false").lower() == "true"
         self.suffix = ".npz" if self.archive else ".npy"
@@ -137,7 +144,7 @@ class NpySource(DataSource):
         return "millrace_npy"
 
     def writer(self, schema, overwrite):
-        return NpyWriter(self.options, schema)
+        return NpyWriter(self.options, schema, overwrite)
 
 
 def _check_numeric(df: DataFrame) -> None:
@@ -148,10 +155,10 @@ def _check_numeric(df: DataFrame) -> None:
 
 
 def write_npy(df: DataFrame, path: str) -> None:
-    """One or more ``.npy`` files per partition. Null numbers become NaN."""
+    """One or more ``.npy`` files per partition; files already in the folder go. Null numbers become NaN."""
     _check_numeric(df)
     df.sparkSession.dataSource.register(NpySource)
-    df.write.format("millrace_npy").mode("append").save(path)
+    df.write.format("millrace_npy").mode("overwrite").save(path)
 
 
 def write_npz(df: DataFrame, path: str, names: list[str] | None = None, compressed: bool = False) -> None:
@@ -167,7 +174,7 @@ def write_npz(df: DataFrame, path: str, names: list[str] | None = None, compress
     df.sparkSession.dataSource.register(NpySource)
     renamed.write.format("millrace_npy").option("archive", "true").option(
         "compressed", str(compressed).lower()
-    ).mode("append").save(path)
+    ).mode("overwrite").save(path)
 
 
 def read_npy(spark: SparkSession, path: str) -> DataFrame:
@@ -400,7 +407,7 @@ class RecordSource(DataSource):
         return "millrace_tfrecord"
 
     def writer(self, schema, overwrite):
-        return RecordWriter(self.options, schema)
+        return RecordWriter(self.options, schema, overwrite)
 
 
 def write_tfrecord(df: DataFrame, path: str) -> None:
@@ -413,7 +420,7 @@ def write_tfrecord(df: DataFrame, path: str) -> None:
         for f in df.schema
     ])
     df.sparkSession.dataSource.register(RecordSource)
-    plain.write.format("millrace_tfrecord").mode("append").save(path)
+    plain.write.format("millrace_tfrecord").mode("overwrite").save(path)
 
 
 def _read_varint(data, at: int) -> tuple[int, int]:

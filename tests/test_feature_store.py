@@ -323,3 +323,22 @@ def test_training_dataset_statistics(filled):
     stats = filled.get_training_dataset_statistics("td")
     assert len(stats.descriptive_stats.descriptive_stats) == 3
     assert stats.correlation_matrix.feature_correlations == []
+
+
+def test_failed_overwrite_keeps_the_rows(spark, store):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5).select(F.col("id"), F.lit(1.0).alias("x"))
+    store.create_featuregroup(rows, "kept", primary_key=["id"], description="a group", partition_by=["x"], **NO_STATS_KEPT)
+    store.add_metadata("kept", {"tag": "value"})
+    broken = rows.select("id", F.expr("CASE WHEN id = 3 THEN raise_error('broken') ELSE 2.0D END").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        store.insert_into_featuregroup(broken, "kept", mode="overwrite")
+    assert store.get_featuregroup("kept").count() == 5
+    store.insert_into_featuregroup(rows.limit(2), "kept", mode="overwrite")
+    assert store.get_featuregroup("kept").count() == 2 and store.get_metadata("kept") == {"tag": "value"}
+
+
+NO_STATS_KEPT = {
+    "descriptive_statistics": False, "feature_correlation": False, "feature_histograms": False, "cluster_analysis": False,
+}

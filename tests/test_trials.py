@@ -262,3 +262,12 @@ def test_lifecycle(experiments):
     experiments._active = "x_1"
     with pytest.raises(RuntimeError, match="only one"):
         experiments.launch(lambda: 1)
+
+
+def test_nan_never_wins(spark):
+    from millrace.operators.evolution import select_better
+
+    nan = float("nan")
+    rows = [(0, [0.0], 5.0, [1.0], nan), (1, [0.0], nan, [1.0], 3.0), (2, [0.0], 5.0, [1.0], None), (3, [0.0], 1.0, [1.0], 2.0)]
+    df = spark.createDataFrame(rows, "individual int, genes array<double>, score double, trial_genes array<double>, trial_score double")
+    assert [r.score for r in select_better(df, "max").orderBy("individual").collect()] == [5.0, 3.0, 5.0, 2.0]
