@@ -21,12 +21,14 @@ from millrace.llm.token_counts import chunks
 from millrace.llm.work import column, partitions, steps, stored, texts_of
 
 _MEMORY = 1_000_000
+#: Stands between parts that the library sees as one text; parts that hold it are encoded alone.
+_MARK = "|"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def _core(chunk: str) -> tuple[str, ...]:
     """Parts of an ASCII chunk that the library sees more often: lower case, without a mark at its end."""
-    if not chunk.isascii() or "|" in chunk:
+    if not chunk.isascii() or _MARK in chunk:
         return (chunk,)
     core = chunk.lower()
     if core[-1] in ".,;:!?" and core[-2:-1].isalnum():
@@ -47,23 +49,45 @@ class ChunkTokens:
 
         self._encode = Tokenizer.from_file(path).encode_batch_fast
         self._known: dict[str, bytes] = {}
+        mark = self._of([_MARK])[0]
+        if len(mark) != 4:
+            raise ValueError(f"the tokenizer must have one id for {_MARK!r}")
+        self._mark = int.from_bytes(mark, "little")
+
+    def _of(self, texts: list[str]) -> list[bytes]:
+        found = self._encode(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, dtype="<u4").tobytes() for encoding in found]
+
+    def _of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without a mark, encoded as one text with marks between them."""
+        joined = self._of([f" {_MARK} ".join(parts)])[0]
+        ends = 4 * np.flatnonzero(np.frombuffer(joined, "<u4") == self._mark)
+        if len(ends) != len(parts) - 1:
+            return self._of(parts)
+        starts, ends = [0, *(ends + 4).tolist()], [*ends.tolist(), len(joined)]
+        return [joined[a:b] for a, b in zip(starts, ends)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(text) for text in texts]
         if len(self._known) > _MEMORY:
             self._known = {}
         known = self._known
-        new = {chunk: _core(chunk) for words in cut for chunk in words if chunk not in known}
+        words = set()
+        for some in cut:
+            words.update(some)
+        new = {chunk: _core(chunk) for chunk in words if chunk not in known}
         cores = {part for parts in new.values() for part in parts if part not in known}
-        missing = list(cores)
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            for core, found in zip(some, self._encode(some, add_special_tokens=False)):
-                known[core] = np.array(found.ids, dtype="<u4").tobytes()
+        marked = [core for core in cores if _MARK in core]
+        known.update(zip(marked, self._of(marked)))
+        plain = list(cores.difference(marked))
+        for at in range(0, len(plain), 4096):
+            some = plain[at : at + 4096]
+            known.update(zip(some, self._of_parts(some)))
         for chunk, parts in new.items():
             if len(parts) > 1 or parts[0] is not chunk:
                 known[chunk] = b"".join([known[part] for part in parts])
-        return [b"".join([known[chunk] for chunk in words]) for words in cut]
+        find = known.__getitem__
+        return [b"".join(map(find, some)) for some in cut]
 
 
 _TOKENS: dict[str, ChunkTokens] = {}
