@@ -61,7 +61,7 @@ def initial_population(spark: SparkSession, genes: Sequence[Gene], size: int, se
         g.bounded(F.lit(float(g.low)) + draw(seed, "individual", F.lit(i)) * F.lit(float(g.high - g.low)))
         for i, g in enumerate(genes)
     ]
-    ids = spark.range(0, size, 1, 1).withColumnRenamed("id", "individual")
+    ids = spark.range(size).withColumnRenamed("id", "individual")
     return ids.select("individual", F.array(*drawn).alias("genes"))
 
 
@@ -195,7 +195,7 @@ def evolve(
 
     def keep(frame: DataFrame, generation: int) -> DataFrame:
         target = f"{population_path}/generation={generation}"
-        frame.coalesce(1).write.mode("overwrite").parquet(target)
+        frame.write.mode("overwrite").parquet(target)
         return spark.read.parquet(target)
 
     start = initial_population(spark, genes, population, seed)

@@ -123,13 +123,10 @@ def _text(value) -> str | None:
 
 
 def _number(value) -> float:
-    for convert in (int, float):
-        try:
-            convert(value)
-            return float(value)
-        except (TypeError, ValueError, OverflowError):
-            continue
-    raise ValueError(f"Metric to maximize or minimize is not a number: {value!r}")
+    try:
+        return float(value)
+    except (TypeError, ValueError, OverflowError):
+        raise ValueError(f"a metric must be a number: {value!r}") from None
 
 
 def normalise(returned, optimization_key: str | None, optimise: bool) -> tuple[dict[str, str | None], float | None]:
@@ -184,16 +181,18 @@ def evaluate(
             ("outputs", pa.map_(pa.string(), pa.string())), ("metric", pa.float64()),
         ])
         for batch in batches:
+            results = []
             for row in batch.to_pylist():
                 arguments = {n: row[n] for n in names}
                 outputs, metric = normalise(function(**arguments), optimization_key, optimise)
-                yield pa.RecordBatch.from_pylist([{
+                results.append({
                     "trial_id": row["trial_id"],
                     "trial_key": row["trial_key"],
                     "params": [(n, _text(v)) for n, v in arguments.items()],
                     "outputs": list(outputs.items()),
                     "metric": metric,
-                }], schema=target)
+                })
+            yield pa.RecordBatch.from_pylist(results, schema=target)
 
     return spread.mapInArrow(run, RESULT_SCHEMA)
 

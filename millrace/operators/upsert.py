@@ -15,11 +15,31 @@ def latest_by_key(rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, changes: DataFrame, key: Sequence[str], order: str | None = None) -> DataFrame:
-    """Base rows whose key did not change, and the changes.
+    """Base rows whose key did not change, and the changes. A null key fails the job.
 
-    Changes must have one row per key; with ``order`` the newest one is taken first.
+    With ``order`` the newest change of a key is taken, without it a repeated key fails the job. A
+    base that keeps the order column also keeps its row when that is newer than the change; a base
+    without it takes every change, so late batches need the column.
     """
+    keys = list(key)
+    no_null = F.raise_error(F.lit(f"null in the key {keys} of a change"))
+    changes = changes.withColumns({k: F.when(F.col(f"`{k}`").isNotNull(), F.col(f"`{k}`")).otherwise(no_null) for k in keys})
     if order is not None:
-        changes = latest_by_key(changes, key, order).drop(order)
-    kept = base.join(changes.select(*key), list(key), "left_anti")
+        changes = latest_by_key(changes, keys, order)
+    else:
+        changes = _single_by_key(changes, keys)
+    if order is not None and order in base.columns:
+        # Only base rows of changed keys are looked at, so few changes do not shuffle the base.
+        present = base.join(changes.select(*keys), keys, "left_semi").select(*keys, F.col(f"`{order}`").alias("_present"))
+        late = F.coalesce(F.col("_present") > F.col(f"`{order}`"), F.col(f"`{order}`").isNull())
+        changes = changes.join(present, keys, "left").filter(F.col("_present").isNull() | ~late).drop("_present")
+    kept = base.join(changes.select(*keys), keys, "left_anti")
     return kept.unionByName(changes.select(*base.columns))
+
+
+def _single_by_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows as they are; the job fails when a key has several. The shuffle is the one a join on the key needs."""
+    repeated = F.raise_error(F.lit(f"several changes of one key {list(key)} and no order among them"))
+    payload = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    one = F.when(F.count(F.lit(1)) == 1, F.first(payload)).otherwise(repeated)
+    return rows.groupBy(*key).agg(one.alias("_row")).select("_row.*")

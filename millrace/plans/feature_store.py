@@ -258,7 +258,9 @@ class FeatureStore:
             raise ValueError(f"columns do not match: missing {sorted(missing)}, unknown {sorted(extra)}")
         rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in present.schema])
         if mode == "append":
-            rows.write.insertInto(table)
+            parts = list(filter(None, self._properties(table).get(_PARTITION, "").split(",")))
+            # As on creation: a partition's rows come together instead of one file from every task.
+            (rows.hint("rebalance", *parts) if parts else rows).write.insertInto(table)
             return
         # The job that can fail writes beside the present rows; only its finished result replaces
         # them. Should that copy fail, the staged table is kept and named.

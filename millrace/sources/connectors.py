@@ -14,10 +14,6 @@ from millrace.functions.types import row_store_type
 
 # --- fixed values: option names of the connectors -----------------------------------------------
 SECURITY_PROTOCOL = "SSL"
-KAFKA_CLIENT_KEYS = (
-    "bootstrap.servers", "security.protocol", "ssl.ca.location", "ssl.certificate.location", "ssl.key.location",
-    "group.id",
-)
 ELASTICSEARCH_FORMAT = "org.elasticsearch.spark.sql"
 S3_PREFIX = "s3a://"
 S3_TRAINING_FOLDER = "TRAINING_DATASETS"
@@ -58,11 +54,6 @@ def broker_list(servers: str) -> list[str]:
     return [s.strip().replace("INTERNAL://", "") for s in servers.split(",") if s.strip()]
 
 
-def kafka_client_config(servers: str, ca: str, certificate: str, key: str, group: str = "millrace") -> dict[str, str]:
-    values = (",".join(broker_list(servers)), SECURITY_PROTOCOL, ca, certificate, key, group)
-    return dict(zip(KAFKA_CLIENT_KEYS, values))
-
-
 def kafka_options(servers: str, topic: str, truststore: str | None = None, truststore_password: str | None = None,
                   keystore: str | None = None, keystore_password: str | None = None,
                   max_offsets_per_trigger: int | None = None) -> dict[str, str]:
@@ -168,13 +159,19 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str], table: str, parti
 
 def write_jdbc(df: DataFrame, options: Mapping[str, str], table: str, mode: str = "append",
                mysql_types: bool = False, partitions: int | None = None) -> None:
-    """Rows to a row store. ``mysql_types`` creates columns with its type names."""
+    """Rows to a row store. ``mysql_types`` creates text columns with its types; Spark knows the others."""
     writer = (df.coalesce(partitions) if partitions else df).write.format("jdbc").options(**options)
-    if mysql_types:
-        writer = writer.option("createTableColumnTypes", row_store_columns(df.schema))
+    if mysql_types and (texts := row_store_texts(df.schema)):
+        writer = writer.option("createTableColumnTypes", texts)
     writer.option("dbtable", table).mode(mode).save()
 
 
+def row_store_texts(schema: T.StructType) -> str:
+    """The text columns of :func:`row_store_columns`, the only types that Spark's option must name and can parse."""
+    texts = [f for f in schema if isinstance(f.dataType, T.StringType)]
+    return ", ".join(f"`{f.name}` {row_store_type(f.dataType)}" for f in texts)
+
+
 def row_store_columns(schema: T.StructType) -> str:
     return ", ".join(f"{f.name} {row_store_type(f.dataType)}" for f in schema)
 

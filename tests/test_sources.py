@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import avro
 from millrace.operators.upsert import latest_by_key, upsert
@@ -284,11 +285,24 @@ def test_upsert_with_a_hot_key(spark):
     assert latest_by_key(changes, ["k"], "seq").count() == len({7 if i % 3 == 0 else i % 100 for i in range(3000)})
 
 
+def test_upsert_keeps_newer_rows_and_refuses_bad_keys(spark):
+    base = spark.createDataFrame([(1, 30.0, 9), (2, 1.0, 1), (3, 5.0, None)], "k int, v double, seq int")
+    changes = spark.createDataFrame(
+        [(1, 20.0, 4), (2, 2.0, 2), (2, 3.0, 1), (3, 6.0, 1), (4, 7.0, 0)], "k int, v double, seq int"
+    )
+    found = {r.k: (r.v, r.seq) for r in upsert(base, changes, ["k"], "seq").collect()}
+    assert found == {1: (30.0, 9), 2: (2.0, 2), 3: (6.0, 1), 4: (7.0, 0)}
+    one = upsert(base, changes.filter("k IN (1, 4)"), ["k"])
+    assert {r.k: r.v for r in one.collect()} == {1: 20.0, 2: 1.0, 3: 5.0, 4: 7.0}
+    with pytest.raises(Exception, match="several changes of one key"):
+        upsert(base, changes, ["k"]).collect()
+    for order in (None, "seq"):
+        with pytest.raises(Exception, match="null in the key"):
+            upsert(base, spark.createDataFrame([(None, 1.0, 1)], base.schema), ["k"], order).collect()
+
+
 def test_connector_options(spark):
     assert C.broker_list("INTERNAL://10.0.0.1:9091,INTERNAL://b:2") == ["10.0.0.1:9091", "b:2"]
-    config = C.kafka_client_config("INTERNAL://a:1", "ca", "cert", "key")
-    assert config["bootstrap.servers"] == "a:1" and config["security.protocol"] == "SSL"
-    assert {"ssl.ca.location", "ssl.certificate.location", "ssl.key.location"} <= set(config)
     options = C.kafka_options("a:1", "t", truststore="ts", truststore_password="x", max_offsets_per_trigger=5)
     assert options["startingOffsets"] == "earliest" and options["kafka.security.protocol"] == "SSL"
     assert C.elasticsearch_options("n", "Demo", "Idx", "k", "kp", "t", "tp", "Bearer x")["es.resource"] == "demo_idx"
@@ -302,6 +316,9 @@ def test_connector_options(spark):
     assert C.s3_training_path("s3a://bucket/", "td", 2) == "s3a://bucket/TRAINING_DATASETS/td_2"
     schema = spark.sql("SELECT 1L AS a, 1 AS b, 'x' AS c, CAST(1 AS DECIMAL(9,2)) AS d").schema
     assert C.row_store_columns(schema) == "a BIGINT(20), b INT(11), c VARCHAR(1000), d DECIMAL(9,2)"
+    schema = spark.sql("SELECT 1L AS a, 1 AS b, 'x' AS c, X'00' AS d, 'y' AS `e f`").schema
+    parsed = T.StructType.fromDDL(C.row_store_texts(schema))
+    assert [f.name for f in parsed] == ["c", "e f"]
 
 
 def test_missing_packages_are_named(spark):
