@@ -38,6 +38,21 @@ _SPARK_FORMAT = {"tsv": "csv", "petastorm": "parquet"}
 _ENTRY = "zz_td_"
 
 
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if f.dataType.typeName() == "string"]
+
+
+def _guarded(df: DataFrame) -> DataFrame:
+    """Texts that look like the null marker get one more backslash in front."""
+    marked = {c: F.when(F.col(f"`{c}`").rlike(r"^\\+N$"), F.concat(F.lit("\\"), F.col(f"`{c}`"))) for c in _texts(df)}
+    return df.withColumns({c: m.otherwise(F.col(f"`{c}`")) for c, m in marked.items()})
+
+
+def _unguarded(df: DataFrame) -> DataFrame:
+    plain = {c: F.when(F.col(f"`{c}`").rlike(r"^\\\\+N$"), F.expr(f"substring(`{c}`, 2)")) for c in _texts(df)}
+    return df.withColumns({c: m.otherwise(F.col(f"`{c}`")) for c, m in plain.items()})
+
+
 class TrainingDatasets:
     def __init__(self, store):
         self.store = store
@@ -159,6 +174,8 @@ class TrainingDatasets:
                     F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, "nullable": f.nullable})
                     for f in df.schema
                 ])
+            if data_format in ("csv", "tsv"):
+                df = _guarded(df)
             df.write.format(_SPARK_FORMAT.get(data_format, data_format)).options(
                 **NATIVE_OPTIONS[data_format]
             ).mode("overwrite").save(target)
@@ -176,7 +193,8 @@ class TrainingDatasets:
             )
             if data_format in ("csv", "tsv") and any(f.dataType.typeName() == "string" for f in schema):
                 reader = reader.option("multiLine", "true")  # texts may hold line ends
-            return reader.schema(schema).load(path)
+            rows = reader.schema(schema).load(path)
+            return _unguarded(rows) if data_format in ("csv", "tsv") else rows
         if data_format in RECORD_FORMATS:
             return records.read_tfrecord(self.spark, path, schema)
         return records.read_npy_table(self.spark, path, schema)

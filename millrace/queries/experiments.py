@@ -199,10 +199,10 @@ def experiment_status(spark, sf_dir):
 
 
 def experiment_results(spark, sf_dir):
-    """Trials of two runs, stored below their run folders and read back together."""
+    """Trials of three runs, stored below their run folders and read back together."""
     runs = Experiments(spark, fresh_dir(spark, "experiments"), "app")
     trials = _order_trials(spark, sf_dir).drop("generation")
-    for state in ("F", "O"):
+    for state in ("F", "O", "P"):
         orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == state)
         runs.store_results(f"app_{state}", trials.join(orders, F.col("trial_id") == F.col("o_orderkey"), "left_semi"))
     return runs.results().select(
@@ -320,7 +320,7 @@ SQL = {
     ),
     "experiment_results": (
         "SELECT 'app_' || o_orderstatus AS run_id, o_orderkey AS trial_id, o_orderpriority AS priority, "
-        "o_totalprice AS metric FROM orders WHERE o_orderstatus IN ('F', 'O')"
+        "o_totalprice AS metric FROM orders"
     ),
     "run_summaries": (
         "SELECT o_orderkey AS trial_id, '{\"priority\":\"' || o_orderpriority || '\"}' AS parameters, "

@@ -342,3 +342,13 @@ def test_failed_overwrite_keeps_the_rows(spark, store):
 NO_STATS_KEPT = {
     "descriptive_statistics": False, "feature_correlation": False, "feature_histograms": False, "cluster_analysis": False,
 }
+
+
+@pytest.mark.parametrize("data_format", ["csv", "tsv"])
+def test_texts_like_the_null_marker_survive(spark, store, data_format):
+    texts = ["\\N", "\\\\N", "", None, "a\\N", "x\ny", "\\"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    store.create_training_dataset(rows, "marked", data_format=data_format)
+    assert [r.t for r in store.get_training_dataset("marked").orderBy("i").collect()] == texts
+    store.create_training_dataset(rows.select("i"), "plain", data_format=data_format)
+    assert store.get_training_dataset("plain").count() == len(texts)
