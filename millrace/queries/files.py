@@ -80,11 +80,8 @@ def npy_rows(spark, sf_dir):
     """Vectors as stacked arrays, read back element by element."""
     path = fresh_dir(spark, "npy")
     records.write_npy(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), path)
-    values = F.col("values")
-    return records.read_npy(spark, path).select(
-        values[0].cast("long").alias("vec_id"), (F.size(values) - 1).alias("width"),
-        F.round(values[1], 6).alias("first"), F.round(F.element_at(values, -1), 6).alias("last"),
-    )
+    rows = records.read_npy(spark, path).select(F.col("values")[0].cast("long").alias("vec_id"), F.posexplode("values"))
+    return rows.where("pos > 0").select("vec_id", F.col("pos").alias("place"), F.col("col").alias("cell"))
 
 
 def npz_arrays(spark, sf_dir):
@@ -135,10 +132,10 @@ def text_dump(spark, sf_dir):
 
 
 def whole_files(spark, sf_dir):
-    """Length of whole files, one per language and source."""
+    """Characters of whole files of texts, by language and source; a line end follows each text."""
     path = fresh_dir(spark, "whole")
     documents = table(spark, sf_dir, "documents")
-    documents.select(F.concat(F.lpad(F.col("doc_id").cast("string"), 10, "0")).alias("value"), "lang", "source").write.partitionBy(
+    documents.select(F.coalesce("text", F.lit("")).alias("value"), "lang", "source").write.partitionBy(
         "lang", "source"
     ).text(path)
     read = tables.read_whole(spark, path)
@@ -209,8 +206,8 @@ SQL = {
     "regex_reader": "SELECT event_id, event_type, value FROM events",
     "binary_records": "SELECT l_orderkey AS orderkey, l_linenumber AS line, l_returnflag AS flag FROM lineitem",
     "npy_rows": (
-        "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS width, round(embedding[1]::DOUBLE, 6) AS first, "
-        "round(embedding[len(embedding)]::DOUBLE, 6) AS last FROM embeddings"
+        "SELECT vec_id, CAST(unnest(range(1, len(embedding) + 1)) AS INTEGER) AS place, "
+        "CAST(unnest(embedding) AS DOUBLE) AS cell FROM embeddings"
     ),
     "npz_arrays": (
         "SELECT 'l_quantity' AS array_name, count(*) AS n_values, round(sum(l_quantity), 2) AS total FROM lineitem "
@@ -221,7 +218,7 @@ SQL = {
     "json_roundtrip": "SELECT doc_id, text, source FROM documents",
     "json_columns": "SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS balance FROM customer",
     "text_dump": "SELECT n_name AS value FROM nation",
-    "whole_files": "SELECT lang, source, CAST(11 * count(*) AS BIGINT) AS n_chars FROM documents GROUP BY lang, source",
+    "whole_files": "SELECT lang, source, CAST(sum(length(coalesce(text, '')) + 1) AS BIGINT) AS n_chars FROM documents GROUP BY lang, source",
     "file_listing": " UNION ALL ".join(f"SELECT '{t}.parquet' AS name" for t in _TABLES),
     "file_manifest_diff": (
         "SELECT DISTINCT 's_nationkey=' || s_nationkey AS file, "

@@ -64,6 +64,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and host, as Spark resolves it: tasks outside the JVM then write where Spark reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return target.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from millrace.functions.types import RECORD_FLOAT, RECORD_INT, record_type
+from millrace.session import qualified
 
 # --- fixed values of the file formats -----------------------------------------------------------
 CRC32C_POLYNOMIAL = 0x82F63B78
@@ -33,9 +34,9 @@ _BATCH_ROWS = 4096
 def _file_system(path: str):
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
-    return fs.LocalFileSystem(), path
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
 
 
 class _Files(WriterCommitMessage):
@@ -158,7 +159,7 @@ def write_npy(df: DataFrame, path: str) -> None:
     """One or more ``.npy`` files per partition; files already in the folder go. Null numbers become NaN."""
     _check_numeric(df)
     df.sparkSession.dataSource.register(NpySource)
-    df.write.format("millrace_npy").mode("overwrite").save(path)
+    df.write.format("millrace_npy").mode("overwrite").save(qualified(df.sparkSession, path))
 
 
 def write_npz(df: DataFrame, path: str, names: list[str] | None = None, compressed: bool = False) -> None:
@@ -174,7 +175,7 @@ def write_npz(df: DataFrame, path: str, names: list[str] | None = None, compress
     df.sparkSession.dataSource.register(NpySource)
     renamed.write.format("millrace_npy").option("archive", "true").option(
         "compressed", str(compressed).lower()
-    ).mode("overwrite").save(path)
+    ).mode("overwrite").save(qualified(df.sparkSession, path))
 
 
 def read_npy(spark: SparkSession, path: str) -> DataFrame:
@@ -420,7 +421,7 @@ def write_tfrecord(df: DataFrame, path: str) -> None:
         for f in df.schema
     ])
     df.sparkSession.dataSource.register(RecordSource)
-    plain.write.format("millrace_tfrecord").mode("overwrite").save(path)
+    plain.write.format("millrace_tfrecord").mode("overwrite").save(qualified(df.sparkSession, path))
 
 
 def _read_varint(data, at: int) -> tuple[int, int]:

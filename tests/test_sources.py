@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import avro
 from millrace.operators.upsert import latest_by_key, upsert
+from millrace.session import qualified
 from millrace.sources import connectors as C
 from millrace.sources import files as L
 from millrace.sources import records, tables, text
@@ -326,3 +327,18 @@ def test_missing_packages_are_named(spark):
                  lambda: C.write_kafka(spark.sql("SELECT 'k' AS key, 'v' AS value"), "a:1", "t")):
         with pytest.raises(RuntimeError, match="class path"):
             call()
+
+
+def test_paths_are_resolved_as_spark_does(spark, folder):
+    assert qualified(spark, "/a b/c") == "file:/a b/c"
+    assert qualified(spark, "file:///a/c") == "file:/a/c"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://127.0.0.1:1")
+    try:
+        assert qualified(spark, "/a/c") == "hdfs://127.0.0.1:1/a/c"
+    finally:
+        conf.set("fs.defaultFS", before)
+    path = f"{folder}/with space"
+    records.write_npy(spark.range(5), path)
+    assert sorted(row["values"][0] for row in records.read_npy(spark, path).collect()) == [0, 1, 2, 3, 4]
