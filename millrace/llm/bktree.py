@@ -114,9 +114,24 @@ def link_rows(
     looks at the rest, so a dense group costs little more than its first rows.
     """
     label = np.arange(len(group))
+    for label in link_steps(group, fingerprint, is_query, radius, similar, most_pairs):  # noqa: B007
+        pass
+    return label
+
+
+def link_steps(
+    group: np.ndarray,
+    fingerprint: np.ndarray,
+    is_query: np.ndarray,
+    radius: int,
+    similar: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    most_pairs: int = 1 << 20,
+) -> Iterator[np.ndarray]:
+    """The labels of :func:`link_rows` after each of its blocks; those of the last are final."""
+    label = np.arange(len(group))
     nodes = np.flatnonzero(~is_query)
     if not len(nodes):
-        return label
+        return
     forest = Forest(group[nodes], fingerprint[nodes])
     size = np.bincount(np.searchsorted(forest.groups, group[nodes]), minlength=len(forest.groups))
     place = np.minimum(np.searchsorted(forest.groups, group), len(forest.groups) - 1)
@@ -128,6 +143,7 @@ def link_rows(
         a, b = a[apart], b[apart]
         if similar is None:
             label = merge(label, a, b)
+            yield label
             continue
         for start in range(0, len(a), 8192):
             x, y = a[start : start + 8192], b[start : start + 8192]
@@ -136,7 +152,7 @@ def link_rows(
             if len(x):
                 good = similar(x, y)
                 label = merge(label, x[good], y[good])
-    return label
+        yield label
 
 
 def _blocks(load: np.ndarray, most: int) -> Iterator[np.ndarray]:

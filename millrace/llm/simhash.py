@@ -6,7 +6,8 @@ keys are chosen so that every pair to be found meets in some shard:
 * ``link_fingerprints``: the fingerprint is cut into radius + 1 blocks. Two fingerprints that differ
   in at most radius bits agree in at least one whole block, so no link is lost.
 * ``link_similar``: smallest shingle hashes under several permutations, so that documents of a given
-  Jaccard similarity share one of them; the similarity itself is checked on a sketch afterwards.
+  Jaccard similarity share one of them. A sketch then tells the pairs that are clearly similar or
+  clearly not; the pairs between are settled by the exact similarity of their shingle sets.
 
 A shard holds one BK-tree of about ``tree_rows`` fingerprints, or several when it is larger (a hot
 key): then its rows are dealt to trees by hash and every row searches each tree of its shard up to
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bktree import link_rows
+from millrace.llm.bktree import link_steps
 from millrace.llm.components import components
 from millrace.llm.work import column, partitions, steps, stored, texts_of
 
@@ -34,6 +35,8 @@ _HASH_SEED = 42
 _HASHES_PER_STEP = 1 << 16
 #: Permutations whose smallest shingle hash is a shard key, and bins of the similarity sketch.
 KEYS, BINS = 6, 256
+#: Open pairs of a row, the likeliest, that are settled before the others are looked at.
+OPEN_PAIRS = 8
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,12 +97,19 @@ def link_fingerprints(prints: DataFrame, radius: int = 4, tree_rows: int = 4096)
         for i, (low, high) in enumerate(zip(bounds, bounds[1:]))
     ])
     rows = prints.select(F.col("fp").alias("node"), "fp").distinct().withColumn("keys", keys)
-    return components(_stars(rows, radius, tree_rows, None))
+    return components(_stars(rows, radius, tree_rows, None).select("a", "b"))
 
 
-def _stars(rows: DataFrame, radius: int, tree_rows: int, similarity: float | None) -> DataFrame:
-    """Edges (a, b) that connect the rows (node, fp, keys[, sketch]) of each shard's classes."""
-    carried = ["node", "fp", *(["sketch"] if similarity is not None else [])]
+def _stars(
+    rows: DataFrame, radius: int, tree_rows: int, similarity: float | None, most_open: int | None = None
+) -> DataFrame:
+    """Edges (a, b, sure) that connect the rows (node, fp, keys[, sketch, class]) of each shard's classes.
+
+    Pairs whose sketches leave the similarity open, of rows that no sure edge of the shard has
+    connected, are edges too, with ``sure`` false. If only the ``most_open`` likeliest of a row are
+    asked for, the rows of the other pairs are returned as loops with ``sure`` null.
+    """
+    carried = ["node", "fp", *(["sketch", "class"] if similarity is not None else [])]
     rows = stored(rows, "shard-rows")
     shards = (
         rows.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
@@ -114,12 +124,12 @@ def _stars(rows: DataFrame, radius: int, tree_rows: int, similarity: float | Non
     dealt = dealt.repartition(partitions(rows.sparkSession), "key", "tree").sortWithinPartitions("key", "tree", "query")
 
     def stars(batches):
-        buffer: _Shards = _Shards(radius, similarity)
+        buffer: _Shards = _Shards(radius, similarity, most_open)
         for batch in batches:
             yield from buffer.add(batch)
         yield from buffer.finish()
 
-    return dealt.mapInArrow(stars, "a long, b long").distinct()
+    return dealt.mapInArrow(stars, "a long, b long, sure boolean").distinct()
 
 
 class _Shards:
@@ -130,9 +140,11 @@ class _Shards:
     """
 
     rows = 1 << 15
+    #: Open pairs that are held before they are handed on.
+    open_pairs = 1 << 20
 
-    def __init__(self, radius: int, similarity: float | None):
-        self.radius, self.similarity = radius, similarity
+    def __init__(self, radius: int, similarity: float | None, most_open: int | None):
+        self.radius, self.similarity, self.most_open = radius, similarity, most_open
         self.kept: pa.Table | None = None
         self.linked = False  # the tree rows in ``kept`` have been linked among themselves
 
@@ -162,17 +174,61 @@ class _Shards:
         turn = np.ones(len(key), bool)
         turn[1:] = (key[1:] != key[:-1]) | (tree[1:] != tree[:-1])
         node, similar = table["node"].to_numpy(), None
+        doubtful: list[tuple[np.ndarray, ...]] = []
         if self.similarity is not None:
             sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, BINS)
+            known = table["class"].to_numpy()
 
             def similar(a, b):
-                return sketch_similarity(sketch[a], sketch[b]) >= self.similarity
-
-        label = link_rows(
+                share, margin = sketch_similarity(sketch[a], sketch[b], self.similarity)
+                same = known[a] == known[b]
+                near = (np.abs(share - self.similarity) < margin) & ~same
+                if near.any():
+                    doubtful.append((a[near], b[near], share[near]))
+                return same | ~near & (share >= self.similarity)
+
+        label = np.arange(len(key))
+        for label in link_steps(
             np.cumsum(turn), table["fp"].to_numpy().view(np.uint64), table["query"].to_numpy(), self.radius, similar
-        )
+        ):
+            if sum(len(pairs[0]) for pairs in doubtful) > self.open_pairs:
+                yield from self._apart(node, label, doubtful)
+        yield from self._apart(node, label, doubtful)
         tied = label != np.arange(len(label))
-        yield pa.RecordBatch.from_arrays([pa.array(node[label[tied]]), pa.array(node[tied])], ["a", "b"])
+        yield self._edges(node[label[tied]], node[tied], True)
+
+    def _apart(self, node: np.ndarray, label: np.ndarray, doubtful: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """The open pairs whose rows are not in one class by now; they are taken off the list."""
+        if not doubtful:
+            return
+        a, b, share = (np.concatenate(parts) for parts in zip(*doubtful))
+        doubtful.clear()
+        apart = label[a] != label[b]
+        a, b, share = a[apart], b[apart], share[apart]
+        if self.most_open is not None:
+            kept = (_places(a, share) < self.most_open) | (_places(b, share) < self.most_open)
+            rest = node[np.unique(np.concatenate([a[~kept], b[~kept]]))]
+            yield self._edges(rest, rest, None)
+            a, b = a[kept], b[kept]
+        a, b = node[a], node[b]
+        yield self._edges(np.minimum(a, b), np.maximum(a, b), False)
+
+    @staticmethod
+    def _edges(a: np.ndarray, b: np.ndarray, sure: bool | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b), pa.array([sure] * len(a), pa.bool_())], ["a", "b", "sure"]
+        )
+
+
+def _places(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Place of each value among those of its owner, the largest first."""
+    order = np.lexsort((-value, owner))
+    first = np.ones(len(order), bool)
+    first[1:] = owner[order][1:] != owner[order][:-1]
+    at = np.arange(len(order))
+    place = np.empty(len(order), np.int64)
+    place[order] = at - np.maximum.accumulate(np.where(first, at, 0))
+    return place
 
 
 def near_duplicates(
@@ -220,24 +276,29 @@ def sketch_of(hashes: np.ndarray) -> tuple[list[int], bytes]:
     return keys, short.tobytes()
 
 
-def sketch_similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of bins, filled in either sketch, that agree: an estimate of the Jaccard similarity."""
+def sketch_similarity(a: np.ndarray, b: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Share of bins, filled in either sketch, that agree, and how far it can be from the Jaccard similarity.
+
+    The margin is four standard errors at ``similarity`` and two bins, for small sets whose shingles
+    meet in a bin.
+    """
     filled = (a > 0) | (b > 0)
-    return ((a == b) & filled).sum(axis=1) / np.maximum(filled.sum(axis=1), 1)
+    count = np.maximum(filled.sum(axis=1), 1)
+    return ((a == b) & filled).sum(axis=1) / count, 4 * (similarity * (1 - similarity) / BINS) ** 0.5 + 2 / count
 
 
 def link_similar(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 18, tree_rows: int = 4096,
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 22, tree_rows: int = 4096,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(id, component): rows whose word shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Links need a distance within ``radius`` of the SimHashes of the distinct shingles, since repeats do
-    not count for the similarity either, and the similarity as estimated from sketches of
-    BINS bins (standard error 0.025 at 0.8). A pair of similarity 0.8 shares none of the KEYS shard
-    keys with probability 0.2 ** 6, and differs in more than 18 bits with probability 0.003, or 0.024 with five
-    shingles. Texts
-    with equal shingle sets are one node. Rows with a null id or without a word are left out.
+    Links need a distance within ``radius`` of the SimHashes of the distinct shingles, since repeats
+    do not count for the similarity either. Sketches of BINS bins clear the pairs that are more than
+    four standard errors (0.1 at 0.8) from ``similarity``; the others are settled exactly, unless
+    clear pairs connect them anyway. A pair of similarity 0.8 shares none of the KEYS shard keys with
+    probability 0.2 ** 6, and differs in more than 22 bits with probability up to 0.001. Texts with
+    equal shingle sets are one node. Rows with a null id or without a word are left out.
     """
 
     def sketched(batches):
@@ -272,7 +333,29 @@ def link_similar(
         rows.join(met, "node", "left_semi").groupBy("node")
         .agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     )
-    linked = components(_stars(distinct, radius, tree_rows, similarity))
+    distinct = stored(distinct, "met-nodes")
+
+    def settled(found: DataFrame, linked: DataFrame | None) -> DataFrame:
+        """Components of the sure edges, the open pairs that are similar, and ``linked``."""
+        known = found.where("sure").select("a", "b")
+        if linked is not None:
+            known = known.unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        linked = components(known)
+        pairs = stored(_between(found.where("not sure").select("a", "b"), linked), "open-pairs")
+        if pairs.isEmpty():
+            return linked
+        exact = _exact(pairs, docs, rows, words, similarity, id_col, text_col)
+        return components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(exact))
+
+    # The likeliest pairs connect most dense groups; only what they leave apart is searched once more.
+    alone = distinct.withColumn("class", F.col("node"))
+    found = stored(_stars(alone, radius, tree_rows, similarity, OPEN_PAIRS), "similar-pairs")
+    linked = settled(found, None)
+    rest = found.where("sure IS NULL").select(F.col("a").alias("node"))
+    if not rest.isEmpty():
+        rest = distinct.join(rest.distinct(), "node", "left_semi").join(linked, "node", "left")
+        rest = rest.withColumn("class", F.coalesce("component", "node")).drop("component")
+        linked = settled(stored(_stars(rest, radius, tree_rows, similarity), "similar-pairs"), linked)
     names = least.join(linked, "node", "left").withColumn("class", F.coalesce("component", "node"))
     names = stored(names.select("node", "own", "class"), "classes")
     tied = names.join(linked.select(F.col("component").alias("class")).distinct(), "class", "left_semi")
@@ -281,6 +364,43 @@ def link_similar(
     return rows.select("id", "node").join(names, "node").select("id", "component")
 
 
+def _between(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes ``linked`` does not put into one component."""
+    for end in ("a", "b"):
+        named = linked.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(named, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return pairs.where("of_a != of_b").select("a", "b")
+
+
+def _exact(
+    pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, similarity: float, id_col: str, text_col: str
+) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets have the similarity; sets are made anew from one row a node."""
+
+    def hashed(batches):
+        for batch in steps(batches):
+            nodes, sets = [], []
+            for node, text in zip(column(batch, "node").to_pylist(), texts_of(batch)):
+                hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
+                # Another row of the same id may have another text.
+                if _signed([xxhash.xxh64_intdigest(hashes.tobytes())])[0].as_py() == node:
+                    nodes.append(node)
+                    sets.append(_signed(hashes))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"]
+            )
+
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    chosen = rows.join(ends, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    sets = texts.select("node", "text").mapInArrow(hashed, "node long, hashes array<long>")
+    sets = stored(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingle-sets")
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("hashes").alias(f"set_{end}")), end)
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    return pairs.where(shared / (F.size("set_a") + F.size("set_b") - shared) >= similarity).select("a", "b")
+
+
 def drop_near_duplicates(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
