@@ -4,8 +4,8 @@ The patterns give spans that always stay. Further candidates are long runs of co
 with a digit; a small convolutional network sees each with its surroundings. It is trained in numpy
 on the findings of the patterns (candidates inside a pattern's span against those outside), with
 the surroundings swapped in half of the examples, so that it also has to know a secret by itself.
-Its scores are calibrated on rows it has not seen, and the threshold is the highest one that still
-finds the asked share of them.
+Its scores are calibrated on all windows it has not been fitted on, and the threshold is the highest
+one that still finds the asked share of them.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/_-]{12,}")
 
 LEFT, HEAD, TAIL, RIGHT = 32, 32, 16, 16
 WIDTH = LEFT + HEAD + TAIL + RIGHT
+#: Steps of the score histogram in one unit of the network's output; outputs beyond 30 count as 30.
+SCORE_STEPS = 256
 _PARTS = ((0, LEFT), (LEFT - 2, LEFT + HEAD + TAIL), (LEFT + HEAD + TAIL - 2, WIDTH))
 
 
@@ -146,14 +148,14 @@ class SecretModel:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.network.logits(codes) + self.shift, -30, 30)))
 
 
-def _calibrate(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Platt scaling by Newton steps, with targets drawn in a little."""
-    target = np.where(label == 1, (label.sum() + 1) / (label.sum() + 2), 1 / ((1 - label).sum() + 2))
+def _calibrate(logit: np.ndarray, hit: np.ndarray, miss: np.ndarray) -> tuple[float, float]:
+    """Platt scaling by Newton steps of scores with counts of both labels, with targets drawn in a little."""
+    high, low = (hit.sum() + 1) / (hit.sum() + 2), 1 / (miss.sum() + 2)
     x, w = np.stack([logit, np.ones_like(logit)], 1), np.array([1.0, 0.0])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        w = w - np.linalg.solve(hessian, x.T @ (p - target))
+        hessian = (x * ((hit + miss) * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        w = w - np.linalg.solve(hessian, x.T @ ((hit + miss) * p - hit * high - miss * low))
     return float(max(w[0], 1e-3)), float(w[1])
 
 
@@ -163,6 +165,8 @@ def train(
     """Fit on at most ``sample`` candidates inside and as many outside the patterns' spans.
 
     The sample is the smallest hashes of the distinct windows, so it does not depend on partitioning.
+    Calibration and threshold come from all distinct windows the network was not fitted on, scored
+    in the tasks and counted in a histogram of SCORE_STEPS steps a unit.
     None is returned if one kind has fewer than 20 examples: then only the patterns find secrets.
     """
 
@@ -194,14 +198,36 @@ def train(
     swapped[:, -RIGHT:] = fit_codes[draw.permutation(len(fit_codes)), -RIGHT:]
     network = CharacterNetwork()
     network.fit(np.concatenate([fit_codes, swapped]), np.tile(fit_label, 2))
-    logit = network.logits(codes[held])
-    scale, shift = _calibrate(logit, label[held])
+    fitted = {shown for shown, out in zip(hit + miss, held) if not out}
+    scores = _held_scores(rows, network, fitted)
+    logit = (scores[:, 0] + 0.5) / SCORE_STEPS
+    scale, shift = _calibrate(logit, scores[:, 1], scores[:, 2])
     model = SecretModel(network, scale, shift, 0.5)
-    right = np.sort(1 / (1 + np.exp(-(scale * logit[label[held] == 1] + shift))))
-    model.threshold = float(right[int((1 - recall) * len(right))]) if len(right) else 0.5
+    # The highest lower edge of a score step above which the asked share of all findings lies.
+    found = np.cumsum(scores[::-1, 1])[::-1]
+    if found.size and found[0]:
+        lowest = scores[np.flatnonzero(found >= recall * found[0])[-1], 0] / SCORE_STEPS
+        model.threshold = float(1 / (1 + np.exp(-np.clip(scale * lowest + shift, -30, 30))))
     return model
 
 
+def _held_scores(rows: DataFrame, network: CharacterNetwork, fitted: set[bytes]) -> np.ndarray:
+    """(score step, findings, others) by step, of all distinct windows but those the network was fitted on."""
+
+    def scored(batches):
+        for batch in batches:
+            keep = [(s, i) for s, i in zip(column(batch, "shown").to_pylist(), column(batch, "inside").to_pylist()) if s not in fitted]
+            codes = np.frombuffer(b"".join(s for s, _ in keep), np.uint8).reshape(-1, WIDTH)
+            step = np.floor(np.clip(network.logits(codes), -30, 30) * SCORE_STEPS).astype(np.int64)
+            inside = np.array([i for _, i in keep], bool)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(step), pa.array(inside.astype(np.int64)), pa.array((~inside).astype(np.int64))], ["step", "hit", "miss"]
+            )
+
+    steps_of = rows.mapInArrow(scored, "step long, hit long, miss long").groupBy("step").agg(F.sum("hit"), F.sum("miss"))
+    return np.array(sorted(map(tuple, steps_of.collect())), np.int64).reshape(-1, 3)
+
+
 def spans_of(texts: list[str], model: SecretModel | None) -> list[list[tuple[int, str, int]]]:
     """All spans of each text by start, then kind: the patterns', and candidates the model accepts."""
     found = [base_spans(text) for text in texts]

@@ -160,6 +160,17 @@ def test_secrets(spark):
     assert secret_scan.train(frame(spark, ODD)) is None and secret_scan.scan(frame(spark, []), None).count() == 0
 
 
+def test_threshold_is_of_all_findings(spark):
+    random.seed(13)
+    key = lambda: "".join(random.choices("0123456789abcdef", k=18))
+    hard = lambda i: f"password=wordy{i}longer" if i % 4 else f"password={key()}"
+    rows = [(i, f"some words {hard(i) if i % 2 else 'card ' + random.choice(['word', '']) + key()} end") for i in range(3000)]
+    model = secret_scan.train(frame(spark, rows), recall=0.9, sample=40)
+    shown = list({secret_scan.window(t, *secret_scan.candidates(t)[0]) for i, t in rows if i % 2})
+    share = (model.probability(shown) >= model.threshold).mean()
+    assert 0.895 <= share <= 0.93
+
+
 def test_pairs_make_the_machine():
     machine = quality.FactorisationMachine.start(8, 3)
     machine.linear[:] = np.random.default_rng(0).normal(size=len(machine.linear))
