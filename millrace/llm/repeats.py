@@ -1,11 +1,12 @@
-"""Repeated byte strings of 200 bytes and more, by prefix doubling over synchronised positions.
+"""Repeated byte strings of 200 bytes and more, by hashes of windows at synchronised positions.
 
 Doubling the ranks of every byte position would sort the corpus once per byte and round. Here only
 *anchors* are ranked: of every window of ``size`` bytes, the k-gram with the smallest hash. Equal
 windows have the same anchor at the same offset, so comparing anchors compares all windows, and
 about one position in 85 is an anchor. The windows of one anchor are a run of starts.
 
-Ranks grow as in prefix doubling, and what is unique leaves:
+This replaces prefix doubling: a "rank" below is a hash of the bytes, made anew in each round, not a
+number from the ranks before. What is unique leaves:
 
 1. rank by the k-gram at the anchor (32 bytes): anchors that no other shares are done;
 2. rank by everything its windows cover: anchors that agree in it repeat in all their windows;
