@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from millrace.llm import (
-    decontaminate, language, packing, quality, repeats, secret_scan, simhash, sketches, token_counts, warc,
+    decontaminate, language, packing, periodic, quality, repeats, secret_scan, simhash, sketches, token_counts, warc,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -90,12 +90,44 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents repeat a stretch of their words up to the end; null ids are left alone."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = docs.select("doc_id", "text", words.alias("words"), g.alias("g")).withColumn("n", F.greatest(F.size("words"), F.lit(0)))
+    cut = cut.withColumn("a", (F.col("g") % F.greatest("n", F.lit(1))).cast("int"))
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    joined = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, joined).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, the one of greatest exponent, and the texts without their repetitions."""
+    found = periodic.periodic_runs(_repeating(_table(spark, sf_dir, "documents")))
+    best = F.aggregate(
+        "runs", F.lit(None).cast("struct<start:long,length:long,period:long>"),
+        lambda b, r: F.when(
+            b["period"].isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r
+        ).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash_near_dedup, op2_secret_scans, op3_quality_classifier, op4_token_counts, op5_packing,
         op6_suffix_array_dedup, op7_document_fingerprints, op8_warc,
-        op9_language_id, op10_decontamination,
+        op9_language_id, op10_decontamination, op11_periodic_runs,
     )
 }
 SQL = {
