@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from millrace.llm import (
-    decontaminate, language, packing, periodic, quality, repeats, secret_scan, simhash, sketches, token_counts, warc,
+    conversations, decontaminate, language, packing, periodic, quality, repeats, secret_scan, shards, simhash, sketches,
+    token_counts, warc,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -122,12 +123,46 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Turns of which a fifth are dropped, emptied, cut, repeated or given to the user, by a checksum."""
+    shown = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"), code.alias("code"))
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return rows.where("code <> 0").select(
+        "conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(F.col("code") == 3, 2).otherwise(1))),
+    ).drop("col")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired rows of damaged conversations."""
+    given = _table(spark, sf_dir, "conversations")
+    edits, repaired = conversations.repair(_damaged(given))
+    found = given.select("conv_id").distinct()
+    for part in (conversations.report(edits), conversations.digests(repaired)):
+        found = found.join(part, F.expr("conv_id <=> conv"), "left").drop("conv")
+    zeros = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id", *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in zeros],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 40 shards of near-equal size that do not part equal texts."""
+    found = shards.shard(_table(spark, sf_dir, "documents"), shards=40).withColumnRenamed("id", "doc_id")
+    return found.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash_near_dedup, op2_secret_scans, op3_quality_classifier, op4_token_counts, op5_packing,
         op6_suffix_array_dedup, op7_document_fingerprints, op8_warc,
         op9_language_id, op10_decontamination, op11_periodic_runs,
+        op12_conversation_repair, op13_sharding,
     )
 }
 SQL = {
