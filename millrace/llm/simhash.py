@@ -7,7 +7,8 @@ keys are chosen so that every pair to be found meets in some shard:
   in at most radius bits agree in at least one whole block, so no link is lost.
 * ``link_similar``: smallest shingle hashes under several permutations, so that documents of a given
   Jaccard similarity share one of them. A sketch then tells the pairs that are clearly similar or
-  clearly not; the pairs between are settled by the exact similarity of their shingle sets.
+  clearly not. Rows with pairs between are searched once more, with their shingle sets: the task that
+  meets such a pair takes its exact similarity, and hands on what it unites, never the pairs.
 
 A shard holds one BK-tree of about ``tree_rows`` fingerprints, or several when it is larger (a hot
 key): then its rows are dealt to trees by hash and every row searches each tree of its shard up to
@@ -35,8 +36,8 @@ _HASH_SEED = 42
 _HASHES_PER_STEP = 1 << 16
 #: Permutations whose smallest shingle hash is a shard key, and bins of the similarity sketch.
 KEYS, BINS = 6, 256
-#: Open pairs of a row, the likeliest, that are settled before the others are looked at.
-OPEN_PAIRS = 8
+#: Bytes of shingle sets in a tree, and in the rows that a task holds of one that is larger.
+SET_BYTES = 32 << 20
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,23 +98,24 @@ def link_fingerprints(prints: DataFrame, radius: int = 4, tree_rows: int = 4096)
         for i, (low, high) in enumerate(zip(bounds, bounds[1:]))
     ])
     rows = prints.select(F.col("fp").alias("node"), "fp").distinct().withColumn("keys", keys)
-    return components(_stars(rows, radius, tree_rows, None).select("a", "b"))
+    return components(_stars(rows, radius, tree_rows, None))
 
 
-def _stars(
-    rows: DataFrame, radius: int, tree_rows: int, similarity: float | None, most_open: int | None = None
-) -> DataFrame:
-    """Edges (a, b, sure) that connect the rows (node, fp, keys[, sketch, class]) of each shard's classes.
+def _stars(rows: DataFrame, radius: int, tree_rows: int, similarity: float | None) -> DataFrame:
+    """Edges (a, b) that connect the rows (node, fp, keys[, sketch, class[, hashes]]) of each shard's classes.
 
-    Pairs whose sketches leave the similarity open, of rows that no sure edge of the shard has
-    connected, are edges too, with ``sure`` false. If only the ``most_open`` likeliest of a row are
-    asked for, the rows of the other pairs are returned as loops with ``sure`` null.
+    Without ``hashes``, the rows with pairs whose sketches leave the similarity open, and which no
+    edge of the shard connects, are returned as loops; with them such pairs are settled. Either way
+    a tree returns at most two edges a row.
     """
-    carried = ["node", "fp", *(["sketch", "class"] if similarity is not None else [])]
+    exact = "hashes" in rows.columns
+    carried = ["node", "fp", *(["sketch", "class"] if similarity is not None else []), *(["hashes"] if exact else [])]
     rows = stored(rows, "shard-rows")
+    size = F.size("hashes").cast("long") * 8 if exact else F.lit(0)
+    load = F.greatest(F.count(F.lit(1)) / tree_rows, F.sum("size") / SET_BYTES)
     shards = (
-        rows.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
-        .select("key", F.ceil(F.col("count") / tree_rows).cast("int").alias("trees"))
+        rows.select(F.explode("keys").alias("key"), size.alias("size")).groupBy("key")
+        .agg(F.ceil(load).cast("int").alias("trees"), F.count(F.lit(1)).alias("count")).where("count > 1").drop("count")
     )
     dealt = (
         rows.select("*", F.explode("keys").alias("key")).drop("keys").join(shards, "key")
@@ -124,12 +126,12 @@ def _stars(
     dealt = dealt.repartition(partitions(rows.sparkSession), "key", "tree").sortWithinPartitions("key", "tree", "query")
 
     def stars(batches):
-        buffer: _Shards = _Shards(radius, similarity, most_open)
+        buffer: _Shards = _Shards(radius, similarity, exact)
         for batch in batches:
             yield from buffer.add(batch)
         yield from buffer.finish()
 
-    return dealt.mapInArrow(stars, "a long, b long, sure boolean").distinct()
+    return dealt.mapInArrow(stars, "a long, b long").distinct()
 
 
 class _Shards:
@@ -140,95 +142,130 @@ class _Shards:
     """
 
     rows = 1 << 15
-    #: Open pairs that are held before they are handed on.
+    #: Open pairs that are held before their rows are handed on.
     open_pairs = 1 << 20
 
-    def __init__(self, radius: int, similarity: float | None, most_open: int | None):
-        self.radius, self.similarity, self.most_open = radius, similarity, most_open
-        self.kept: pa.Table | None = None
-        self.linked = False  # the tree rows in ``kept`` have been linked among themselves
+    def __init__(self, radius: int, similarity: float | None, exact: bool):
+        self.radius, self.similarity, self.exact = radius, similarity, exact
+        self.parts: list[pa.Table] = []
+        self.held = self.bytes = 0
+        self.linked = False  # the tree rows that are held have been linked among themselves
 
     def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if not batch.num_rows:
-            return
-        table = pa.Table.from_batches([batch])
-        self.kept = table if self.kept is None else pa.concat_tables([self.kept, table]).combine_chunks()
-        if self.kept.num_rows < self.rows:
+        # A batch of long shingle sets is taken in pieces.
+        step = max(1, batch.num_rows * SET_BYTES // max(1, batch.nbytes)) if self.exact else max(1, batch.num_rows)
+        for start in range(0, batch.num_rows, step):
+            yield from self._add(pa.Table.from_batches([batch.slice(start, step)]))
+
+    def _add(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        self.parts.append(table)
+        self.held, self.bytes = self.held + table.num_rows, self.bytes + table.nbytes
+        if not self._full():
             return
-        key, tree = self.kept["key"].to_numpy(), self.kept["tree"].to_numpy()
+        kept = pa.concat_tables(self.parts).combine_chunks()
+        key, tree = kept["key"].to_numpy(), kept["tree"].to_numpy()
         last = np.flatnonzero((key == key[-1]) & (tree == tree[-1]))[0]
         if last:
-            yield from self._link(self.kept.slice(0, last))
-            self.kept, self.linked = self.kept.slice(last).combine_chunks(), False
-        if self.kept.num_rows >= self.rows and self.kept["query"][-1].as_py():
-            yield from self._link(self.kept)
-            nodes = int(np.count_nonzero(~self.kept["query"].to_numpy()))
-            self.kept, self.linked = self.kept.slice(0, nodes).combine_chunks(), True
+            yield from self._link(kept.slice(0, last))
+            kept, self.linked = kept.slice(last), False
+        self._hold(kept)
+        if self._full() and kept["query"][-1].as_py():
+            yield from self._link(kept)
+            nodes = int(np.count_nonzero(~kept["query"].to_numpy()))
+            self._hold(kept.slice(0, nodes))
+            self.linked = True
+
+    def _full(self) -> bool:
+        # Beside a tree's own rows there is always room for as many bytes again.
+        return self.held >= self.rows or self.exact and self.bytes >= 3 * SET_BYTES
+
+    def _hold(self, table: pa.Table) -> None:
+        self.parts, self.held, self.bytes = [table], table.num_rows, table.nbytes
 
     def finish(self) -> Iterator[pa.RecordBatch]:
-        if self.kept is not None and self.kept.num_rows:
-            yield from self._link(self.kept)
+        if self.held:
+            yield from self._link(pa.concat_tables(self.parts).combine_chunks())
 
     def _link(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
         key, tree = table["key"].to_numpy(), table["tree"].to_numpy()
         turn = np.ones(len(key), bool)
         turn[1:] = (key[1:] != key[:-1]) | (tree[1:] != tree[:-1])
         node, similar = table["node"].to_numpy(), None
-        doubtful: list[tuple[np.ndarray, ...]] = []
+        doubtful: list[tuple[np.ndarray, np.ndarray]] = []
         if self.similarity is not None:
             sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, BINS)
             known = table["class"].to_numpy()
+            sets = _Sets(table["hashes"].combine_chunks()) if self.exact else None
 
             def similar(a, b):
                 share, margin = sketch_similarity(sketch[a], sketch[b], self.similarity)
                 same = known[a] == known[b]
                 near = (np.abs(share - self.similarity) < margin) & ~same
-                if near.any():
-                    doubtful.append((a[near], b[near], share[near]))
-                return same | ~near & (share >= self.similarity)
+                good = same | ~near & (share >= self.similarity)
+                if sets is None:
+                    doubtful.append((a[near], b[near]))
+                else:
+                    good[near] = sets.similar(a[near], b[near], self.similarity)
+                return good
 
         label = np.arange(len(key))
         for label in link_steps(
             np.cumsum(turn), table["fp"].to_numpy().view(np.uint64), table["query"].to_numpy(), self.radius, similar
         ):
             if sum(len(pairs[0]) for pairs in doubtful) > self.open_pairs:
-                yield from self._apart(node, label, doubtful)
-        yield from self._apart(node, label, doubtful)
+                yield from self._open(node, label, doubtful)
+        yield from self._open(node, label, doubtful)
         tied = label != np.arange(len(label))
-        yield self._edges(node[label[tied]], node[tied], True)
+        yield self._edges(node[label[tied]], node[tied])
 
-    def _apart(self, node: np.ndarray, label: np.ndarray, doubtful: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """The open pairs whose rows are not in one class by now; they are taken off the list."""
-        if not doubtful:
-            return
-        a, b, share = (np.concatenate(parts) for parts in zip(*doubtful))
-        doubtful.clear()
-        apart = label[a] != label[b]
-        a, b, share = a[apart], b[apart], share[apart]
-        if self.most_open is not None:
-            kept = (_places(a, share) < self.most_open) | (_places(b, share) < self.most_open)
-            rest = node[np.unique(np.concatenate([a[~kept], b[~kept]]))]
-            yield self._edges(rest, rest, None)
-            a, b = a[kept], b[kept]
-        a, b = node[a], node[b]
-        yield self._edges(np.minimum(a, b), np.maximum(a, b), False)
+    def _open(self, node: np.ndarray, label: np.ndarray, doubtful: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """Rows of the open pairs that are not in one class by now; the pairs are taken off the list."""
+        if doubtful:
+            a, b = (np.concatenate(parts) for parts in zip(*doubtful))
+            doubtful.clear()
+            apart = label[a] != label[b]
+            rows = node[np.unique(np.concatenate([a[apart], b[apart]]))]
+            yield self._edges(rows, rows)
 
     @staticmethod
-    def _edges(a: np.ndarray, b: np.ndarray, sure: bool | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a), pa.array(b), pa.array([sure] * len(a), pa.bool_())], ["a", "b", "sure"]
-        )
-
-
-def _places(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Place of each value among those of its owner, the largest first."""
-    order = np.lexsort((-value, owner))
-    first = np.ones(len(order), bool)
-    first[1:] = owner[order][1:] != owner[order][:-1]
-    at = np.arange(len(order))
-    place = np.empty(len(order), np.int64)
-    place[order] = at - np.maximum.accumulate(np.where(first, at, 0))
-    return place
+    def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+class _Sets:
+    """Sorted sets of hashes, compared exactly."""
+
+    #: Members of sets that are looked up at once.
+    most = 1 << 21
+
+    def __init__(self, sets: pa.ListArray):
+        self.begin = sets.offsets.to_numpy()
+        self.size = np.diff(self.begin)
+        self.values = sets.values.to_numpy()
+
+    def _of(self, row: int) -> np.ndarray:
+        return self.values[self.begin[row] : self.begin[row + 1]]
+
+    def similar(self, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+        """Whether the Jaccard similarity of the sets a[i] and b[i], none empty, is ``similarity`` or more."""
+        out = np.zeros(len(a), bool)
+        sizes = self.size[a], self.size[b]
+        # Sets of very unequal sizes cannot be similar.
+        open_pairs = np.flatnonzero(np.minimum(*sizes) >= similarity * np.maximum(*sizes))
+        open_pairs = open_pairs[np.argsort(a[open_pairs], kind="stable")]
+        for some in np.split(open_pairs, np.flatnonzero(np.diff(a[open_pairs])) + 1):
+            if not len(some):
+                continue
+            own = self._of(a[some[0]])
+            block = np.cumsum(self.size[b[some]]) // self.most
+            for part in np.split(some, np.flatnonzero(np.diff(block)) + 1):
+                others = [self._of(row) for row in b[part]]
+                joined = np.concatenate(others)
+                hit = own[np.minimum(np.searchsorted(own, joined), len(own) - 1)] == joined
+                first = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
+                shared = np.add.reduceat(hit, first, dtype=np.int64)
+                out[part] = shared >= similarity * (len(own) + self.size[b[part]] - shared)
+        return out
 
 
 def near_duplicates(
@@ -291,40 +328,48 @@ def link_similar(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 22, tree_rows: int = 4096,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """(id, component): rows whose word shingles have a Jaccard similarity of ``similarity`` or more.
-
-    Links need a distance within ``radius`` of the SimHashes of the distinct shingles, since repeats
-    do not count for the similarity either. Sketches of BINS bins clear the pairs that are more than
-    four standard errors (0.1 at 0.8) from ``similarity``; the others are settled exactly, unless
-    clear pairs connect them anyway. A pair of similarity 0.8 shares none of the KEYS shard keys with
-    probability 0.2 ** 6, and differs in more than 22 bits with probability up to 0.001. Texts with
-    equal shingle sets are one node. Rows with a null id or without a word are left out.
+    """(id, text_hash, component, component_hash): rows whose word shingles have a Jaccard similarity of ``similarity``.
+
+    A component is named by its smallest (id, XXH64 of the text). Links need a distance within
+    ``radius`` of the SimHashes of the distinct shingles, since repeats do not count for the
+    similarity either. Sketches of BINS bins clear the pairs that are more than four standard errors
+    (0.1 at 0.8) from ``similarity``; the others are settled exactly, unless clear pairs connect them
+    anyway. A pair of similarity 0.8 shares none of the KEYS shard keys with probability 0.2 ** 6,
+    and differs in more than 22 bits with probability up to 0.001. Texts with equal shingle sets are
+    one node. Rows with a null id or without a word are left out.
     """
 
     def sketched(batches):
         for batch in steps(batches):
-            ids, nodes, prints, keys, sketches = [], [], [], [], []
-            for doc, text in zip(column(batch, "id").to_pylist(), texts_of(batch)):
+            ids, texts, nodes, prints, keys, sketches = [], [], [], [], [], []
+            own = column(batch, "text_hash").to_pylist()
+            for doc, text_hash, text in zip(column(batch, "id").to_pylist(), own, texts_of(batch)):
                 pieces = list(shingle_hashes(text, words))
                 if doc is None or not pieces:
                     continue
                 hashes = np.unique(np.concatenate(pieces))
                 key, sketch = sketch_of(hashes)
                 ids.append(doc)
+                texts.append(text_hash)
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()))
                 prints.append(simhash([hashes]))
                 keys.append(key)
                 sketches.append(sketch)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), _signed(nodes), _signed(prints), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(sketches, pa.binary())], ["id", "node", "fp", "keys", "sketch"],
+                [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), _signed(nodes), _signed(prints),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["id", "text_hash", "node", "fp", "keys", "sketch"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    given = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text")
+    )
     rows = stored(
-        rows.mapInArrow(sketched, "id long, node long, fp long, keys array<long>, sketch binary"), "sketches"
+        given.mapInArrow(
+            sketched, "id long, text_hash long, node long, fp long, keys array<long>, sketch binary"
+        ), "sketches",
     )
-    least = rows.groupBy("node").agg(F.min("id").alias("own"))
+    least = rows.groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("own"))
     # Only rows that share a key with another node go on, so most sketches are never shuffled.
     nodes = rows.select("node", F.explode("keys").alias("key"))
     shared = nodes.groupBy("key").agg((F.min("node") != F.max("node")).alias("more")).where("more").select("key")
@@ -334,71 +379,48 @@ def link_similar(
         .agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     )
     distinct = stored(distinct, "met-nodes")
-
-    def settled(found: DataFrame, linked: DataFrame | None) -> DataFrame:
-        """Components of the sure edges, the open pairs that are similar, and ``linked``."""
-        known = found.where("sure").select("a", "b")
-        if linked is not None:
-            known = known.unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        linked = components(known)
-        pairs = stored(_between(found.where("not sure").select("a", "b"), linked), "open-pairs")
-        if pairs.isEmpty():
-            return linked
-        exact = _exact(pairs, docs, rows, words, similarity, id_col, text_col)
-        return components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(exact))
-
-    # The likeliest pairs connect most dense groups; only what they leave apart is searched once more.
-    alone = distinct.withColumn("class", F.col("node"))
-    found = stored(_stars(alone, radius, tree_rows, similarity, OPEN_PAIRS), "similar-pairs")
-    linked = settled(found, None)
-    rest = found.where("sure IS NULL").select(F.col("a").alias("node"))
+    found = stored(_stars(distinct.withColumn("class", F.col("node")), radius, tree_rows, similarity), "similar-pairs")
+    linked = components(found)
+    rest = found.where("a = b").select(F.col("a").alias("node"))
     if not rest.isEmpty():
         rest = distinct.join(rest.distinct(), "node", "left_semi").join(linked, "node", "left")
         rest = rest.withColumn("class", F.coalesce("component", "node")).drop("component")
-        linked = settled(stored(_stars(rest, radius, tree_rows, similarity), "similar-pairs"), linked)
+        rest = rest.join(_shingle_sets(rest.select("node"), given, rows, words), "node")
+        known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        linked = components(known.unionByName(_stars(rest, radius, tree_rows, similarity)))
     names = least.join(linked, "node", "left").withColumn("class", F.coalesce("component", "node"))
     names = stored(names.select("node", "own", "class"), "classes")
     tied = names.join(linked.select(F.col("component").alias("class")).distinct(), "class", "left_semi")
     named = tied.join(tied.groupBy("class").agg(F.min("own").alias("first")), "class").select("node", "first")
-    names = names.join(named, "node", "left").select("node", F.coalesce("first", "own").alias("component"))
-    return rows.select("id", "node").join(names, "node").select("id", "component")
-
+    names = names.join(named, "node", "left").select("node", F.coalesce("first", "own").alias("first"))
+    return rows.select("id", "text_hash", "node").join(names, "node").select(
+        "id", "text_hash", F.col("first.id").alias("component"), F.col("first.text_hash").alias("component_hash")
+    )
 
-def _between(pairs: DataFrame, linked: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose nodes ``linked`` does not put into one component."""
-    for end in ("a", "b"):
-        named = linked.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        pairs = pairs.join(named, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
-    return pairs.where("of_a != of_b").select("a", "b")
 
-
-def _exact(
-    pairs: DataFrame, docs: DataFrame, rows: DataFrame, words: int, similarity: float, id_col: str, text_col: str
-) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets have the similarity; sets are made anew from one row a node."""
+def _shingle_sets(nodes: DataFrame, given: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """(node, hashes): the sorted shingle hashes of each node, made anew from one of its rows."""
 
     def hashed(batches):
         for batch in steps(batches):
-            nodes, sets = [], []
-            for node, text in zip(column(batch, "node").to_pylist(), texts_of(batch)):
-                hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
-                # Another row of the same id may have another text.
-                if _signed([xxhash.xxh64_intdigest(hashes.tobytes())])[0].as_py() == node:
-                    nodes.append(node)
-                    sets.append(_signed(hashes))
+            sets = [
+                np.unique(np.concatenate(list(shingle_hashes(text, words)))).view(np.int64) for text in texts_of(batch)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"]
+                [column(batch, "node"), pa.array([np.sort(some) for some in sets], pa.list_(pa.int64()))], ["node", "hashes"]
             )
 
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = rows.join(ends, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-    sets = texts.select("node", "text").mapInArrow(hashed, "node long, hashes array<long>")
-    sets = stored(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "shingle-sets")
-    for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("hashes").alias(f"set_{end}")), end)
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    return pairs.where(shared / (F.size("set_a") + F.size("set_b") - shared) >= similarity).select("a", "b")
+    chosen = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("own"))
+    texts = given.join(chosen.select("node", "own.*"), ["id", "text_hash"]).select("node", "text")
+    sets = texts.mapInArrow(hashed, "node long, hashes array<long>")
+    return sets.groupBy("node").agg(F.first("hashes").alias("hashes"))  # repeated rows have one set
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def drop_near_duplicates(
@@ -406,13 +428,18 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Rows with a null id or a text without words are in no group and stay. Repeated rows of one id
-    are duplicates of each other: one stays.
+    Rows are told apart by id and text, so different texts of one id are judged each on its own; of
+    rows with the same id and text one stays. Rows with a null id or a text without words are in no
+    group and stay. Other columns may have any names.
     """
     found = link_similar(docs, words, similarity, id_col=id_col, text_col=text_col)
-    losers = found.where("id != component").select(F.col("id").alias("__lost")).distinct()
-    repeats = found.groupBy("id").count().where("count > 1").select(F.col("id").alias("__lost"))
-    kept = docs.join(losers, docs[id_col] == F.col("__lost"), "left_anti")
-    # Ids that occur once, nearly all, need no further pass over their texts.
-    again = kept.join(repeats, kept[id_col] == F.col("__lost"), "left_semi").dropDuplicates([id_col])
-    return kept.join(repeats, kept[id_col] == F.col("__lost"), "left_anti").unionByName(again)
+    own, text = _unused("lost_id", docs.columns), _unused("lost_text", docs.columns)
+    named = found.select(F.col("id").alias(own), F.col("text_hash").alias(text), (
+        (F.col("id") != F.col("component")) | (F.col("text_hash") != F.col("component_hash"))
+    ).alias("lost"))
+    same = (F.col(id_col).cast("long") == F.col(own)) & (F.xxhash64(text_col) == F.col(text))
+    kept = docs.join(named.where("lost").select(own, text).distinct(), same, "left_anti")
+    # Rows that occur once, nearly all, need no further pass over their texts.
+    repeats = named.where("NOT lost").groupBy(own, text).count().where("count > 1").select(own, text)
+    again = kept.join(repeats, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(repeats, same, "left_anti").unionByName(again)

@@ -118,10 +118,43 @@ def test_repeated_lines_do_not_part_near_duplicates(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(100, 130))
 
 
-@pytest.mark.parametrize("most", [8, 0])
-def test_similarity_near_the_bound_is_exact(spark, monkeypatch, most):
+def test_rows_of_one_id_are_judged_each_on_its_own(spark):
+    random.seed(14)
+    body = [" ".join(f"w{random.randint(0, 9999)}" for _ in range(60)) for _ in range(3)]
+    rows = [(1, body[0]), (1, body[1]), (2, body[0]), (2, body[2]), (2, body[2]), (None, body[0]), (3, None), (3, None)]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, __lost long, lost_id long")
+    kept = simhash.drop_near_duplicates(docs)
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted(
+        [(1, body[0]), (1, body[1]), (2, body[2]), (0, body[0]), (3, ""), (3, "")]
+    )
+    assert kept.columns == docs.columns and simhash.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_open_pairs_are_not_handed_on(spark, monkeypatch):
+    """A dense group of pairs just below the bound costs rows in proportion to its size, whatever the tree size."""
+    random.seed(15)
+    core = [f"w{i}" for i in range(500)]
+    rows = [(i, " ".join(core + [f"x{i}y{k}" for k in range(70 + i % 2)])) for i in range(80)]
+    made = []
+    plain = simhash._stars
+
+    def counted(*args):
+        made.append(plain(*args))
+        return made[-1]
+
+    monkeypatch.setattr(simhash, "_stars", counted)
+    for tree_rows in (4096, 16):
+        found = simhash.link_similar(frame(spark, rows), tree_rows=tree_rows).collect()
+        sets = {i: _sets(t) for i, t in rows}
+        exact = classes(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+        assert {r.id: r.component for r in found} == exact
+    assert all(some.count() <= 2 * simhash.KEYS * len(rows) * (6 if n > 1 else 1) for n, some in enumerate(made))
+
+
+@pytest.mark.parametrize("size", [32 << 20, 3000])
+def test_similarity_near_the_bound_is_exact(spark, monkeypatch, size):
     random.seed(12)
-    monkeypatch.setattr(simhash, "OPEN_PAIRS", most)
+    monkeypatch.setattr(simhash, "SET_BYTES", size)
     rows, exact = [], []
     for i in range(60):
         shared = [f"w{random.randint(0, 99999)}" for _ in range(800)]
