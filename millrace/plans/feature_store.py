@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from millrace.functions.types import numeric_columns, primary_key_violations
 from millrace.operators.statistics import check_matrix
 from millrace.operators.upsert import upsert
+from millrace.plans.online_groups import BUCKETS, OnlineGroups
 from millrace.plans.statistics_store import StatisticsStore
 from millrace.plans.training_datasets import TrainingDatasets
 from millrace.session import shared_dir
@@ -57,6 +58,7 @@ class FeatureStore:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.database)} LOCATION {literal(self.location)}")
         self.training = TrainingDatasets(self)
         self.statistics = StatisticsStore(self)
+        self.online = OnlineGroups(self)
         self._connectors: dict[str, dict] = {
             self.database: {"type": "JDBC", "arguments": ""},
             f"{project}_Training_Datasets": {"type": "FILESYSTEM", "path": self.training.root},
@@ -122,6 +124,9 @@ class FeatureStore:
     def _properties(self, table: str) -> dict[str, str]:
         return {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
+    def _primary_key(self, table: str) -> list[str]:
+        return list(filter(None, self._properties(table).get(_PRIMARY, "").split(",")))
+
     def _is_view(self, table: str) -> bool:
         return self.spark.catalog.getTable(table).tableType == "VIEW"
 
@@ -144,11 +149,12 @@ class FeatureStore:
         feature_histograms: bool = True,
         cluster_analysis: bool = True,
         stat_columns: Sequence[str] | None = None,
+        online: bool = False,
     ) -> None:
-        """Write a group; one of the same name and version is replaced.
+        """Write a group; one of the same name and version is replaced, and so is its online copy.
 
         With ``buckets`` the table is bucketed and sorted by its primary key, and joins of groups
-        bucketed alike need no shuffle.
+        bucketed alike need no shuffle. With ``online`` the group gets an online copy.
         """
         df = as_spark(self.spark, df)
         unknown = [c for c in (*primary_key, *partition_by) if c not in df.columns]
@@ -173,9 +179,13 @@ class FeatureStore:
             writer = writer.partitionBy(*partition_by)
         store = featurestore or self.database
         table = self.table_name(name, featuregroup_version, store)
+        if store == self.database and self.online.is_enabled(name, featuregroup_version):
+            self.online.disable(name, featuregroup_version)
         self._write_and_swap(writer, store, f"{name}_{featuregroup_version}")
         properties = {"comment": description, _PRIMARY: ",".join(primary_key), _PARTITION: ",".join(partition_by)}
         self._set_properties(table, {k: v for k, v in properties.items() if v})
+        if online:
+            self.online.enable(name, featuregroup_version)
         if descriptive_statistics or feature_correlation or feature_histograms or cluster_analysis:
             self.update_featuregroup_stats(
                 name, featuregroup_version, featurestore, descriptive_statistics, feature_correlation,
@@ -245,8 +255,12 @@ class FeatureStore:
         featurestore: str | None = None,
         featuregroup_version: int = 1,
         mode: str = "append",
+        online: bool = False,
     ) -> None:
-        """Append rows (duplicates stay) or replace all rows. Columns are matched by name."""
+        """Append rows (duplicates stay) or replace all rows. Columns are matched by name.
+
+        With ``online`` the rows are merged into the online copy, too, by their key.
+        """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"mode must be append or overwrite, not {mode!r}")
         df = as_spark(self.spark, df)
@@ -261,6 +275,8 @@ class FeatureStore:
             parts = list(filter(None, self._properties(table).get(_PARTITION, "").split(",")))
             # As on creation: a partition's rows come together instead of one file from every task.
             (rows.hint("rebalance", *parts) if parts else rows).write.insertInto(table)
+            if online:
+                self.online.upsert(df, name, featuregroup_version)
             return
         # The job that can fail writes beside the present rows; only its finished result replaces
         # them. Should that copy fail, the staged table is kept and named.
@@ -275,18 +291,37 @@ class FeatureStore:
         except Exception as error:
             raise RuntimeError(f"the new rows of {table} are complete in {staged}; copying them failed") from error
         self.spark.sql(f"DROP TABLE {staged}")
+        if online:
+            entry = self.online._entry(name, featuregroup_version)
+            self.online.enable(
+                name, featuregroup_version, entry["key"], entry["order"], entry["order_type"], entry["buckets"]
+            )
+
+    def enable_featuregroup_online(
+        self, name: str, featuregroup_version: int = 1, order: str | None = None, order_type: str | None = None,
+        buckets: int = BUCKETS,
+    ) -> None:
+        """Keep an online copy of the group's rows by its primary key, see :class:`OnlineGroups`."""
+        self.online.enable(name, featuregroup_version, (), order, order_type, buckets)
+
+    def disable_featuregroup_online(self, name: str, featuregroup_version: int = 1) -> None:
+        self.online.disable(name, featuregroup_version)
 
     def upsert_into_featuregroup(
         self, df, name: str, featuregroup_version: int = 1, key: Sequence[str] | None = None, order: str | None = None
     ) -> None:
-        """Replace the rows of changed keys and add new ones, as an online copy does.
+        """Replace the rows of changed keys and add new ones.
 
         The key is the declared primary key. With ``order`` the newest of several changes of a key
-        counts, otherwise keys must not repeat. Fits ``foreachBatch`` of a stream of changes.
+        counts, otherwise keys must not repeat. Fits ``foreachBatch`` of a stream of changes. A group
+        with an online copy takes the changes there, bucket by bucket; another is written anew.
         """
         df = as_spark(self.spark, df)
+        if key is None and self.online.is_enabled(name, featuregroup_version):
+            self.online.upsert(df, name, featuregroup_version, order)
+            return
         table = self.table_name(name, featuregroup_version)
-        keys = list(key or filter(None, self._properties(table).get(_PRIMARY, "").split(",")))
+        keys = list(key or self._primary_key(table))
         if not keys:
             raise ValueError(f"feature group {name}_{featuregroup_version} has no primary key")
         merged = upsert(self.spark.table(table), df, keys, order)
@@ -295,6 +330,8 @@ class FeatureStore:
     def drop_featuregroup(self, name: str, featuregroup_version: int = 1) -> None:
         table = self.table_name(name, featuregroup_version)
         if self.spark.catalog.tableExists(table):
+            if self.online.is_enabled(name, featuregroup_version):
+                self.online.disable(name, featuregroup_version)
             self.spark.sql(f"DROP {'VIEW' if self._is_view(table) else 'TABLE'} {table}")
         self.statistics.drop(f"{name}_{featuregroup_version}")
 
@@ -306,9 +343,17 @@ class FeatureStore:
         featurestore: str | None = None,
         featuregroup_version: int = 1,
         dataframe_type: str = "spark",
+        online: bool = False,
     ):
+        """All rows of a group, or of its online copy."""
+        if online:
+            return convert(self.online.read(name, featuregroup_version), dataframe_type)
         return convert(self.spark.table(self.table_name(name, featuregroup_version, featurestore)), dataframe_type)
 
+    def get_online_features(self, keys, name: str, featuregroup_version: int = 1, dataframe_type: str = "spark"):
+        """Rows of the online copy whose key is among ``keys``; only their buckets are read."""
+        return convert(self.online.lookup(as_spark(self.spark, keys), name, featuregroup_version), dataframe_type)
+
     def get_feature(
         self,
         feature: str,
@@ -432,7 +477,7 @@ class FeatureStore:
         common = set.intersection(*[set(columns[g]) for g in chosen])
         if len(common) != 1:
             declared = [
-                set(filter(None, self._properties(quoted(store, g)).get(_PRIMARY, "").split(",")))
+                set(self._primary_key(quoted(store, g)))
                 for g in chosen
             ]
             agreed = [d for d in declared if d and d <= common]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.types import primary_key_violations, record_schema
+from millrace.operators.upsert import latest_by_key
 from millrace.queries.common import NO_STATS, SPEND, URGENT, customer_store, new_store, source, table
 
 
@@ -183,6 +184,29 @@ def fg_online_upsert(spark, sf_dir):
     return store.get_featuregroup("customer")
 
 
+def _last_orders(spark, sf_dir):
+    """The newest order of each customer in an online copy, from batches of which each has late changes."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
+    batches = [orders.filter(F.col("o_orderkey") % 3 == part) for part in (1, 2, 0)]
+    store = new_store(spark)
+    first = latest_by_key(batches[0], ["o_custkey"], "o_orderkey")
+    store.create_featuregroup(first, "last_order", primary_key=["o_custkey"], **NO_STATS)
+    store.enable_featuregroup_online("last_order", order="o_orderkey", buckets=16)
+    for batch in batches[1:]:
+        store.upsert_into_featuregroup(batch, "last_order", order="o_orderkey")
+    return store
+
+
+def fg_online_upsert_late(spark, sf_dir):
+    return _last_orders(spark, sf_dir).get_featuregroup("last_order", online=True)
+
+
+def fg_online_lookup(spark, sf_dir):
+    """Online rows of the customers of one segment, some of whom have no order."""
+    wanted = table(spark, sf_dir, "customer").filter("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("o_custkey"))
+    return _last_orders(spark, sf_dir).get_online_features(wanted, "last_order")
+
+
 def fg_primary_key_check(spark, sf_dir):
     return primary_key_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]).withColumnRenamed(
         "rows", "n_rows"
@@ -252,6 +276,8 @@ QUERIES = {
     "fg_tags": fg_tags,
     "fg_partition_pruned": fg_partition_pruned,
     "fg_online_upsert": fg_online_upsert,
+    "fg_online_upsert_late": fg_online_upsert_late,
+    "fg_online_lookup": fg_online_lookup,
     "fg_primary_key_check": fg_primary_key_check,
     "td_csv": _dataset("csv"),
     "td_tsv": _dataset("tsv"),
@@ -268,7 +294,16 @@ QUERIES = {
 _SPEND = "(" + SPEND.format(orders="orders") + ")"
 _URGENT = "(" + URGENT.format(orders="orders") + ")"
 
+_LAST_ORDERS = (
+    "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice, "
+    "arg_max(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders {where}GROUP BY o_custkey"
+)
+
 SQL = {
+    "fg_online_upsert_late": _LAST_ORDERS.format(where=""),
+    "fg_online_lookup": _LAST_ORDERS.format(
+        where="WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') "
+    ),
     "fg_features_join": f"SELECT c_custkey, c_acctbal, order_total FROM customer JOIN {_SPEND} s USING (c_custkey)",
     "fg_scan": "SELECT * FROM customer",
     "fg_feature": "SELECT c_acctbal FROM customer",

@@ -183,6 +183,62 @@ def test_upsert_from_a_stream(spark, store, folder, teams):
         store.upsert_into_featuregroup(teams, "keyless")
 
 
+def _parts(spark, store, name):
+    from millrace.sources.files import list_files
+
+    path = store.online.info(name)["path"]
+    listed = list_files(spark, path, recursive=True, pattern="*.parquet")
+    return {(r.path, r.modified): int(r.path.split("zz_bucket=")[1].split("/")[0]) for r in listed.collect()}
+
+
+def test_online_copy_changes_only_touched_buckets(spark, store):
+    rows = spark.range(1000).select("id", (F.col("id") * 2).alias("v"))
+    store.create_featuregroup(rows, "wide", primary_key=["id"], **NO_STATS)
+    store.enable_featuregroup_online("wide", order="seq", order_type="long", buckets=20)
+    before = _parts(spark, store, "wide")
+    assert set(before.values()) == set(range(20)) and store.online.info("wide")["rows"] == 1000
+    changes = spark.createDataFrame([(7, -1, 5), (7, -2, 9), (2000, -3, 1)], "id long, v long, seq long")
+    store.upsert_into_featuregroup(changes, "wide", order="seq")
+    after = _parts(spark, store, "wide")
+    touched = {b for f, b in after.items() if f not in before}
+    assert 1 <= len(touched) <= 2 and all(f in after for f, b in before.items() if b not in touched)
+    # A change that comes late loses, also against a change of an earlier batch.
+    store.upsert_into_featuregroup(spark.createDataFrame([(7, 0, 8), (8, -8, None)], changes.schema), "wide")
+    found = {r.id: r.v for r in store.get_featuregroup("wide", online=True).collect()}
+    assert len(found) == 1001 and (found[7], found[2000], found[9], found[8]) == (-2, -3, 18, -8)
+    looked = store.get_online_features(spark.createDataFrame([(7,), (7,), (5000,)], "id long"), "wide")
+    assert [tuple(r) for r in looked.collect()] == [(7, -2)]
+    assert store.get_featuregroup("wide").count() == 1000
+
+
+def test_online_copy_refuses_bad_changes(spark, store):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    store.create_featuregroup(rows, "small", primary_key=["id"], online=True, **NO_STATS)
+    before = _parts(spark, store, "small")
+    for bad in ([(None, "x")], [(1, "x"), (1, "y")]):
+        with pytest.raises(Exception, match="key"):
+            store.upsert_into_featuregroup(spark.createDataFrame(bad, rows.schema), "small")
+    assert _parts(spark, store, "small") == before
+    with pytest.raises(ValueError, match="lack"):
+        store.upsert_into_featuregroup(rows.drop("v"), "small")
+    with pytest.raises(ValueError, match="not by"):
+        store.upsert_into_featuregroup(rows, "small", order="v")
+    store.insert_into_featuregroup(spark.createDataFrame([(2, "c"), (3, "d")], rows.schema), "small", online=True)
+    assert store.get_featuregroup("small").count() == 4
+    assert sorted(map(tuple, store.get_featuregroup("small", online=True).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    store.insert_into_featuregroup(rows.limit(0), "small", mode="overwrite", online=True)
+    assert store.get_featuregroup("small", online=True).count() == 0
+    store.upsert_into_featuregroup(rows, "small")
+    assert store.get_featuregroup("small", online=True).count() == 2
+    store.disable_featuregroup_online("small")
+    with pytest.raises(ValueError, match="no online copy"):
+        store.get_featuregroup("small", online=True)
+    store.create_featuregroup(rows.unionAll(rows), "twice", primary_key=["id"], **NO_STATS)
+    with pytest.raises(Exception, match="key"):
+        store.enable_featuregroup_online("twice")
+    store.drop_featuregroup("small")
+
+
 def test_result_types(filled):
     assert isinstance(filled.get_featuregroup("teams_features", dataframe_type="pandas"), pd.DataFrame)
     array = filled.get_features(["team_budget", "average_attendance"], dataframe_type="numpy")
