@@ -166,7 +166,7 @@ class TrainingDatasets:
             require_format(self.spark, "avro")
 
     def _write(self, df: DataFrame, data_format: str, target: str) -> None:
-        from millrace.sources import records
+        from millrace.sources import arrays, records
 
         if data_format in NATIVE_OPTIONS:
             if data_format == "petastorm":
@@ -182,10 +182,10 @@ class TrainingDatasets:
         elif data_format in RECORD_FORMATS:
             records.write_tfrecord(df, target)
         else:
-            records.write_npy(df, target)
+            arrays.write_npy(df, target)
 
     def _scan(self, data_format: str, path: str, schema) -> DataFrame:
-        from millrace.sources import records
+        from millrace.sources import arrays, records
 
         if data_format in NATIVE_OPTIONS:
             reader = self.spark.read.format(_SPARK_FORMAT.get(data_format, data_format)).options(
@@ -197,4 +197,4 @@ class TrainingDatasets:
             return _unguarded(rows) if data_format in ("csv", "tsv") else rows
         if data_format in RECORD_FORMATS:
             return records.read_tfrecord(self.spark, path, schema)
-        return records.read_npy_table(self.spark, path, schema)
+        return arrays.read_npy_table(self.spark, path, schema)

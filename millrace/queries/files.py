@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.queries.common import table
 from millrace.session import fresh_dir
 from millrace.sources import files as L
-from millrace.sources import records, tables, text
+from millrace.sources import arrays, tables, text
 
 
 def text_matrix(spark, sf_dir):
@@ -79,8 +79,8 @@ def binary_records(spark, sf_dir):
 def npy_rows(spark, sf_dir):
     """Vectors as stacked arrays, read back element by element."""
     path = fresh_dir(spark, "npy")
-    records.write_npy(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), path)
-    rows = records.read_npy(spark, path).select(F.col("values")[0].cast("long").alias("vec_id"), F.posexplode("values"))
+    arrays.write_npy(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), path)
+    rows = arrays.read_npy(spark, path).select(F.col("values")[0].cast("long").alias("vec_id"), F.posexplode("values"))
     return rows.where("pos > 0").select("vec_id", F.col("pos").alias("place"), F.col("col").alias("cell"))
 
 
@@ -88,12 +88,24 @@ def npz_arrays(spark, sf_dir):
     """One array per column; unnamed ones are numbered."""
     path = fresh_dir(spark, "npz")
     rows = table(spark, sf_dir, "lineitem").select("l_quantity", "l_linenumber", "l_discount")
-    records.write_npz(rows, path, names=["l_quantity"], compressed=True)
-    return records.read_npy(spark, path).groupBy("array_name").agg(
+    arrays.write_npz(rows, path, names=["l_quantity"], compressed=True)
+    return arrays.read_npy(spark, path).groupBy("array_name").agg(
         F.count(F.lit(1)).alias("n_values"), F.round(F.sum(F.col("values")[0]), 2).alias("total")
     )
 
 
+def npy_exact(spark, sf_dir):
+    """Integers beyond 2 ** 53, missing booleans and reals in one file of typed records."""
+    path = fresh_dir(spark, "npy")
+    rows = table(spark, sf_dir, "lineitem").select(
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2**38 + 1).alias("line_key"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag") == "R").alias("returned"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("later_line"), "l_extendedprice",
+    )
+    arrays.write_npy(rows, path, layout="records")
+    return arrays.read_npy_table(spark, path, rows.schema)
+
+
 def csv_roundtrip(spark, sf_dir):
     """Long multi-line texts with quotes survive."""
     path = fresh_dir(spark, "csv")
@@ -183,6 +195,7 @@ QUERIES = {
     "binary_records": binary_records,
     "npy_rows": npy_rows,
     "npz_arrays": npz_arrays,
+    "npy_exact": npy_exact,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "json_columns": json_columns,
@@ -209,6 +222,11 @@ SQL = {
         "SELECT vec_id, CAST(unnest(range(1, len(embedding) + 1)) AS INTEGER) AS place, "
         "CAST(unnest(embedding) AS DOUBLE) AS cell FROM embeddings"
     ),
+    "npy_exact": (
+        "SELECT (l_orderkey * 8 + l_linenumber) * 274877906944 + 1 AS line_key, "
+        "CASE WHEN l_returnflag <> 'N' THEN l_returnflag = 'R' END AS returned, "
+        "CASE WHEN l_linenumber > 1 THEN l_linenumber END AS later_line, l_extendedprice FROM lineitem"
+    ),
     "npz_arrays": (
         "SELECT 'l_quantity' AS array_name, count(*) AS n_values, round(sum(l_quantity), 2) AS total FROM lineitem "
         "UNION ALL SELECT 'arr_0', count(*), CAST(sum(l_linenumber) AS DOUBLE) FROM lineitem "

@@ -1,24 +1,22 @@
-"""Record files (TFRecord of Example messages) and numpy files, read and written by tasks.
+"""Record files (TFRecord of Example messages), read and written by tasks.
 
-Writers are Python data sources: each task writes files of bounded size under names of its own
-attempt, and the commit on the driver moves the files of the successful attempts into place.
-Readers list files with ``binaryFile`` and decode one file per row, in Arrow batches.
+The writer is a Python data source that makes files of bounded size. The reader lists files with
+``binaryFile`` and decodes one file per row, in Arrow batches.
 """
 
 from __future__ import annotations
 
-import io
 import struct
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource
 
 from millrace.functions.types import RECORD_FLOAT, RECORD_INT, record_type
 from millrace.session import qualified
+from millrace.sources.file_writer import FileWriter
 
 # --- fixed values of the file formats -----------------------------------------------------------
 CRC32C_POLYNOMIAL = 0x82F63B78
@@ -31,201 +29,6 @@ _FILE_BYTES = 128 << 20  # a task starts a new file beyond this size
 _BATCH_ROWS = 4096
 
 
-def _file_system(path: str):
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path)
-
-
-class _Files(WriterCommitMessage):
-    def __init__(self, names):
-        self.names = names
-
-
-class FileWriter(DataSourceArrowWriter):
-    """Writes each partition as files below ``path``; subclasses turn batches into file contents."""
-
-    suffix = ""
-
-    def __init__(self, options, schema, overwrite=False):
-        self.path = options["path"]
-        self.schema = schema
-        self.overwrite = overwrite
-
-    def contents(self, batches):
-        raise NotImplementedError
-
-    def write(self, iterator):
-        system, root = _file_system(self.path)
-        staging = f"{root}/_temporary"
-        system.create_dir(staging, recursive=True)
-        names = []
-        for content in self.contents(iterator):
-            name = f"part-{uuid.uuid4().hex}{self.suffix}"
-            with system.open_output_stream(f"{staging}/{name}") as out:
-                out.write(content)
-            names.append(name)
-        return _Files(names)
-
-    def commit(self, messages):
-        system, root = _file_system(self.path)
-        system.create_dir(root, recursive=True)
-        if self.overwrite:
-            from pyarrow import fs
-
-            for old in system.get_file_info(fs.FileSelector(root)):
-                if old.is_file:
-                    system.delete_file(old.path)
-        for message in messages:
-            for name in message.names if message else ():
-                system.move(f"{root}/_temporary/{name}", f"{root}/{name}")
-        self._finish(system, root)
-        with system.open_output_stream(f"{root}/_SUCCESS"):
-            pass
-
-    def abort(self, messages):
-        self._finish(*_file_system(self.path))
-
-    @staticmethod
-    def _finish(system, root):
-        from pyarrow import fs
-
-        if system.get_file_info(f"{root}/_temporary").type == fs.FileType.Directory:
-            system.delete_dir(f"{root}/_temporary")
-
-
-# Numpy files ------------------------------------------------------------------------------------
-
-def _cells(column: pa.Array) -> np.ndarray:
-    if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-        return np.array(column.to_pylist())
-    return column.to_numpy(zero_copy_only=False)
-
-
-class NpyWriter(FileWriter):
-    """``.npy``: rows stacked to one 2-D array. ``.npz``: one array per column, under its name."""
-
-    def __init__(self, options, schema, overwrite=False):
-        super().__init__(options, schema, overwrite)
-        self.archive = options.get("archive", "false").lower() == "true"
-        self.compressed = options.get("compressed", "false").lower() == "true"
-        self.suffix = ".npz" if self.archive else ".npy"
-
-    def _pack(self, batches):
-        table = pa.Table.from_batches(batches)
-        columns = [_cells(table.column(i).combine_chunks()) for i in range(table.num_columns)]
-        buffer = io.BytesIO()
-        if self.archive:
-            save = np.savez_compressed if self.compressed else np.savez
-            save(buffer, **dict(zip(table.column_names, columns)))
-        else:
-            blocks = [c if c.ndim > 1 else c[:, None] for c in columns]
-            np.save(buffer, np.hstack(blocks))
-        return buffer.getvalue()
-
-    def contents(self, batches):
-        held, size = [], 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(batch)
-            size += batch.nbytes
-            if size >= _FILE_BYTES:
-                yield self._pack(held)
-                held, size = [], 0
-        if held:
-            yield self._pack(held)
-
-
-class NpySource(DataSource):
-    @classmethod
-    def name(cls):
-        return "millrace_npy"
-
-    def writer(self, schema, overwrite):
-        return NpyWriter(self.options, schema, overwrite)
-
-
-def _check_numeric(df: DataFrame) -> None:
-    for field in df.schema:
-        inner = field.dataType.elementType if isinstance(field.dataType, T.ArrayType) else field.dataType
-        if not isinstance(inner, (T.NumericType, T.BooleanType)) or isinstance(inner, T.DecimalType):
-            raise ValueError(f"column {field.name} of type {field.dataType.simpleString()} is no array of numbers")
-
-
-def write_npy(df: DataFrame, path: str) -> None:
-    """One or more ``.npy`` files per partition; files already in the folder go. Null numbers become NaN."""
-    _check_numeric(df)
-    df.sparkSession.dataSource.register(NpySource)
-    df.write.format("millrace_npy").mode("overwrite").save(qualified(df.sparkSession, path))
-
-
-def write_npz(df: DataFrame, path: str, names: list[str] | None = None, compressed: bool = False) -> None:
-    """One or more ``.npz`` files per partition.
-
-    ``names`` lists the columns that keep their names; the others count as positional and become
-    ``arr_0``, ``arr_1``, ... in column order. By default all names are kept.
-    """
-    _check_numeric(df)
-    named = df.columns if names is None else names
-    positional = [c for c in df.columns if c not in named]
-    renamed = df.withColumnsRenamed({c: f"arr_{i}" for i, c in enumerate(positional)})
-    df.sparkSession.dataSource.register(NpySource)
-    renamed.write.format("millrace_npy").option("archive", "true").option(
-        "compressed", str(compressed).lower()
-    ).mode("overwrite").save(qualified(df.sparkSession, path))
-
-
-def read_npy(spark: SparkSession, path: str) -> DataFrame:
-    """Arrays of ``.npy`` and ``.npz`` files as (path, array_name, row_idx, values).
-
-    Each row of a file's array is one output row; ``array_name`` is null for ``.npy``.
-    """
-    schema = "path string, array_name string, row_idx long, values array<double>"
-
-    def decode(batches):
-        target = pa.schema([("path", pa.string()), ("array_name", pa.string()), ("row_idx", pa.int64()),
-                            ("values", pa.list_(pa.float64()))])
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                loaded = np.load(io.BytesIO(content.as_buffer()), allow_pickle=False)
-                arrays = loaded.items() if hasattr(loaded, "files") else [(None, loaded)]
-                for array_name, array in arrays:
-                    flat = array.reshape(array.shape[0] if array.ndim else 1, -1).astype(np.float64)
-                    for start in range(0, len(flat), _BATCH_ROWS):
-                        part = flat[start:start + _BATCH_ROWS]
-                        n, width = part.shape
-                        offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([name] * n, pa.string()),
-                            pa.array([array_name] * n, pa.string()),
-                            pa.array(np.arange(start, start + n)),
-                            pa.ListArray.from_arrays(offsets, pa.array(part.ravel())),
-                        ], schema=target)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.np[yz]").load(path)
-    return files.select("path", "content").mapInArrow(decode, schema)
-
-
-def read_npy_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of stacked ``.npy`` files under the given schema; array columns must come last."""
-    arrays = [i for i, f in enumerate(schema) if isinstance(f.dataType, T.ArrayType)]
-    if arrays and arrays != [len(schema) - 1]:
-        raise ValueError("only the last column of a stacked array can itself be an array")
-    columns = []
-    for i, field in enumerate(schema):
-        if i in arrays:
-            value = F.slice("values", i + 1, F.size("values"))
-        else:
-            value = F.element_at("values", i + 1)
-            if isinstance(field.dataType, (T.IntegralType, T.BooleanType)):
-                value = F.when(~F.isnan(value), value)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return read_npy(spark, path).select(*columns)
-
-
 # Record files -----------------------------------------------------------------------------------
 
 def _crc_table() -> np.ndarray:

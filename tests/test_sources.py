@@ -14,7 +14,7 @@ from millrace.operators.upsert import latest_by_key, upsert
 from millrace.session import qualified
 from millrace.sources import connectors as C
 from millrace.sources import files as L
-from millrace.sources import records, tables, text
+from millrace.sources import arrays, records, tables, text
 
 
 def write(folder, name, content, mode="w"):
@@ -138,20 +138,81 @@ def test_binary_records(spark, folder):
 
 def test_npy_and_npz(spark, folder):
     df = spark.range(0, 500, 1, 3).select("id", (F.col("id") / 2).alias("half"))
-    records.write_npy(df, f"{folder}/npy")
-    rows = records.read_npy(spark, f"{folder}/npy").collect()
+    arrays.write_npy(df, f"{folder}/npy")
+    rows = arrays.read_npy(spark, f"{folder}/npy").collect()
     assert sorted(tuple(r["values"]) for r in rows) == [(i, i / 2) for i in range(500)]
     assert {r.array_name for r in rows} == {None}
-    records.write_npz(df, f"{folder}/npz", names=["half"])
-    named = records.read_npy(spark, f"{folder}/npz").groupBy("array_name").agg(F.sum(F.col("values")[0]).alias("s"))
+    arrays.write_npz(df, f"{folder}/npz", names=["half"])
+    named = arrays.read_npy(spark, f"{folder}/npz").groupBy("array_name").agg(F.sum(F.col("values")[0]).alias("s"))
     assert {tuple(r) for r in named.collect()} == {("arr_0", 124750.0), ("half", 62375.0)}
     os.makedirs(f"{folder}/own")
     np.save(f"{folder}/own/a.npy", np.arange(12).reshape(2, 3, 2))
     np.savez(f"{folder}/own/b.npz", np.array(5), named=np.arange(3))
-    own = {(r.array_name, r.row_idx): r["values"] for r in records.read_npy(spark, f"{folder}/own").collect()}
+    own = {(r.array_name, r.row_idx): r["values"] for r in arrays.read_npy(spark, f"{folder}/own").collect()}
     assert own[(None, 1)] == [6, 7, 8, 9, 10, 11] and own[("arr_0", 0)] == [5] and own[("named", 2)] == [2]
     with pytest.raises(ValueError, match="no array of numbers"):
-        records.write_npy(spark.sql("SELECT 'x' AS t"), f"{folder}/text")
+        arrays.write_npy(spark.sql("SELECT 'x' AS t"), f"{folder}/text")
+
+
+def test_npy_keeps_every_digit(spark, folder):
+    schema = "k long, b boolean, s short, f float, v array<long>"
+    rows = [(2**53 + 1, True, None, 0.5, [1, 2**62]), (-(2**63), None, 3, None, [-1, 0]), (None, False, -4, 1.5, [7, 8])]
+    df = spark.createDataFrame(rows, schema).repartition(2)
+    arrays.write_npy(df, f"{folder}/records", layout="records")
+    read = arrays.read_npy_table(spark, f"{folder}/records", df.schema)
+    # A missing float comes back as NaN's counterpart in the format.
+    assert {(r.k, r.b, r.s, r.f if r.f == r.f else None, tuple(r.v)) for r in read.collect()} == {(*r[:4], tuple(r[4])) for r in rows}
+    whole = df.select("k").na.drop()
+    arrays.write_npy(whole, f"{folder}/whole")
+    found = arrays.read_npy(spark, f"{folder}/whole")
+    assert found.schema["values"].dataType.elementType.simpleString() == "bigint"
+    assert {r["values"][0] for r in found.collect()} == {2**53 + 1, -(2**63)}
+    booleans = spark.createDataFrame([(True, 1), (None, 2)], "b boolean, i int")
+    arrays.write_npz(booleans, f"{folder}/nulls")
+    values = {(r.array_name, r["values"][0]) for r in arrays.read_npy(spark, f"{folder}/nulls").collect()}
+    assert {v for v in values if v[1] == v[1]} == {("b", 1.0), ("i", 1.0), ("i", 2.0)} and len(values) == 4
+
+
+def test_npy_refuses_what_does_not_fit(spark, folder):
+    for bad in (
+        spark.createDataFrame([(2**53 + 1, 0.5)], "k long, d double"),
+        spark.createDataFrame([(2**53 + 1,), (None,)], "k long").coalesce(1),
+        spark.createDataFrame([([1],), ([1, 2],)], "v array<int>").coalesce(1),
+    ):
+        with pytest.raises(Exception, match="do not fit|differ in length"):
+            arrays.write_npy(bad, f"{folder}/bad")
+        assert not os.path.exists(f"{folder}/bad")
+    arrays.write_npy(spark.createDataFrame([(1.5,)], "d double"), f"{folder}/half")
+    with pytest.raises(Exception, match="truncated"):
+        arrays.read_npy_table(spark, f"{folder}/half", T.StructType().add("d", T.IntegerType())).collect()
+
+
+def test_npy_is_read_by_ranges_of_rows(spark, folder):
+    os.makedirs(folder)
+    large = np.arange(17_000_000, dtype="<i8").reshape(17_000, 1000)
+    np.save(f"{folder}/large.npy", large)
+    read = arrays.read_npy(spark, f"{folder}/large.npy")
+    assert read.rdd.getNumPartitions() == 3
+    sums = read.select("row_idx", F.aggregate("values", F.lit(0).cast("long"), lambda a, x: a + x).alias("s"))
+    assert sums.where(F.col("s") != F.col("row_idx") * 1_000_000 + 499_500).count() == 0 and sums.count() == 17_000
+    odd = np.arange(24, dtype=">f4").reshape(4, 3, 2)
+    for name, array in {"c": odd, "f": np.asfortranarray(odd), "flat": odd[:, 0, 0], "none": odd[:0]}.items():
+        np.save(f"{folder}/{name}.npy", array)
+        np.savez(f"{folder}/{name}.npz", one=array, two=array[:, ::-1] if array.ndim > 1 else array)
+        np.savez_compressed(f"{folder}/{name}-small.npz", one=array)
+        for file, of in ((".npy", array), (".npz", array), ("-small.npz", array)):
+            rows = arrays.read_npy(spark, f"{folder}/{name}{file}").where("array_name IS NULL OR array_name = 'one'").collect()
+            assert [r["values"] for r in sorted(rows, key=lambda r: r.row_idx)] == [row.ravel().tolist() for row in of]
+
+
+def test_failed_overwrite_keeps_the_old_files(spark, folder):
+    arrays.write_npy(spark.range(10), f"{folder}/kept")
+    bad = spark.range(100, 110).select(F.when(F.col("id") < 105, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        arrays.write_npy(bad.repartition(3).toDF("id"), f"{folder}/kept")
+    assert arrays.read_npy(spark, f"{folder}/kept").count() == 10 and os.listdir(folder) == ["kept"]
+    arrays.write_npy(spark.range(3), f"{folder}/kept")
+    assert arrays.read_npy(spark, f"{folder}/kept").count() == 3 and os.listdir(folder) == ["kept"]
 
 
 def test_crc32c():
@@ -340,5 +401,5 @@ def test_paths_are_resolved_as_spark_does(spark, folder):
     finally:
         conf.set("fs.defaultFS", before)
     path = f"{folder}/with space"
-    records.write_npy(spark.range(5), path)
-    assert sorted(row["values"][0] for row in records.read_npy(spark, path).collect()) == [0, 1, 2, 3, 4]
+    arrays.write_npy(spark.range(5), path)
+    assert sorted(row["values"][0] for row in arrays.read_npy(spark, path).collect()) == [0, 1, 2, 3, 4]
