@@ -210,7 +210,7 @@ def bin_index(value: Column, low, high, bins: int) -> Column:
 
 
 def bin_label(index: Column, low, high, bins: int) -> Column:
-    """Upper edge of a bin; the last edge is the maximum itself."""
+    """Upper edge of a bin; the last edge is the maximum itself. Limits are numbers or columns."""
     low, high = F.lit(low).cast("double"), F.lit(high).cast("double")
     width = (high - low) / F.lit(float(bins))
     return F.when((index == bins - 1) | (low == high), high).otherwise(F.round(low + (index + 1) * width, 10))

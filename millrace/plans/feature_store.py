@@ -21,7 +21,7 @@ from millrace.operators.upsert import upsert
 from millrace.plans.online_groups import BUCKETS, OnlineGroups
 from millrace.plans.statistics_store import StatisticsStore
 from millrace.plans.training_datasets import TrainingDatasets
-from millrace.session import shared_dir
+from millrace.session import delete_path, fresh_dir, shared_dir
 from millrace.sources.local import as_spark, convert
 
 _VERSIONED = re.compile(r"^(?P<name>.+)_(?P<version>\d+)$")
@@ -256,10 +256,12 @@ class FeatureStore:
         featuregroup_version: int = 1,
         mode: str = "append",
         online: bool = False,
+        update_statistics: bool = True,
     ) -> None:
         """Append rows (duplicates stay) or replace all rows. Columns are matched by name.
 
-        With ``online`` the rows are merged into the online copy, too, by their key.
+        With ``online`` the rows are merged into the online copy, too, by their key. Statistics that
+        the group has are brought up to date; an append adds those of its own rows.
         """
         if mode not in ("append", "overwrite"):
             raise ValueError(f"mode must be append or overwrite, not {mode!r}")
@@ -272,9 +274,7 @@ class FeatureStore:
             raise ValueError(f"columns do not match: missing {sorted(missing)}, unknown {sorted(extra)}")
         rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in present.schema])
         if mode == "append":
-            parts = list(filter(None, self._properties(table).get(_PARTITION, "").split(",")))
-            # As on creation: a partition's rows come together instead of one file from every task.
-            (rows.hint("rebalance", *parts) if parts else rows).write.insertInto(table)
+            self._append(rows, table, f"{name}_{featuregroup_version}" if update_statistics and store == self.database else None)
             if online:
                 self.online.upsert(df, name, featuregroup_version)
             return
@@ -291,12 +291,29 @@ class FeatureStore:
         except Exception as error:
             raise RuntimeError(f"the new rows of {table} are complete in {staged}; copying them failed") from error
         self.spark.sql(f"DROP TABLE {staged}")
+        if update_statistics and store == self.database:
+            self._restate(name, featuregroup_version)
         if online:
             entry = self.online._entry(name, featuregroup_version)
             self.online.enable(
                 name, featuregroup_version, entry["key"], entry["order"], entry["order_type"], entry["buckets"]
             )
 
+    def _append(self, rows: DataFrame, table: str, entity: str | None) -> None:
+        """Add rows to a group, and to its statistics if it has any."""
+        staged = None
+        if entity and self.statistics.settings(entity).get("statistic_columns"):
+            # Read twice, and may come from the group itself.
+            staged = fresh_dir(self.spark, "append")
+            rows.write.parquet(staged)
+            rows = self.spark.read.schema(rows.schema).parquet(staged)
+        parts = list(filter(None, self._properties(table).get(_PARTITION, "").split(",")))
+        # As on creation: a partition's rows come together instead of one file from every task.
+        (rows.hint("rebalance", *parts) if parts else rows).write.insertInto(table)
+        if staged:
+            self.statistics.append(entity, rows, self.spark.table(table))
+            delete_path(self.spark, staged)
+
     def enable_featuregroup_online(
         self, name: str, featuregroup_version: int = 1, order: str | None = None, order_type: str | None = None,
         buckets: int = BUCKETS,
@@ -527,12 +544,22 @@ class FeatureStore:
         stat_columns: Sequence[str] | None = None,
         **settings,
     ) -> None:
-        df = self.spark.table(self.table_name(name, featuregroup_version, featurestore))
+        table = self.table_name(name, featuregroup_version, featurestore)
         self.statistics.update(
-            f"{name}_{featuregroup_version}", df, stat_columns, descriptive_statistics,
-            feature_correlation, feature_histograms, cluster_analysis, **settings,
+            f"{name}_{featuregroup_version}", self.spark.table(table), stat_columns, descriptive_statistics,
+            feature_correlation, feature_histograms, cluster_analysis, point_id=self._primary_key(table), **settings,
         )
 
+    def _restate(self, name: str, version: int) -> None:
+        """Compute the statistics that a group has once more, with the same settings."""
+        kept = self.statistics.settings(f"{name}_{version}")
+        if kept.get("statistic_columns"):
+            self.update_featuregroup_stats(
+                name, version, None, kept["desc_stats_enabled"], kept["feat_corr_enabled"], kept["feat_hist_enabled"],
+                kept["cluster_analysis_enabled"], kept["statistic_columns"],
+                **{k: kept[k] for k in ("num_bins", "num_clusters", "corr_method", "cluster_points", "seed")},
+            )
+
     def get_featuregroup_statistics(self, name: str, featuregroup_version: int = 1):
         return self.statistics.get(f"{name}_{featuregroup_version}")
 

@@ -1,4 +1,10 @@
-"""Statistics of groups and training datasets, kept as tables of the store."""
+"""Statistics of groups and training datasets, kept as tables of the store.
+
+Descriptive measures, Pearson correlations and histograms are kept as states that add up: moments of
+pairs of columns, and counts of bins. An append adds the states of its own rows; reads merge them.
+Only what does not add up is computed from all rows again: bins of a column whose range has grown,
+rank correlations and clusters.
+"""
 
 from __future__ import annotations
 
@@ -13,13 +19,17 @@ from pyspark.sql import functions as F
 from millrace.functions.types import numeric_columns
 from millrace.operators import statistics as S
 
+_STATE = ", ".join(f"{m} double" for m in (*S._MEASURES, *S._RANGE))
 _SCHEMAS = {
-    "descriptive": "feature string, metric string, value double",
-    "correlation": "feature string, other string, correlation double",
-    "histogram": "feature string, bin int, bin_label double, frequency long",
+    "moments": f"feature string, other string, {_STATE}, batch string",
+    "bins": "feature string, low double, high double, bin int, frequency long, batch string",
+    "ranks": "feature string, other string, correlation double",
     "cluster": "datapoint string, cluster int, first_dimension double, second_dimension double",
     "settings": "settings string",
 }
+FAMILIES = ("descriptive", "correlation", "histogram", "cluster")
+#: States of so many appends are merged to one.
+BATCHES = 16
 
 
 def _literal(text: str) -> str:
@@ -27,33 +37,46 @@ def _literal(text: str) -> str:
 
 
 class StatisticsStore:
-    """One table per statistics family, partitioned by entity: a re-run replaces one partition."""
+    """One table per kind of state, partitioned by entity: a re-run replaces one partition."""
 
     def __init__(self, store):
         self.store = store
         self.spark = store.spark
 
-    def _table(self, family: str) -> str:
-        name = f"`{self.store.database}`.`zz_stats_{family}`"
+    def _name(self, kind: str) -> str:
+        return f"`{self.store.database}`.`zz_stats_{kind}`"
+
+    def _table(self, kind: str) -> str:
+        name = self._name(kind)
         if not self.spark.catalog.tableExists(name):
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({_SCHEMAS[family]}, entity string) "
+                f"CREATE TABLE IF NOT EXISTS {name} ({_SCHEMAS[kind]}, entity string) "
                 "USING parquet PARTITIONED BY (entity)"
             )
         return name
 
-    def _write(self, family: str, entity: str, rows: DataFrame) -> None:
-        """Replace the partition of one entity."""
+    def _write(self, kind: str, entity: str, rows: DataFrame, append: bool = False) -> None:
+        """Replace the partition of one entity, or add to it."""
         view = f"millrace_{uuid.uuid4().hex}"
         rows.createOrReplaceTempView(view)
         try:
             self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self._table(family)} PARTITION (entity = {_literal(entity)}) "
-                f"SELECT * FROM {view}"
+                f"INSERT {'INTO' if append else 'OVERWRITE'} TABLE {self._table(kind)} "
+                f"PARTITION (entity = {_literal(entity)}) SELECT * FROM {view}"
             )
         finally:
             self.spark.catalog.dropTempView(view)
 
+    def _clear(self, kind: str, entity: str) -> None:
+        if self.spark.catalog.tableExists(self._name(kind)):
+            self.spark.sql(f"ALTER TABLE {self._name(kind)} DROP IF EXISTS PARTITION (entity = {_literal(entity)})")
+
+    def _rows(self, kind: str, entity: str) -> DataFrame:
+        """Rows of one entity; the filter prunes to its partition."""
+        return self.spark.table(self._table(kind)).filter(F.col("entity") == entity).drop("entity")
+
+    # Computing ----------------------------------------------------------------------------------
+
     def update(
         self,
         entity: str,
@@ -68,9 +91,15 @@ class StatisticsStore:
         corr_method: str = "pearson",
         cluster_points: int | None = None,
         seed: int = 42,
+        point_id: Sequence[str] = (),
     ) -> None:
-        """Compute the switched-on families and keep them with the settings used."""
+        """Compute the switched-on families of all rows and keep them with the settings used.
+
+        ``point_id`` names the columns that name a point of the cluster family.
+        """
         columns = numeric_columns(df, stat_columns)
+        if feature_correlation:
+            S.check_matrix(columns)
         settings = {
             "desc_stats_enabled": descriptive_statistics,
             "feat_corr_enabled": feature_correlation,
@@ -80,45 +109,127 @@ class StatisticsStore:
             "num_bins": num_bins,
             "num_clusters": num_clusters,
             "corr_method": corr_method,
+            "cluster_points": cluster_points,
+            "seed": seed,
+            "point_id": list(point_id),
         }
+        for kind in _SCHEMAS:
+            self._clear(kind, entity)
+        if columns and self._adds_up(settings):
+            self._add(entity, df, df, settings)
+        if columns:
+            self._from_all_rows(entity, df, settings)
         self._write("settings", entity, self.spark.createDataFrame([(json.dumps(settings),)], _SCHEMAS["settings"]))
+
+    def append(self, entity: str, rows: DataFrame, all_rows: DataFrame) -> None:
+        """Bring the kept families up to date after ``rows`` were appended, which made ``all_rows``."""
+        settings = self.settings(entity)
+        columns = settings.get("statistic_columns")
         if not columns:
             return
-        if descriptive_statistics and S.few_columns(columns):
-            # The single row is small and used more than once.
-            wide = S.profile(df, columns, correlation=False)
-            wide = self.spark.createDataFrame(wide.collect(), wide.schema)
-            self._write("descriptive", entity, S.descriptive_rows(wide, columns))
-        elif descriptive_statistics:
-            self._write("descriptive", entity, S.descriptive_statistics(df, columns))
-        if feature_correlation:
-            self._write("correlation", entity, S.correlation_matrix(df, columns, corr_method))
-        limits = self._limits(entity, columns) if descriptive_statistics and feature_histograms else None
-        if feature_histograms:
-            self._write("histogram", entity, S.histograms(df, columns, num_bins, limits))
-        if cluster_analysis:
-            self._write(
-                "cluster", entity,
-                S.cluster_analysis(df, columns, num_clusters, seed, sample_points=cluster_points),
+        if self._adds_up(settings):
+            self._add(entity, rows, all_rows, settings)
+        self._from_all_rows(entity, all_rows, settings)
+
+    @staticmethod
+    def _adds_up(settings: dict) -> bool:
+        return (
+            settings["desc_stats_enabled"] or settings["feat_hist_enabled"]
+            or settings["feat_corr_enabled"] and settings["corr_method"] == "pearson"
+        )
+
+    def _add(self, entity: str, rows: DataFrame, all_rows: DataFrame, settings: dict) -> None:
+        """Add the states of ``rows``; bins of columns whose range they widen are counted in ``all_rows``."""
+        columns, bins = settings["statistic_columns"], settings["num_bins"]
+        pairs = settings["feat_corr_enabled"] and settings["corr_method"] == "pearson"
+        # At most a row per pair of columns: kept on the driver, as it is needed twice.
+        state = S.merged(S.moments(rows, columns, pairs))
+        state = self.spark.createDataFrame(state.collect(), state.schema)
+        batch = uuid.uuid4().hex
+        self._write("moments", entity, state.withColumn("batch", F.lit(batch)), append=True)
+        if settings["feat_hist_enabled"]:
+            known, limits = self._limits(entity), self._extent(entity)
+            same = {c: limit for c, limit in limits.items() if known.get(c) == limit}
+            grown = {c: limit for c, limit in limits.items() if c not in same}
+            found = [S.bin_counts(part, some, bins) for part, some in ((rows, same), (all_rows, grown)) if some]
+            kept = self._rows("bins", entity).filter(F.col("feature").isin(list(same)))
+            # Counts by feature and bin, few whatever the rows.
+            kept = self.spark.createDataFrame(kept.collect(), _SCHEMAS["bins"])
+            for counts in found:
+                counts = counts.groupBy("feature", "bin").agg(F.sum("frequency").alias("frequency"))
+                edges = self.spark.createDataFrame([(c, float(a), float(b)) for c, (a, b) in limits.items()], "feature string, low double, high double")
+                # A column without a finite value in these rows still has its limits.
+                counts = edges.join(counts, "feature").select("feature", "low", "high", "bin", "frequency", F.lit(batch).alias("batch"))
+                kept = kept.unionByName(counts)
+            self._write("bins", entity, kept)
+        self._compact(entity)
+
+    def _from_all_rows(self, entity: str, df: DataFrame, settings: dict) -> None:
+        columns = settings["statistic_columns"]
+        if settings["feat_corr_enabled"] and settings["corr_method"] != "pearson":
+            self._write("ranks", entity, S.correlation_matrix(df, columns, settings["corr_method"]))
+        if settings["cluster_analysis_enabled"]:
+            points = S.cluster_analysis(
+                df, columns, settings["num_clusters"], settings["seed"], settings["point_id"] or None, settings["cluster_points"]
             )
+            self._write("cluster", entity, points)
+
+    def _compact(self, entity: str) -> None:
+        """Merge the states of many appends to one."""
+        states = self._rows("moments", entity)
+        if states.select("batch").distinct().count() >= BATCHES:
+            one = S.merged(states)
+            one = self.spark.createDataFrame(one.collect(), one.schema).withColumn("batch", F.lit(uuid.uuid4().hex))
+            self._write("moments", entity, one)
 
-    def _limits(self, entity: str, columns: Sequence[str]) -> dict | None:
-        """Stored minimum and maximum per column; None when one of them is not a finite number."""
-        found = {(r.feature, r.metric): r.value for r in self.frame("descriptive", entity).collect()}
-        limits = {c: (found.get((c, "min")), found.get((c, "max"))) for c in columns}
-        finite = all(v is not None and v == v and abs(v) != float("inf") for pair in limits.values() for v in pair)
-        return limits if finite else None
+    def _extent(self, entity: str) -> dict[str, tuple[float, float]]:
+        """Finite range of each column that has one."""
+        own = self._rows("moments", entity).filter(F.col("feature") == F.col("other"))
+        rows = own.groupBy("feature").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo IS NOT NULL").collect()
+        return {r.feature: (r.lo, r.hi) for r in rows}
+
+    def _limits(self, entity: str) -> dict[str, tuple[float, float]]:
+        """Limits that the kept bins were counted with."""
+        rows = self._rows("bins", entity).select("feature", "low", "high").distinct().collect()
+        return {r.feature: (r.low, r.high) for r in rows}
+
+    # Reading ------------------------------------------------------------------------------------
 
     def frame(self, family: str, entity: str) -> DataFrame:
-        """One family of one entity; the filter prunes to its partition."""
-        return self.spark.table(self._table(family)).filter(F.col("entity") == entity).drop("entity")
+        """One family of one entity, merged from the kept states; no rows if it was switched off."""
+        if family not in FAMILIES:
+            raise ValueError(f"no statistics family {family!r}, only {FAMILIES}")
+        settings = self.settings(entity)
+        columns = settings.get("statistic_columns", [])
+        switched_on = {
+            "descriptive": "desc_stats_enabled", "correlation": "feat_corr_enabled", "histogram": "feat_hist_enabled",
+            "cluster": "cluster_analysis_enabled",
+        }
+        on = bool(columns) and settings.get(switched_on[family], False)
+        if family == "cluster":
+            found = self._rows("cluster", entity)
+        elif family == "histogram":
+            found = S.binned(self._rows("bins", entity), self._limits(entity), settings.get("num_bins", S.HISTOGRAM_BINS))
+        elif family == "correlation" and settings.get("corr_method") == "spearman":
+            found = self._rows("ranks", entity)
+        else:
+            state = S.merged(self._rows("moments", entity))
+            found = S.measures_of(state, columns) if family == "descriptive" else S.correlations_of(state)
+        return found if on else found.limit(0)
 
     def settings(self, entity: str) -> dict:
-        row = self.frame("settings", entity).first()
+        """Settings of the last computation; empty if there was none."""
+        if not self.spark.catalog.tableExists(self._name("settings")):
+            return {}
+        row = self._rows("settings", entity).first()
         return json.loads(row.settings) if row else {}
 
-    def get(self, entity: str) -> SimpleNamespace:
-        """Nested statistics: lists bounded by columns, bins and chart points."""
+    def get(self, entity: str, points: int = 1000) -> SimpleNamespace:
+        """Nested statistics for a chart: lists bounded by columns, bins and ``points``.
+
+        The lists of clusters have at most so many points, chosen by hash; ``cluster_analysis.frame``
+        has all of them.
+        """
         descriptive = (
             self.frame("descriptive", entity).groupBy(F.col("feature").alias("feature_name"))
             .agg(F.collect_list(F.struct(F.col("metric").alias("metric_name"), "value")).alias("metric_values"))
@@ -138,24 +249,25 @@ class StatisticsStore:
             ).alias("frequency_distribution"))
             .orderBy("feature_name").collect()
         )
-        points = self.frame("cluster", entity).orderBy("datapoint").collect()
+        frame = self.frame("cluster", entity)
+        shown = frame.orderBy(F.xxhash64("datapoint"), "datapoint").limit(points).collect()
+        shown.sort(key=lambda p: p.datapoint)
         return SimpleNamespace(
             descriptive_stats=SimpleNamespace(descriptive_stats=descriptive),
             correlation_matrix=SimpleNamespace(feature_correlations=correlation),
             feature_histograms=SimpleNamespace(feature_distributions=histogram),
             cluster_analysis=SimpleNamespace(
-                clusters=[SimpleNamespace(datapoint_name=p.datapoint, cluster=p.cluster) for p in points],
+                clusters=[SimpleNamespace(datapoint_name=p.datapoint, cluster=p.cluster) for p in shown],
                 datapoints=[
                     SimpleNamespace(datapoint_name=p.datapoint, first_dimension=p.first_dimension,
                                     second_dimension=p.second_dimension)
-                    for p in points
+                    for p in shown
                 ],
+                frame=frame,
             ),
             settings=self.settings(entity),
         )
 
     def drop(self, entity: str) -> None:
-        for family in _SCHEMAS:
-            name = f"`{self.store.database}`.`zz_stats_{family}`"
-            if self.spark.catalog.tableExists(name):
-                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (entity = {_literal(entity)})")
+        for kind in _SCHEMAS:
+            self._clear(kind, entity)

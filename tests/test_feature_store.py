@@ -239,6 +239,41 @@ def test_online_copy_refuses_bad_changes(spark, store):
     store.drop_featuregroup("small")
 
 
+def test_statistics_follow_appends(spark, store, monkeypatch):
+    from millrace.operators import statistics as S
+    from millrace.plans import statistics_store
+
+    monkeypatch.setattr(statistics_store, "BATCHES", 3)
+    rows = spark.range(200).select("id", (F.col("id") % 13).alias("x"), F.col("id").cast("double").alias("y"))
+    store.create_featuregroup(rows.filter("id < 100"), "grown", primary_key=["id"], stat_columns=["x", "y"])
+    counted = []
+    count_bins = S.bin_counts
+    monkeypatch.setattr(S, "bin_counts", lambda df, limits, bins: counted.append((df.count(), sorted(limits))) or count_bins(df, limits, bins))
+    store.insert_into_featuregroup(rows.filter("id BETWEEN 100 AND 149"), "grown")
+    # Column x keeps its range, so only the new rows are counted; y is counted anew.
+    assert sorted(counted) == [(50, ["x"]), (150, ["y"])]
+    store.insert_into_featuregroup(rows.filter("id >= 150"), "grown")
+    store.insert_into_featuregroup(store.get_featuregroup("grown").limit(0), "grown")
+    stats = store.statistics
+    assert stats._rows("moments", "grown_1").select("batch").distinct().count() < 3
+    for family, plain in (
+        ("descriptive", S.descriptive_statistics(rows, ["x", "y"])), ("histogram", S.histograms(rows, ["x", "y"])),
+        ("correlation", S.correlation_matrix(rows, ["x", "y"])),
+    ):
+        key = lambda r: tuple(map(str, r[:2]))
+        found, wanted = (sorted(df.collect(), key=key) for df in (stats.frame(family, "grown_1"), plain))
+        assert [tuple(r)[:2] for r in found] == [tuple(r)[:2] for r in wanted]
+        assert [r[-1] for r in found] == pytest.approx([r[-1] for r in wanted], rel=1e-9)
+    assert {r.datapoint for r in stats.frame("cluster", "grown_1").collect()} == {str(i) for i in range(200)}
+    shown = stats.get("grown_1", points=50).cluster_analysis
+    assert len(shown.clusters) == len(shown.datapoints) == 50 and shown.frame.count() == 200
+    doubled = store.get_featuregroup("grown")
+    store.insert_into_featuregroup(doubled, "grown")
+    assert stats.frame("descriptive", "grown_1").filter("metric = 'count'").first().value == 400
+    store.insert_into_featuregroup(rows.limit(7), "grown", mode="overwrite")
+    assert stats.frame("descriptive", "grown_1").filter("metric = 'count'").first().value == 7
+
+
 def test_result_types(filled):
     assert isinstance(filled.get_featuregroup("teams_features", dataframe_type="pandas"), pd.DataFrame)
     array = filled.get_features(["team_budget", "average_attendance"], dataframe_type="numpy")

@@ -84,6 +84,48 @@ def test_ranks_of_a_hot_value(spark):
     assert {r.x: r._rank for r in S.average_ranks(df, "x").collect()} == expected
 
 
+@pytest.mark.parametrize("most", [1 << 16, 30, 0])
+def test_ranks_pair_by_pair(spark, monkeypatch, most):
+    """Ranks from broadcast tables, from joins, and from both; a pair does not see other columns' gaps."""
+    monkeypatch.setattr(S, "BROADCAST_RANKS", most)
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame(rng.normal(size=(500, 4)).round(1), columns=list("abcd"))
+    pdf["b"] = (pdf["b"] + pdf["a"]).round(0)
+    pdf["c"] = pdf["c"].mask(rng.random(500) < 0.3)
+    pdf["d"] = pdf["d"].mask(rng.random(500) < 0.5)
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    wanted = pdf.corr(method="spearman")
+    found = {(r.feature, r.other): r.correlation for r in S.correlation_matrix(df, method="spearman").collect()}
+    assert len(found) == 16
+    for (a, b), value in found.items():
+        assert value == pytest.approx(wanted.loc[a, b], abs=1e-9)
+    alone = {(r.feature, r.other): r.correlation for r in S.correlation_matrix(df, ["a", "b"], "spearman").collect()}
+    assert alone["a", "b"] == pytest.approx(found["a", "b"], abs=1e-12)
+    assert S.correlation_matrix(df.limit(0), method="spearman").count() == 0
+
+
+def test_measures_of_odd_numbers(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame(
+        [(1.0, inf, nan, None, 5.0), (None, 2.0, 1.0, None, None), (3.0, -inf, 2.0, None, None)],
+        "plain double, both double, gap double, none double, one double",
+    )
+    found = {(r.feature, r.metric): r.value for r in S.descriptive_statistics(df).collect()}
+    of = lambda c: [found[c, m] for m in S.METRICS]
+    assert of("plain") == [2, 2, pytest.approx(2**0.5), 1, 3] and of("none") == [0, None, None, None, None]
+    assert of("one") == [1, 5, None, 5, 5] and of("both")[3:] == [-inf, inf] and of("gap")[3] == 1
+    assert all(v != v for v in (*of("both")[1:3], *of("gap")[1:3], of("gap")[4]))
+
+
+def test_states_add_up(spark):
+    df = spark.range(1000).select((F.col("id") % 17 + 1e6).alias("a"), (F.sqrt("id")).alias("b")).repartition(5)
+    whole = S.merged(S.moments(df, ["a", "b"])).orderBy("feature", "other").collect()
+    parts = S.moments(df.filter("b < 9"), ["a", "b"]).unionByName(S.moments(df.filter("b >= 9"), ["a", "b"]))
+    for x, y in zip(whole, S.merged(parts).orderBy("feature", "other").collect()):
+        assert x[:2] == y[:2] and list(x[2:]) == [v if v is None else pytest.approx(v, rel=1e-9) for v in y[2:]]
+
+
 def test_pairs_leave_out_nulls(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, None), (3.0, 6.0), (None, 1.0), (4.0, 8.0)], "a double, b double")
     found = {(r.feature, r.other): r.correlation for r in S.correlation_matrix(df).collect()}
