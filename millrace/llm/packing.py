@@ -14,80 +14,161 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.token_counts import chunks
-from millrace.llm.work import column, partitions, steps, stored, texts_of
+from millrace.llm.work import column, partitions, steps, stored
 
-_MEMORY = 1_000_000
+#: Remembered parts of a task; a full memory is emptied.
+_MEMORY = 1_200_000
+#: Text bytes whose words are made distinct at once.
+_STEP = 16 << 20
 #: Stands between parts that the library sees as one text; parts that hold it are encoded alone.
 _MARK = "|"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _core(chunk: str) -> tuple[str, ...]:
-    """Parts of an ASCII chunk that the library sees more often: lower case, without a mark at its end."""
-    if not chunk.isascii() or _MARK in chunk:
-        return (chunk,)
-    core = chunk.lower()
-    if core[-1] in ".,;:!?" and core[-2:-1].isalnum():
-        return core[:-1], core[-1]
-    return (core,)
+class _Slots:
+    """Lists of ids under numbers, in one growing array. Number 0 is the empty list."""
+
+    def __init__(self):
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.first, self.many = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.lists, self.used = 1, 0
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, len(array)), array.dtype)])
+
+    def add(self, ids: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """Numbers of new lists, whose ids follow each other."""
+        end, lists = self.used + len(ids), self.lists + len(many)
+        self.ids = self._room(self.ids, end)
+        self.first, self.many = self._room(self.first, lists), self._room(self.many, lists)
+        self.ids[self.used : end] = ids
+        self.many[self.lists : lists] = many
+        self.first[self.lists : lists] = self.used + np.cumsum(many) - many
+        out = np.arange(self.lists, lists)
+        self.lists, self.used = lists, end
+        return out
+
+
+def _gather(ids: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The ids of slices, one slice after the other."""
+    before = np.cumsum(many) - many
+    return ids[np.repeat(first - before, many) + np.arange(int(many.sum()))]
 
 
 class ChunkTokens:
-    """Ids as little-endian bytes, through the library of the file; chunks between white space are remembered.
+    """Ids of texts through the library of the file; what stands between white space is remembered.
 
     The tokenizer must lower-case texts, drop white space and cut there and between letters or digits
-    and marks, so that a text's ids are those of its parts.
+    and marks, so that a text's ids are those of its parts. Texts are split, and their words made
+    distinct, in Arrow; only words not seen before reach the library, in lower case and without a
+    mark at the end, and ids are gathered by arrays.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self._encode = Tokenizer.from_file(path).encode_batch_fast
-        self._known: dict[str, bytes] = {}
+        whole = Tokenizer.from_file(path)
+        self._encode = whole.encode_batch_fast
+        self._forget()
         mark = self._of([_MARK])[0]
-        if len(mark) != 4:
+        if len(mark) != 1:
             raise ValueError(f"the tokenizer must have one id for {_MARK!r}")
-        self._mark = int.from_bytes(mark, "little")
-
-    def _of(self, texts: list[str]) -> list[bytes]:
-        found = self._encode(texts, add_special_tokens=False)
-        return [np.array(encoding.ids, dtype="<u4").tobytes() for encoding in found]
-
-    def _of_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts without a mark, encoded as one text with marks between them."""
-        joined = self._of([f" {_MARK} ".join(parts)])[0]
-        ends = 4 * np.flatnonzero(np.frombuffer(joined, "<u4") == self._mark)
-        if len(ends) != len(parts) - 1:
-            return self._of(parts)
-        starts, ends = [0, *(ends + 4).tolist()], [*ends.tolist(), len(joined)]
-        return [joined[a:b] for a, b in zip(starts, ends)]
+        self._mark = int(mark[0])
+        # Words of letters a to z only are neither changed nor cut: the model alone gives their ids.
+        words = Tokenizer(whole.model)
+        words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        probe = [f" {_MARK} ".join(["abcdefghijklmnopqrstuvwxyz", *"abcdefghijklmnopqrstuvwxyz", "the", "zqxj"])]
+        same = np.array_equal(self._of(probe)[0], self._of(probe, words.encode_batch_fast)[0])
+        self._encode_words = words.encode_batch_fast if same else self._encode
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {"": 0}
+        self._slots = _Slots()
+
+    def _of(self, texts: list[str], encode=None) -> list[np.ndarray]:
+        found = (encode or self._encode)(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, dtype=np.uint32) for encoding in found]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of new parts; those without a mark are encoded as one text with marks between them."""
+        alone = [part for part in parts if _MARK in part]
+        words = [part for part in parts if part.isascii() and part.isalpha()]
+        rest = [part for part in parts if _MARK not in part and not (part.isascii() and part.isalpha())]
+        for encode, listed in ((self._encode_words, words), (self._encode, rest)):
+            for at in range(0, len(listed), 4096):
+                some = listed[at : at + 4096]
+                joined = self._of([f" {_MARK} ".join(some)], encode)[0]
+                ends = np.flatnonzero(joined == self._mark)
+                if len(ends) != len(some) - 1:
+                    alone += some
+                    continue
+                many = np.diff(np.concatenate([[-1], ends, [len(joined)]])) - 1
+                self._known.update(zip(some, self._slots.add(np.delete(joined, ends), many).tolist()))
+        if alone:
+            found = self._of(alone)
+            numbers = self._slots.add(np.concatenate(found), np.array([len(ids) for ids in found]))
+            self._known.update(zip(alone, numbers.tolist()))
+
+    def _numbers(self, parts: pa.Array) -> np.ndarray:
+        """Numbers of the id lists of parts, which may repeat."""
+        distinct = parts.dictionary_encode()
+        listed = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._known.get, listed))
+        if None in found:
+            new = [i for i, number in enumerate(found) if number is None]
+            self._learn([listed[i] for i in new])
+            for i in new:
+                found[i] = self._known[listed[i]]
+        return np.array(found, np.int64)[distinct.indices.to_numpy()]
+
+    @staticmethod
+    def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """(text of each word, words): what lies between white space."""
+        split = pc.utf8_split_whitespace(texts)
+        odd = np.flatnonzero(np.asarray(pc.match_substring_regex(texts, "[\x1c-\x1f]")))
+        if len(odd):
+            # Separators that Arrow takes for white space and the library does not.
+            listed = split.to_pylist()
+            for row in odd:
+                listed[row] = chunks(texts[int(row)].as_py())
+            split = pa.array(listed, pa.list_(pa.large_string()))
+        owner, words = np.asarray(pc.list_parent_indices(split), np.int64), split.flatten()
+        full = np.asarray(pc.not_equal(words, ""))
+        return owner[full], words.filter(pa.array(full))
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(bounds, ids): the ids of text i are those from bounds[i] to bounds[i + 1]; null is empty."""
+        if len(self._known) > _MEMORY:
+            self._forget()
+        owner, words = self._words(pc.fill_null(texts, "").cast(pa.large_string()))
+        distinct = words.dictionary_encode()
+        plain = distinct.dictionary
+        ascii_only = pc.and_(pc.string_is_ascii(plain), pc.invert(pc.match_substring(plain, _MARK)))
+        lower = pc.if_else(ascii_only, pc.ascii_lower(plain), plain)
+        marked = pc.and_(ascii_only, pc.match_substring_regex(lower, "[0-9a-z][.,;:!?]$"))
+        # A word is a part and the mark at its end, or nothing.
+        core = self._numbers(pc.if_else(marked, pc.utf8_slice_codeunits(lower, 0, -1), lower))
+        tail = self._numbers(pc.if_else(marked, pc.utf8_slice_codeunits(lower, -1), ""))
+        slots = self._slots
+        parts = np.stack([core, tail], axis=1).ravel()
+        own = _gather(slots.ids, slots.first[parts], slots.many[parts])
+        many = slots.many[core] + slots.many[tail]
+        first, index = np.cumsum(many) - many, distinct.indices.to_numpy()
+        ids = _gather(own, first[index], many[index])
+        sizes = np.bincount(owner, many[index], minlength=len(texts)).astype(np.int64)
+        return np.concatenate([[0], np.cumsum(sizes)]), ids
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [chunks(text) for text in texts]
-        if len(self._known) > _MEMORY:
-            self._known = {}
-        known = self._known
-        words = set()
-        for some in cut:
-            words.update(some)
-        new = {chunk: _core(chunk) for chunk in words if chunk not in known}
-        cores = {part for parts in new.values() for part in parts if part not in known}
-        marked = [core for core in cores if _MARK in core]
-        known.update(zip(marked, self._of(marked)))
-        plain = list(cores.difference(marked))
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            known.update(zip(some, self._of_parts(some)))
-        for chunk, parts in new.items():
-            if len(parts) > 1 or parts[0] is not chunk:
-                known[chunk] = b"".join([known[part] for part in parts])
-        find = known.__getitem__
-        return [b"".join(map(find, some)) for some in cut]
+        """Ids as little-endian bytes, text by text."""
+        bounds, ids = self.ids_of(pa.array(texts, pa.large_string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _TOKENS: dict[str, ChunkTokens] = {}
@@ -100,14 +181,18 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col: str,
         tokens = _TOKENS.setdefault(tokenizer, None) or ChunkTokens(tokenizer)
         _TOKENS[tokenizer] = tokens
         end = int(end_id).to_bytes(4, "little")
-        for batch in steps(batches):
+        for batch in steps(batches, most=_STEP):
             rows = []
-            for doc, ids in zip(column(batch, "id").to_pylist(), tokens.ids(texts_of(batch))):
-                ids += end
-                total = len(ids) // 4
+            bounds, ids = tokens.ids_of(column(batch, "text"))
+            ids, bounds = ids.astype("<u4", copy=False), bounds.tolist()
+            for doc, low, high in zip(column(batch, "id").to_pylist(), bounds, bounds[1:]):
+                total = high - low + 1
                 for start in range(0, total, size):
-                    part = ids[4 * start : 4 * (start + size)]
-                    rows.append((doc, start, len(part) // 4, zlib.crc32(part), total))
+                    stop = min(start + size, total)
+                    crc = zlib.crc32(ids[low + start : min(low + stop, high)])
+                    if stop == total:
+                        crc = zlib.crc32(end, crc)
+                    rows.append((doc, start, stop - start, crc, total))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(values), pa.int64()) for values in zip(*rows)],
