@@ -155,7 +155,7 @@ class LanguageFilters:
 
 
 def learn(
-    docs: DataFrame, documents: int = 3000, grams: int = 20_000, dominance: float = 0.3,
+    docs: DataFrame, documents: int = 3000, grams: int = 20_000, dominance: float = 0.3, few: int = 2000,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> LanguageFilters:
     """Filters from the rows of ``docs`` with a language and a text.
@@ -163,7 +163,8 @@ def learn(
     About ``documents`` rows of each language are learned from: those whose id has a hash below a
     bound that follows from the language's number of rows. An n-gram belongs to a language if its
     share among the language's n-grams is at least ``dominance`` times its highest share in any
-    language and it occurs more than once; the ``grams`` most frequent of each language are kept.
+    language; the ``grams`` most frequent of each language are kept. Those that occur once count
+    only in a language with less than ``few`` others, so that no language is lost.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
@@ -194,9 +195,12 @@ def learn(
 
     table = (
         sample.select("lang", "text").mapInArrow(counted, "lang string, gram long, n long")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     table = stored(table, "ngrams")
+    repeated = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.count_if(F.col("n") > 1).alias("n")).collect()}
+    small = [lang for lang, n in repeated.items() if n < few]
+    table = table.where((F.col("n") > 1) | F.col("lang").isin(small))
     total = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     weight = F.lit(0.0)
     for lang, n in total.items():
@@ -209,7 +213,9 @@ def learn(
     found: dict[str, list[int]] = {}
     for row in own.toLocalIterator():
         found.setdefault(row["lang"], []).append(row["gram"])
-    languages = sorted(found, key=lambda lang: (-sizes[lang], lang))
+    # A language whose texts have no n-gram, or only ones that others own, has an empty filter.
+    languages = sorted(sizes, key=lambda lang: (-sizes[lang], lang))
+    found = {lang: found.get(lang, []) for lang in languages}
     return LanguageFilters.build(languages, [np.array(found[lang], np.int64).view(np.uint64) for lang in languages])
 
 

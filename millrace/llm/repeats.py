@@ -203,8 +203,10 @@ def _window_rows(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _with_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row of each id and text that has runs, with all of them; repeated rows have the same runs."""
     run = F.struct("low", "high", "anchor", "gram", F.col("mark").cast("long").alias("mark"))
-    return rows.join(runs.groupBy("did", "tid").agg(F.collect_list(run).alias("runs")), ["did", "tid"])
+    listed = runs.distinct().groupBy("did", "tid").agg(F.collect_list(run).alias("runs"))
+    return rows.join(listed, ["did", "tid"]).dropDuplicates(["did", "tid"])
 
 
 def _repeated(rows: DataFrame, *key: str) -> DataFrame:
@@ -302,7 +304,7 @@ def remove_repeats(docs: DataFrame, size: int = 200, id_col: str = "doc_id", tex
     covers which also starts anywhere else, in the same text too; ``spans`` lists the removed
     (start, end). Repeated rows of one id and text repeat each other.
     """
-    runs = repeated_spans(docs, size, id_col, text_col).groupBy("did", "tid").agg(
+    runs = repeated_spans(docs, size, id_col, text_col).distinct().groupBy("did", "tid").agg(
         F.collect_list(F.struct("low", "high")).alias("runs")
     )
     rows = _keyed(docs, id_col, text_col).join(runs, ["did", "tid"], "left")

@@ -67,8 +67,15 @@ def window(text: str, start: int, end: int) -> bytes:
     return bytes(min(ord(c), 127) for c in shown)
 
 
-def _overlaps(start: int, end: int, spans: list[tuple[int, str, int]]) -> bool:
-    return any(a < end and start < b for a, _, b in spans)
+def _inside(runs: list[tuple[int, int]], spans: list[tuple[int, str, int]]) -> list[bool]:
+    """Whether each run overlaps a span; both are sorted by start, and runs do not overlap each other."""
+    out, at, reach = [], 0, 0
+    for start, end in runs:
+        while at < len(spans) and spans[at][0] < end:
+            reach = max(reach, spans[at][2])
+            at += 1
+        out.append(reach > start)
+    return out
 
 
 class CharacterNetwork:
@@ -167,7 +174,7 @@ def train(
     The sample is the smallest hashes of the distinct windows, so it does not depend on partitioning.
     Calibration and threshold come from all distinct windows the network was not fitted on, scored
     in the tasks and counted in a histogram of SCORE_STEPS steps a unit.
-    None is returned if one kind has fewer than 20 examples: then only the patterns find secrets.
+    None is returned if one kind has no example at all: then only the patterns find secrets.
     """
 
     def labelled(batches):
@@ -177,7 +184,7 @@ def train(
                 if runs := candidates(text):
                     spans = base_spans(text)
                     shown += [window(text, a, b) for a, b in runs]
-                    inside += [_overlaps(a, b, spans) for a, b in runs]
+                    inside += _inside(runs, spans)
             yield pa.RecordBatch.from_arrays([pa.array(shown, pa.binary()), pa.array(inside, pa.bool_())], ["shown", "inside"])
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(labelled, "shown binary, inside boolean")
@@ -186,12 +193,13 @@ def train(
         [bytes(r.shown) for r in rows.where(rows.inside == kind).orderBy(F.xxhash64("shown"), "shown").limit(sample).collect()]
         for kind in (True, False)
     )
-    if min(len(hit), len(miss)) < 20:
+    if not hit or not miss:
         return None
     codes = np.frombuffer(b"".join(hit + miss), np.uint8).reshape(-1, WIDTH)
     label = np.repeat([1.0, 0.0], [len(hit), len(miss)])
     draw = np.random.default_rng(11)
     held = draw.random(len(label)) < 0.3
+    held[[0, len(hit)]] = False  # both kinds are there to be learned
     fit_codes, fit_label = codes[~held], label[~held]
     swapped = fit_codes.copy()
     swapped[:, :LEFT] = fit_codes[draw.permutation(len(fit_codes)), :LEFT]
@@ -233,9 +241,10 @@ def spans_of(texts: list[str], model: SecretModel | None) -> list[list[tuple[int
     found = [base_spans(text) for text in texts]
     if model is None:
         return found
-    extra = [
-        (i, a, b) for i, text in enumerate(texts) for a, b in candidates(text) if not _overlaps(a, b, found[i])
-    ]
+    extra = []
+    for i, text in enumerate(texts):
+        runs = candidates(text)
+        extra += [(i, a, b) for (a, b), known in zip(runs, _inside(runs, found[i])) if not known]
     for at in range(0, len(extra), 4096):
         some = extra[at : at + 4096]
         for (i, a, b), p in zip(some, model.probability([window(texts[i], a, b) for i, a, b in some])):

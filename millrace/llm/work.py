@@ -8,12 +8,28 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import fresh_dir
+from millrace.session import delete_path, fresh_dir
 
 #: Text bytes that one step of a task holds as Python objects.
 STEP_BYTES = 8 << 20
 
 
+_WRITTEN: list[str] = []
+
+
+def written() -> int:
+    """How many tables :func:`stored` has written; a mark for :func:`forget`."""
+    return len(_WRITTEN)
+
+
+def forget(spark: SparkSession, mark: int, keep: int = 0) -> None:
+    """Delete the tables written since the mark, but for the last ``keep``. Nothing may read them any more."""
+    end = len(_WRITTEN) - keep
+    for path in _WRITTEN[mark:end]:
+        delete_path(spark, path)
+    del _WRITTEN[mark:end]
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: later plans start from the files.
 
@@ -21,6 +37,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
+    _WRITTEN.append(path)
     # What lay upstream is not read again: let the driver notice, so that its shuffle files go now.
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()

@@ -193,6 +193,83 @@ def test_secrets(spark):
     assert secret_scan.train(frame(spark, ODD)) is None and secret_scan.scan(frame(spark, []), None).count() == 0
 
 
+def plain_base(text):
+    """Base spans by hand: each kind scanned from left to right, without regular expressions."""
+    found, word = [], set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+    names = ("password", "passwd", "secret", "token", "apikey", "api_key")
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+    def run(at, letters):
+        end = at
+        while end < len(text) and text[end] in letters:
+            end += 1
+        return end
+
+    i = 0
+    while i < len(text):
+        end = None
+        for name in names:
+            if not lower.startswith(name, i):
+                continue
+            at = i + len(name)
+            at += text[at : at + 1] in ('"', "'") and bool(text[at : at + 1])
+            at = run(at, " ")
+            if text[at : at + 1] not in (":", "="):
+                continue
+            at = run(at + 1, " ")
+            for quoted in (1, 0):
+                begin = at + (quoted and text[at : at + 1] in ('"', "'") and bool(text[at : at + 1]))
+                stop = run(begin, word)
+                if stop > begin:
+                    end = stop
+                    if stop - begin >= 6:
+                        found.append((i, 0, stop))
+                    break
+            if end:
+                break
+        i = end or i + 1
+    i = 0
+    while i < len(text):
+        stop = run(i + 4, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") if text.startswith("AKIA", i) else i
+        if stop > i + 4:
+            if stop - i >= 20:
+                found.append((i, 1, stop))
+            i = stop
+        else:
+            i += 1
+    i = 0
+    while i < len(text):
+        stop = run(i, "0123456789abcdef")
+        if stop - i >= 24:
+            found.append((i, 2, stop))
+        i = max(stop, i + 1)
+    return [(a, ("assign", "access", "hex")[k], b) for a, k, b in sorted(found)]
+
+
+def test_base_spans_against_a_plain_scanner():
+    random.seed(16)
+    piece = ["token", "Password", "api_key", "apikey", "secret", '"', "'", " ", ":", "=", "AKIA", "A1" * 9, "abc123", "f0" * 13, "é", "\n", "x.y", "=="]
+    texts = ["".join(random.choices(piece, k=random.randint(1, 14))) for _ in range(4000)]
+    for text in texts + [t for _, t in documents()]:
+        assert secret_scan.base_spans(text) == plain_base(text), text
+
+
+def test_runs_inside_spans():
+    random.seed(17)
+    for _ in range(300):
+        cuts = sorted(random.sample(range(200), 2 * random.randint(0, 12)))
+        runs = list(zip(cuts[::2], cuts[1::2]))
+        spans = sorted((a, "k", a + random.randint(1, 60)) for a in random.choices(range(200), k=random.randint(0, 8)))
+        assert secret_scan._inside(runs, spans) == [any(a < e and s < b for a, _, b in spans) for s, e in runs]
+
+
+def test_a_network_of_few_examples(spark):
+    rows = [(1, "password=abc123def456ghi"), (2, "card 1234567890123456"), (3, "card 9234567890123456 token=zzz999zzz888")]
+    model = secret_scan.train(frame(spark, rows))
+    assert model is not None and 0 < model.threshold < 1
+    assert secret_scan.scan(frame(spark, rows), model).count() == 3
+
+
 def test_threshold_is_of_all_findings(spark):
     random.seed(13)
     key = lambda: "".join(random.choices("0123456789abcdef", k=18))
@@ -316,6 +393,15 @@ def test_repeats(spark, monkeypatch, segment):
     assert collections.Counter(map(tuple, found)) == plain_removal(rows)
 
 
+def test_repeats_of_equal_rows(spark):
+    random.seed(18)
+    text = "".join(random.choices("abcdef ", k=1500))
+    other = text[:700] + "".join(random.choices("xyz", k=400))
+    rows = [(1, text)] * 60 + [(None, other)] * 3 + [(2, other), (3, text[300:900])]
+    found = repeats.remove_repeats(frame(spark, rows)).drop("spans").collect()
+    assert collections.Counter(map(tuple, found)) == plain_removal(rows)
+
+
 def test_repeats_query(spark):
     found = queries.op6_suffix_array_dedup(spark, SF).collect()
     assert collections.Counter(map(tuple, found)) == plain_removal(documents())
@@ -385,6 +471,15 @@ def test_language(spark):
     assert language.keep_identified(docs, filters).count() == docs.count()
 
 
+def test_no_language_is_lost(spark):
+    rows = [(i, f"the quick brown fox number {i} jumps over the lazy dog", "en") for i in range(20)]
+    rows += [(100, "zxcvb qwrtp", "zz"), (101, "123", "digits")]
+    filters = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert filters.languages == ["en", "digits", "zz"]
+    found = language.identify(frame(spark, [(1, "zxcvb"), (2, "quick dog")]), filters).collect()
+    assert [r.lang_pred for r in found] == ["zz", "en"]
+
+
 def test_filters_hold_all_their_grams():
     draw = np.random.default_rng(3)
     grams = [draw.integers(0, 2**63, 500, dtype=np.uint64) for _ in range(70)]
@@ -439,3 +534,21 @@ def test_pipeline(spark):
     assert len(set(texts)) == len(texts)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in rows}
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_stages_with_odd_rows(spark, stage):
+    """Nulls, empty and very long texts, repeated rows, clashing names and an empty table."""
+    rows = [(i, t, "en" if n % 2 else None, None, len(t or ""), n, "x", 1.0) for n, (i, t) in enumerate(ODD * 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id long, lost_id string, score double"
+    docs = spark.createDataFrame(rows, schema)
+    found = stage(spark, docs, SF)
+    kept = found.collect()
+    if stage is corpus_pipeline.STAGES[-1][1]:
+        assert sum(r.start == 0 for r in kept) == len(rows)
+    else:
+        assert found.columns == docs.columns and {r.id for r in kept} <= set(range(len(rows)))
+        # Only the language stage may drop texts without words, and each stage keeps a row of every other text.
+        if stage is not corpus_pipeline.STAGES[0][1]:
+            assert {r.doc_id for r in kept if not (r.text or "").strip()} >= {1, 2, 3}
+    assert stage(spark, docs.limit(0), SF).count() == 0
