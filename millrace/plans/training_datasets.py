@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import record_schema
 from millrace.session import delete_path
+from millrace.sources.csv_records import read_csv_records
 from millrace.sources.tables import CSV_WRITE_OPTIONS
 
 # --- fixed values -------------------------------------------------------------------------------
@@ -192,8 +193,10 @@ class TrainingDatasets:
                 **NATIVE_OPTIONS[data_format]
             )
             if data_format in ("csv", "tsv") and any(f.dataType.typeName() == "string" for f in schema):
-                reader = reader.option("multiLine", "true")  # texts may hold line ends
-            rows = reader.schema(schema).load(path)
+                # Texts may hold line ends.
+                rows = read_csv_records(self.spark, path, schema, NATIVE_OPTIONS[data_format], ".csv")
+            else:
+                rows = reader.schema(schema).load(path)
             return _unguarded(rows) if data_format in ("csv", "tsv") else rows
         if data_format in RECORD_FORMATS:
             return records.read_tfrecord(self.spark, path, schema)

@@ -222,6 +222,14 @@ def _dataset(data_format):
     return run
 
 
+def td_csv_texts(spark, sf_dir):
+    """Whole texts with line ends and quotes, in csv files that are read by splits."""
+    store = new_store(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    store.create_training_dataset(documents, "texts", data_format="csv")
+    return store.get_training_dataset("texts")
+
+
 def td_overwrite(spark, sf_dir):
     """An insert replaces the rows, here with rows computed from the dataset itself."""
     store = new_store(spark)
@@ -280,6 +288,7 @@ QUERIES = {
     "fg_online_lookup": fg_online_lookup,
     "fg_primary_key_check": fg_primary_key_check,
     "td_csv": _dataset("csv"),
+    "td_csv_texts": td_csv_texts,
     "td_tsv": _dataset("tsv"),
     "td_json": _dataset("json"),
     "td_parquet": _dataset("parquet"),
@@ -365,6 +374,7 @@ SQL = {
         "HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL"
     ),
     **{f"td_{f}": "SELECT * FROM part" for f in ("csv", "tsv", "json", "parquet", "orc", "petastorm")},
+    "td_csv_texts": "SELECT doc_id, text, lang, n_chars FROM documents",
     "td_overwrite": "SELECT p_partkey, p_name, p_brand, p_type, p_size * 2 AS p_size, p_retailprice FROM part",
     "td_npy": "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem",
     "td_tfrecord": (

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from millrace.sources.csv_records import read_csv_records
+
 
 def read_csv(
     spark: SparkSession,
@@ -25,8 +27,16 @@ def read_csv(
 ) -> DataFrame:
     """CSV files. With a schema they are read once; inferring one costs a pass over the data.
 
-    ``multi_line`` is for quoted values that hold line ends; a file is then one task's work.
+    ``multi_line`` is for quoted values that hold line ends. With a schema such files are read by
+    splits, too; without one, or with comments, a file is one task's work.
     """
+    if multi_line and schema is not None and comment is None and "quote" not in options and "escape" not in options:
+        given = {"sep": sep, "header": str(header).lower(), "escape": '"', **options}
+        if na_values is not None:
+            given["nullValue"] = na_values
+        df = read_csv_records(spark, path, schema, given)
+        df = df.toDF(*names) if names is not None else df
+        return df.select(*usecols) if usecols else df
     reader = spark.read.option("sep", sep).option("header", str(header).lower()).option("escape", '"').option(
         "multiLine", str(multi_line).lower()
     )
