@@ -6,8 +6,13 @@ parameter. A result frame has ``trial_id, trial_key, params, outputs, metric``.
 
 from __future__ import annotations
 
+import contextlib
 import inspect
+import io
 import json
+import os
+import shutil
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -15,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import draw, trial_key, uniform_between
+from millrace.session import fresh_dir, qualified
+from millrace.sources.file_writer import file_system
 
 MAX, MIN = "MAX", "MIN"
 RESULT_SCHEMA = (
@@ -23,6 +30,8 @@ RESULT_SCHEMA = (
 # Aggregates of one data scan; more trials take further scans. With many more, the generated code of a
 # scan becomes too large for the JVM to compile well, which costs more than reading again.
 _TRIALS_PER_SCAN = 32
+# Trials whose scans make one job.
+_TRIALS_PER_PAGE = 256
 
 
 def check_direction(direction: str) -> str:
@@ -151,24 +160,92 @@ def normalise(returned, optimization_key: str | None, optimise: bool) -> tuple[d
     return {str(k): _text(v) for k, v in outputs.items()}, _number(outputs[key])
 
 
+def published(outputs, folder: str):
+    """Returned values, with local files and folders among them moved below ``folder`` and named by their new path.
+
+    A task that is run twice publishes twice, under different names; :func:`drop_unnamed` removes
+    what no result row names.
+    """
+    from pyarrow import fs
+
+    if not isinstance(outputs, dict):
+        return outputs
+    found = dict(outputs)
+    for key, value in outputs.items():
+        if not isinstance(value, str) or not value or not os.path.exists(value):
+            continue
+        system, root = file_system(folder)
+        place = f"{uuid.uuid4().hex}/{os.path.basename(value.rstrip('/'))}"
+        target = f"{root}/{place}"
+        system.create_dir(target if os.path.isdir(value) else os.path.dirname(target), recursive=True)
+        fs.copy_files(os.path.abspath(value), target, source_filesystem=fs.LocalFileSystem(), destination_filesystem=system)
+        shutil.rmtree(value) if os.path.isdir(value) else os.remove(value)
+        found[key] = f"{folder}/{place}"
+    return found
+
+
+def drop_unnamed(results: DataFrame, folder: str) -> int:
+    """Remove the published files that no output of ``results`` names, as attempts that were lost leave them.
+
+    Returns how many folders went. Results must be stored, since a new evaluation publishes anew.
+    """
+    from pyarrow import fs
+
+    system, root = file_system(folder)
+    if system.get_file_info(root).type != fs.FileType.Directory:
+        return 0
+    spark = results.sparkSession
+    present = [(i.base_name,) for i in system.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.Directory]
+    listed = spark.createDataFrame(present, "place string")
+    value = results.select(F.explode(F.map_values("outputs")).alias("value"))
+    named = value.filter(F.startswith("value", F.lit(f"{folder}/"))).select(
+        F.substring_index(F.substring("value", len(folder) + 2, 1 << 20), "/", 1).alias("place")
+    )
+    lost = [r.place for r in listed.join(named, "place", "left_anti").collect()]
+    for place in lost:
+        system.delete_dir(f"{root}/{place}")
+    return len(lost)
+
+
+def _called(function: Callable, arguments: dict, shared: str | None):
+    """What a trial returns, and the path of its log if it printed anything."""
+    if shared is None:
+        return function(**arguments), None
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        returned = published(function(**arguments), shared)
+    if not shown.getvalue():
+        return returned, None
+    system, root = file_system(shared)
+    place = f"{uuid.uuid4().hex}/output.log"
+    system.create_dir(os.path.dirname(f"{root}/{place}"), recursive=True)
+    with system.open_output_stream(f"{root}/{place}") as out:
+        out.write(shown.getvalue().encode())
+    return returned, f"{shared}/{place}"
+
+
 def evaluate(
     trials: DataFrame,
     function: Callable,
     optimization_key: str | None = "metric",
     optimise: bool = True,
     parallelism: int | None = None,
+    files: str | None = None,
 ) -> DataFrame:
     """Run a Python function once per trial and return its results as rows.
 
     ``parallelism`` is the number of tasks, by default as many as trials; trials go to them by their
-    id in turn. An exception in the function fails the job. The frame is lazy: write it before it
-    is used more than once.
+    id in turn. An exception in the function fails the job. With ``files``, a folder that all
+    executors share, local files that the function returns are moved there, and what it prints
+    becomes the file ``log`` of its outputs. The frame is lazy: write it before it is used more than
+    once.
     """
     names = argument_names(function)
     missing = [n for n in names if n not in trials.columns]
     if missing:
         raise KeyError(f"no values for the arguments {missing}")
     tasks = parallelism or max(1, trials.count())
+    shared = None if files is None else qualified(trials.sparkSession, files)
     prepared = trials.select("trial_id", trial_key(names).alias("trial_key"), *names)
     # The id names the partition: hashing could give one task several trials and others none.
     spread = prepared.repartitionById(tasks, F.pmod("trial_id", F.lit(tasks)).cast("int"))
@@ -184,7 +261,10 @@ def evaluate(
             results = []
             for row in batch.to_pylist():
                 arguments = {n: row[n] for n in names}
-                outputs, metric = normalise(function(**arguments), optimization_key, optimise)
+                returned, log = _called(function, arguments, shared)
+                outputs, metric = normalise(returned, optimization_key, optimise)
+                if log is not None:
+                    outputs["log"] = log
                 results.append({
                     "trial_id": row["trial_id"],
                     "trial_key": row["trial_key"],
@@ -200,13 +280,13 @@ def evaluate(
 def score_over(data: DataFrame, trials: DataFrame, metric: Callable[[dict[str, Column]], Column]) -> DataFrame:
     """Data-parallel evaluation: ``metric`` turns parameter literals into an aggregate over ``data``.
 
-    All trials are aggregates of the same scan, so the data is read once per 32 trials, no row is
-    copied per trial, and only one row per task is shuffled. The trial list, which its caller made
-    from parameter lists, is read by the driver in parts.
+    Trials are aggregates of the same scan, so the data is read once per 32 trials, no row is copied
+    per trial, and only one row per task is shuffled. The trial list is read in pages; if there is
+    more than one page, the scans of each are written before the next page is planned, so that plan
+    and driver hold one page, however many trials there are.
     """
     names = [c for c in trials.columns if c not in ("trial_id", "trial_key")]
-    keyed = trials.select("trial_id", trial_key(names).alias("trial_key"), *names).orderBy("trial_id")
-    parts, held = [], []
+    keyed = trials.select("trial_id", trial_key(names).alias("trial_key"), *names)
 
     def scan(rows):
         # The aggregate sits in one wide row and is then turned into a row per trial.
@@ -226,16 +306,24 @@ def score_over(data: DataFrame, trials: DataFrame, metric: Callable[[dict[str, C
             F.create_map(F.lit("metric"), F.col("metric").cast("string")).alias("outputs"), "metric",
         )
 
-    for row in keyed.toLocalIterator():
-        held.append(row)
-        if len(held) == _TRIALS_PER_SCAN:
-            parts.append(scan(held))
-            held = []
-    if held:
-        parts.append(scan(held))
-    if not parts:
-        return data.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    return reduce(DataFrame.unionAll, parts)
+    def page_after(last):
+        rest = keyed if last is None else keyed.filter(F.col("trial_id") > last)
+        return rest.orderBy("trial_id").limit(_TRIALS_PER_PAGE).collect()
+
+    def scans(rows):
+        return reduce(DataFrame.unionAll, [scan(rows[i:i + _TRIALS_PER_SCAN]) for i in range(0, len(rows), _TRIALS_PER_SCAN)])
+
+    spark = data.sparkSession
+    page = page_after(None)
+    if not page:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    if len(page) < _TRIALS_PER_PAGE:
+        return scans(page)
+    path = fresh_dir(spark, "scores")
+    while page:
+        scans(page).write.mode("append").parquet(path)
+        page = page_after(page[-1].trial_id)
+    return spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
 # Picks and summaries ----------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import duration_text
 from millrace.operators import evolution, trials as T
 from millrace.operators.trials import MAX, check_direction
-from millrace.session import path_exists, shared_dir
+from millrace.session import path_exists, qualified, shared_dir
 
 # --- fixed values -------------------------------------------------------------------------------
 RUNNING, FINISHED, FAILED, KILLED = "RUNNING", "FINISHED", "FAILED", "KILLED"
@@ -115,11 +115,22 @@ class Experiments:
         results.write.mode("overwrite").json(target)
         return self.spark.read.schema(T.RESULT_SCHEMA).json(target)
 
+    def files_path(self, run_id: str) -> str:
+        """Where files that trials return, and their logs, are kept."""
+        return qualified(self.spark, f"{self.run_path(run_id)}/files")
+
+    def _evaluated(self, run_id: str, trials: DataFrame, train_fn: Callable, key: str | None, optimise: bool, count: int) -> DataFrame:
+        """Stored results of all trials; published files of lost attempts are removed."""
+        files = self.files_path(run_id)
+        stored = self.store_results(run_id, T.evaluate(trials, train_fn, key, optimise, count, files))
+        T.drop_unnamed(stored, files)
+        return stored
+
     def _search(self, kind, train_fn, trials, count, direction, optimization_key, name, description):
         direction = check_direction(direction)
 
         def body(run_id):
-            stored = self.store_results(run_id, T.evaluate(trials, train_fn, optimization_key, True, count))
+            stored = self._evaluated(run_id, trials, train_fn, optimization_key, True, count)
             best = T.best_trial(stored, direction).first()
             if best is None:
                 raise ValueError("no trial returned a number to compare")
@@ -139,7 +150,7 @@ class Experiments:
         count = len(next(iter(args_dict.values()))) if args_dict else 1
 
         def body(run_id):
-            stored = self.store_results(run_id, T.evaluate(trials, train_fn, None, False, count))
+            stored = self._evaluated(run_id, trials, train_fn, None, False, count)
             if count != 1:
                 return (self.run_path(run_id), None), None, None
             outputs = {k: _parsed(v) for k, v in (stored.first().outputs or {}).items()}
@@ -177,10 +188,13 @@ class Experiments:
 
         def body(run_id):
             found = evolution.evolve(
-                self.spark, lambda trials: T.evaluate(trials, train_fn, optimization_key, True, population), boundary_dict,
+                self.spark, lambda trials: T.evaluate(
+                    trials, train_fn, optimization_key, True, population, self.files_path(run_id)
+                ), boundary_dict,
                 self.run_path(run_id), direction, generations, population, mutation, crossover, seed,
             )
             stored = self.store_results(run_id, numbered(found.history))
+            T.drop_unnamed(stored, self.files_path(run_id))
             best = T.best_trial(stored, direction).first()
             params = {k: _parsed(v) for k, v in best.params.items()}
             outputs = {k: _parsed(v) for k, v in best.outputs.items()}

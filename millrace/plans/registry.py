@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import NAME_MAX_LENGTH, check_metrics
 from millrace.operators.trials import MAX, check_direction
-from millrace.session import path_exists, shared_dir
+from millrace.session import create_once, path_exists, shared_dir
 
 MODEL_SCHEMA = (
     "name string, version int, metrics map<string,double>, path string, description string, experiment_id string"
@@ -70,7 +70,8 @@ class ModelRegistry:
         """Register the files at ``path`` as a model version and return the version.
 
         Without a version the next one is taken. A version that exists is replaced only with
-        ``overwrite``.
+        ``overwrite``. A version is reserved by a file that can be created once, so exports at the
+        same time get different ones; that of an export that failed is not given out again.
         """
         checked = check_metrics(metrics)
         if not name or len(name) > NAME_MAX_LENGTH or "/" in name or "=" in name:
@@ -78,8 +79,11 @@ class ModelRegistry:
         own = self.models().filter(F.col("name") == name)
         if version is None:
             version = (own.agg(F.max("version")).first()[0] or 0) + 1
-        elif not overwrite and not own.filter(F.col("version") == version).isEmpty():
-            raise ValueError(f"version {version} of model {name} exists")
+            while not self._reserve(name, version):
+                version += 1
+        elif not overwrite:
+            if not own.filter(F.col("version") == version).isEmpty() or not self._reserve(name, version):
+                raise ValueError(f"version {version} of model {name} exists")
         row = (name, int(version), checked, path, description or f"A collection of models for {name}", experiment_id)
         # Dynamic overwrite replaces this version's partition and no other.
         self.spark.createDataFrame([row], MODEL_SCHEMA).coalesce(1).write.mode("overwrite").option(
@@ -87,6 +91,9 @@ class ModelRegistry:
         ).partitionBy("name", "version").parquet(self.root)
         return int(version)
 
+    def _reserve(self, name: str, version: int) -> bool:
+        return create_once(self.spark, f"{self.root.rstrip('/')}.reserved/{name}/{int(version)}")
+
     def get_model(self, name: str, version: int):
         return self._one(model_version(self.models(), name, version), f"{name} version {version}")
 

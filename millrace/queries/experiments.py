@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import trial_key
 from millrace.operators import evolution as E
 from millrace.operators import trials as T
+from millrace.plans import run_trees
 from millrace.plans.experiments import Experiments, latest_status, run_summary
 from millrace.queries.common import table
 from millrace.session import fresh_dir
@@ -216,7 +217,24 @@ def run_summaries(spark, sf_dir):
     ))
 
 
+def runs_foreign(spark, sf_dir):
+    """A tree of run folders written from the orders, read back and folded to a row per run."""
+    root = fresh_dir(spark, "runs")
+    grouped = table(spark, sf_dir, "orders").groupBy(
+        F.regexp_replace("o_orderpriority", " ", "_").alias("run_id"), F.month("o_orderdate").alias("generation"),
+        F.concat(F.lit("status="), "o_orderstatus").alias("trial"), "o_orderstatus",
+    ).agg(F.max("o_totalprice").alias("metric"), F.count(F.lit(1)).alias("n"))
+    run_trees.write_run_tree(grouped.select(
+        "run_id", "generation", "trial", F.create_map(F.lit("status"), "o_orderstatus").alias("params"),
+        F.create_map(F.lit("n"), F.col("n").cast("string")).alias("outputs"), "metric",
+    ), root)
+    trials = run_trees.read_run_tree(spark, root)
+    sums = trials.groupBy("run_id").agg(F.sum(F.col("outputs")["n"].cast("long")).alias("n_orders"))
+    return run_trees.best_of_runs(trials).drop("best_params").join(sums, "run_id")
+
+
 QUERIES = {
+    "runs_foreign": runs_foreign,
     "trials_objective": trials_objective,
     "trials_grid": trials_grid,
     "trials_zip": trials_zip,
@@ -254,6 +272,14 @@ _TRIALS = (
 )
 
 SQL = {
+    "runs_foreign": (
+        "WITH t AS (SELECT replace(o_orderpriority, ' ', '_') AS run_id, CAST(month(o_orderdate) AS INTEGER) AS generation, "
+        "'status=' || o_orderstatus AS trial, max(o_totalprice) AS metric, count(*) AS n FROM orders GROUP BY ALL), "
+        "b AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY metric DESC, generation, trial) AS place FROM t) "
+        "SELECT run_id, count(*) AS trials, count(DISTINCT generation) AS generations, max(metric) AS best_metric, "
+        "max(generation) FILTER (WHERE place = 1) AS best_generation, max(trial) FILTER (WHERE place = 1) AS best_trial, "
+        "CAST(sum(n) AS BIGINT) AS n_orders FROM b GROUP BY run_id"
+    ),
     "trials_objective": (
         "SELECT CAST(d.i * 5 + q.i AS BIGINT) AS trial_id, 'discount=' || d.v || '&quantity=' || q.v AS trial_key, "
         "CAST(sum(CASE WHEN l_discount >= d.v AND l_quantity < q.v "

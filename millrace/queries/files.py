@@ -156,13 +156,43 @@ def whole_files(spark, sf_dir):
     return read.groupBy(place.alias("lang"), source.alias("source")).agg(F.sum(F.length("content")).alias("n_chars"))
 
 
+def _tree(spark, sf_dir):
+    """Customer names as text files, one folder per segment and nation."""
+    path = fresh_dir(spark, "tree")
+    rows = table(spark, sf_dir, "customer").select("c_name", "c_mktsegment", "c_nationkey")
+    rows.write.partitionBy("c_mktsegment", "c_nationkey").text(path)
+    listed = L.relative_to(L.list_files(spark, path, recursive=True, pattern="part-*"), path)
+    part = lambda name: F.regexp_extract("relative", name + "=([^/]*)/", 1)
+    return listed.withColumns({"segment": part("c_mktsegment"), "nation": part("c_nationkey").cast("int")})
+
+
 def file_listing(spark, sf_dir):
-    return L.list_files(spark, sf_dir, pattern="*.parquet").select("name")
+    """Folders of a written tree, with the bytes of their files."""
+    return _tree(spark, sf_dir).groupBy("segment", "nation").agg(F.sum("length").alias("n_bytes"))
 
 
 def file_totals(spark, sf_dir):
-    """Number and size of the table files (rows-only: sizes are not in the tables)."""
-    return L.total_size(L.list_files(spark, sf_dir, recursive=True))
+    """Size of a written tree, and of the part of it below one folder."""
+    tree = _tree(spark, sf_dir)
+    totals = [(name, L.total_size(part)) for name, part in (("all", tree), ("building", tree.filter("segment = 'BUILDING'")))]
+    first, second = [rows.select(F.lit(name).alias("tree"), "bytes") for name, rows in totals]
+    return first.unionByName(second)
+
+
+def tree_attributes(spark, sf_dir):
+    """Attributes of paths: set, set again and removed, for all folders of a written tree."""
+    folders = _tree(spark, sf_dir).select("segment").distinct()
+    attributes = folders.select(F.concat(F.lit("/tree/"), "segment").alias("path"), F.lit("owner").alias("name"), F.col("segment").alias("value"))
+    attributes = L.set_attribute(attributes, "/tree/BUILDING", "owner", "nobody")
+    attributes = L.set_attribute(attributes, "/tree/BUILDING", "checked", 1)
+    return L.remove_attribute(attributes, "/tree/MACHINERY", "owner")
+
+
+def tree_copies(spark, sf_dir):
+    """Whether a tree has the same files as a copy, and as a part of it."""
+    names = _tree(spark, sf_dir).select(F.concat_ws("/", "segment", "nation").alias("name"))
+    rows = [("copy", L.same_tree(names, names)), ("part", L.same_tree(names, names.filter("NOT startswith(name, 'BUILDING')")))]
+    return spark.createDataFrame(rows, "other string, same boolean")
 
 
 def file_manifest_diff(spark, sf_dir):
@@ -182,9 +212,13 @@ def file_manifest_diff(spark, sf_dir):
 
 
 def provenance(spark, sf_dir):
-    files = L.provenance(table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"),
-                                                              F.col("l_orderkey") == F.col("o_orderkey")))
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    """Rows that were read from each table's files: folders count as the table."""
+    read = L.provenance(
+        table(spark, sf_dir, "lineitem").filter("l_quantity > 10").select("l_orderkey"), table(spark, sf_dir, "orders"),
+        table(spark, sf_dir, "documents").filter("doc_id % 2 = 1"),
+    )
+    name = F.regexp_extract("path", r"/(\w+)\.parquet(/[^/]*)?$", 1)
+    return read.groupBy(name.alias("name")).agg(F.sum("rows").alias("n_rows"))
 
 
 QUERIES = {
@@ -203,13 +237,12 @@ QUERIES = {
     "whole_files": whole_files,
     "file_listing": file_listing,
     "file_totals": file_totals,
+    "tree_attributes": tree_attributes,
+    "tree_copies": tree_copies,
     "file_manifest_diff": file_manifest_diff,
     "provenance": provenance,
 }
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-           "embeddings", "pages", "benchmark", "labels", "conversations")
-
 SQL = {
     "text_matrix": "SELECT l_orderkey AS orderkey, l_quantity AS quantity, l_extendedprice AS price FROM lineitem",
     "text_missing": (
@@ -237,10 +270,26 @@ SQL = {
     "json_columns": "SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS balance FROM customer",
     "text_dump": "SELECT n_name AS value FROM nation",
     "whole_files": "SELECT lang, source, CAST(sum(length(coalesce(text, '')) + 1) AS BIGINT) AS n_chars FROM documents GROUP BY lang, source",
-    "file_listing": " UNION ALL ".join(f"SELECT '{t}.parquet' AS name" for t in _TABLES),
+    "file_listing": (
+        "SELECT c_mktsegment AS segment, c_nationkey AS nation, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS n_bytes "
+        "FROM customer GROUP BY ALL"
+    ),
     "file_manifest_diff": (
         "SELECT DISTINCT 's_nationkey=' || s_nationkey AS file, "
         "CASE WHEN s_nationkey = 3 THEN 'only_left' ELSE 'same' END AS status FROM supplier"
     ),
-    "provenance": "SELECT 'lineitem.parquet' AS name UNION ALL SELECT 'orders.parquet'",
+    "provenance": (
+        "SELECT 'lineitem' AS name, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem WHERE l_quantity > 10 UNION ALL "
+        "SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'documents', count(*) FROM documents WHERE doc_id % 2 = 1"
+    ),
+    "file_totals": (
+        "SELECT 'all' AS tree, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes FROM customer UNION ALL "
+        "SELECT 'building', CAST(sum(strlen(c_name) + 1) AS BIGINT) FROM customer WHERE c_mktsegment = 'BUILDING'"
+    ),
+    "tree_attributes": (
+        "SELECT '/tree/' || c_mktsegment AS path, 'owner' AS name, "
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN 'nobody' ELSE c_mktsegment END AS value FROM customer "
+        "WHERE c_mktsegment <> 'MACHINERY' GROUP BY ALL UNION ALL SELECT '/tree/BUILDING', 'checked', '1'"
+    ),
+    "tree_copies": "SELECT 'copy' AS other, true AS same UNION ALL SELECT 'part', false",
 }

@@ -21,7 +21,7 @@ def _events(spark, sf_dir):
     """Events named after user and event type, with the properties as the response."""
     return _requests(spark, sf_dir).select(
         F.concat(F.lit("m"), (F.col("user_id") % 7).cast("string")).alias("modelName"),
-        F.col("event_id").cast("int").alias("modelVersion"),
+        F.col("event_id").alias("modelVersion"),
         F.col("ms").alias("requestTimestamp"),
         F.when(F.col("event_type") == "click", L.MODEL_SERVERS[0]).otherwise(L.MODEL_SERVERS[1]).alias("modelServer"),
         F.when(F.col("event_type") == "error", L.SERVING_TOOLS[1]).otherwise(L.SERVING_TOOLS[0]).alias("servingTool"),
@@ -31,7 +31,7 @@ def _events(spark, sf_dir):
 
 
 def infer_log_decode(spark, sf_dir):
-    """Encode all events to topic records, decode them on the stream."""
+    """All events to topic records and back, on the stream."""
     return L.drain(L.from_topic(L.to_topic(_events(spark, sf_dir), "inference")))
 
 
@@ -79,7 +79,7 @@ QUERIES = {
 }
 
 _EVENTS = (
-    "(SELECT 'm' || (user_id % 7) AS \"modelName\", CAST(event_id AS INTEGER) AS \"modelVersion\", "
+    "(SELECT 'm' || (user_id % 7) AS \"modelName\", CAST(event_id AS BIGINT) AS \"modelVersion\", "
     "epoch_us(ts) // 1000 AS \"requestTimestamp\", "
     "CASE WHEN event_type = 'click' THEN 'TENSORFLOW_SERVING' ELSE 'PYTHON' END AS \"modelServer\", "
     "CASE WHEN event_type = 'error' THEN 'KSERVE' ELSE 'DEFAULT' END AS \"servingTool\", "

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Folders made for sessions that name none, by application id (local masters only).
@@ -75,3 +77,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists. Of several callers at a time one succeeds."""
+    target = qualified(spark, path)
+    if target.startswith("file:"):
+        # Hadoop's local file system looks first and creates then; the operating system does both at once.
+        plain = "/" + target.removeprefix("file:").lstrip("/")
+        os.makedirs(os.path.dirname(plain), exist_ok=True)
+        try:
+            os.close(os.open(plain, os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(target)
+    try:
+        file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(file, False).close()
+    except Py4JJavaError as error:
+        if path_exists(spark, target):
+            return False
+        raise error
+    return True

@@ -75,13 +75,24 @@ def same_tree(left: DataFrame, right: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def provenance(df: DataFrame) -> DataFrame:
-    """Input files of a frame with size and modification time."""
-    paths = [r["path"] for r in _all_paths(df).collect()]
-    if not paths:
-        return df.sparkSession.createDataFrame([], "path string, length long, modified timestamp")
-    listing = df.sparkSession.read.format("binaryFile").load(paths)
-    return listing.select("path", "length", F.col("modificationTime").alias("modified"))
+def provenance(*frames: DataFrame) -> DataFrame:
+    """(path, length, modified, rows): the input files that the rows of the frames come from.
+
+    The files are told by the rows themselves, which tasks count per file: a file all of whose rows
+    are filtered out is none. Each frame must be a scan of files, filtered and projected at will.
+    """
+    where = ("file_path", "file_size", "file_modification_time")
+    counted = [
+        frame.select(*[F.col(f"_metadata.{name}") for name in where]).groupBy(*where).agg(F.count(F.lit(1)).alias("rows"))
+        for frame in frames
+    ]
+    listed = counted[0]
+    for more in counted[1:]:
+        listed = listed.unionByName(more)
+    path = _plain_path(F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B"))))
+    return listed.groupBy(path.alias("path")).agg(
+        F.max("file_size").alias("length"), F.max("file_modification_time").alias("modified"), F.sum("rows").alias("rows")
+    )
 
 
 # Attributes of paths ----------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, types as T
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import NUMBER_PATTERN
@@ -25,30 +25,42 @@ def _lines(spark: SparkSession, path: str, comment: str | None, skip_header: int
 
 
 def skip_first_lines(lines: DataFrame, count: int) -> DataFrame:
-    """Drop the first lines of every file of a ``spark.read.text`` frame.
+    """Drop the first lines of every file of a ``spark.read.text`` frame, in whatever splits they lie.
 
-    Only the split that starts a file holds them, and a task sees the lines of a split in order, so
-    tasks drop them on their own. The lines must lie in that first split.
+    A task sees the lines of a split in order. Files of several splits have the lines of each
+    counted, in one more pass over them; their sums tell in which splits heading lines are left.
     """
     located = lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+        "value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        (F.col("_metadata.file_block_length") < F.col("_metadata.file_size")).alias("cut"),
     )
+    counted = located.filter("cut").groupBy("file", "start").count()
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select("file", "start", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    # The few splits that still have heading lines.
+    heads = F.broadcast(before.filter((F.col("start") > 0) & (F.col("before") < count)))
+    found = F.when(F.col("start") == 0, F.lit(0)).otherwise(F.col("before")).cast("long")
+    located = located.join(heads, ["file", "start"], "left").select("value", "file", "start", found.alias("before"))
 
     def drop(batches):
         import numpy as np
         import pyarrow as pa
 
-        seen: dict[str, int] = {}
+        seen: dict[tuple[int, int], int] = {}
         for batch in batches:
+            if not batch.num_rows:
+                continue
             keep = np.ones(batch.num_rows, dtype=bool)
-            first = batch.column(2).to_numpy() == 0
-            if first.any():
-                files = batch.column(1).to_numpy(zero_copy_only=False)
-                for i in np.flatnonzero(first):
-                    done = seen.get(files[i], 0)
-                    if done < count:
-                        seen[files[i]] = done + 1
-                        keep[i] = False
+            files, starts = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            heading = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            places = batch.column(3).fill_null(0).to_numpy()
+            turns = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
+            for low, high in zip([0, *turns], [*turns, len(files)]):
+                if heading[low]:
+                    split = (files[low], starts[low])
+                    done = seen.get(split, places[low])
+                    keep[low : min(high, low + max(0, count - done))] = False
+                    seen[split] = done + high - low
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep))], names=["value"])
 
     return located.mapInArrow(drop, "value string")

@@ -13,28 +13,19 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from millrace.functions.avro import decode_avro, encode_avro
 from millrace.plans.scoring import score
 from millrace.session import shared_dir
+from millrace.sources.connectors import require_format
 
 # --- fixed values -------------------------------------------------------------------------------
 MODEL_INPUTS, PREDICTIONS, ALL = "MODEL_INPUTS", "PREDICTIONS", "ALL"
 LOGGING_MODES = (MODEL_INPUTS, PREDICTIONS, ALL)
 MODEL_SERVERS = ("TENSORFLOW_SERVING", "PYTHON")
 SERVING_TOOLS = ("DEFAULT", "KSERVE")
-EVENT_SCHEMA = {
-    "type": "record",
-    "name": "inference",
-    "fields": [
-        {"name": "modelName", "type": "string"},
-        {"name": "modelVersion", "type": "int"},
-        {"name": "requestTimestamp", "type": "long"},
-        {"name": "modelServer", "type": "string"},
-        {"name": "servingTool", "type": "string"},
-        {"name": "inferenceRequest", "type": ["null", "string"]},
-        {"name": "inferenceResponse", "type": ["null", "string"]},
-    ],
-}
+EVENT_SCHEMA = (
+    "modelName string, modelVersion long, requestTimestamp long, modelServer string, servingTool string, "
+    "inferenceRequest string, inferenceResponse string"
+)
 # ------------------------------------------------------------------------------------------------
 
 
@@ -68,18 +59,35 @@ def logged(events: DataFrame, mode: str | None) -> DataFrame:
     return events.withColumn("inferenceRequest", missing) if mode == PREDICTIONS else events
 
 
-def to_topic(events: DataFrame, topic: str, schema: dict | str = EVENT_SCHEMA) -> DataFrame:
-    """Events as topic records; the model name is the key."""
-    encoded = encode_avro(events.withColumn("key", F.col("modelName")), schema)
-    return encoded.select(
-        F.col("key").cast("binary").alias("key"), "value", F.lit(topic).alias("topic"),
+def to_topic(events: DataFrame, topic: str, avro_schema: str | None = None) -> DataFrame:
+    """Events as topic records; the model name is the key and the event, as JSON text, the value.
+
+    With an Avro schema the value is Avro, which needs Spark's package for it.
+    """
+    event = F.struct(*[F.col(f"`{c}`") for c in events.columns])
+    if avro_schema is None:
+        value = F.to_json(event).cast("binary")
+    else:
+        require_format(events.sparkSession, "avro")
+        from pyspark.sql.avro.functions import to_avro
+
+        value = to_avro(event, avro_schema)
+    return events.select(
+        F.col("modelName").cast("binary").alias("key"), value.alias("value"), F.lit(topic).alias("topic"),
         F.current_timestamp().alias("timestamp"),
     )
 
 
-def from_topic(records: DataFrame, schema: dict | str = EVENT_SCHEMA) -> DataFrame:
-    """Events out of topic records; records without a value are skipped."""
-    return decode_avro(records.select("value"), "value", schema)
+def from_topic(records: DataFrame, schema: str = EVENT_SCHEMA, avro_schema: str | None = None) -> DataFrame:
+    """Events out of topic records; records without a value are skipped, and a broken value fails the job."""
+    if avro_schema is None:
+        event = F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"})
+    else:
+        require_format(records.sparkSession, "avro")
+        from pyspark.sql.avro.functions import from_avro
+
+        event = from_avro("value", avro_schema)
+    return records.filter("value IS NOT NULL").select(event.alias("event")).select("event.*")
 
 
 def select_events(events: DataFrame, model_name: str | None = None, model_server: str | None = None,
@@ -99,7 +107,7 @@ def score_stream(
     scored = score(requests, load, predict, inputs, "prediction double")
     return scored.select(
         F.lit(model_name).alias("modelName"),
-        F.lit(model_version).alias("modelVersion"),
+        F.lit(model_version).cast("long").alias("modelVersion"),
         timestamp_ms.cast("long").alias("requestTimestamp"),
         F.lit(model_server).alias("modelServer"),
         F.lit(serving_tool).alias("servingTool"),

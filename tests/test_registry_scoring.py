@@ -60,3 +60,17 @@ def test_requests(spark):
         scoring.score_request(spark, {"inputs": []}, lambda: None, predict, ":run")
     with pytest.raises(ValueError):
         scoring.request_rows({"rows": []})
+
+
+def test_exports_at_the_same_time_get_different_versions(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda i: R.ModelRegistry(spark, f"{folder}/models").export("p", "m", metrics={"a": i}), range(4)))
+    assert sorted(found) == [1, 2, 3, 4]
+    registry = R.ModelRegistry(spark, f"{folder}/models")
+    assert registry.models().count() == 4 and registry.export("p", "m") == 5
+    with pytest.raises(ValueError, match="exists"):
+        registry.export("p", "m", version=3)
+    assert registry.export("q", "m", version=3, overwrite=True) == 3
+    assert registry.get_model("m", 3).path == "q"

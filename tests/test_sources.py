@@ -1,4 +1,4 @@
-"""Readers, writers, listings, record files, Avro columns and connector options."""
+"""Readers, writers, listings, record files and connector options."""
 
 import json
 import os
@@ -9,12 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import avro
 from millrace.operators.upsert import latest_by_key, upsert
 from millrace.session import qualified
 from millrace.sources import connectors as C
 from millrace.sources import files as L
-from millrace.sources import arrays, records, tables, text
+from millrace.sources import arrays, csv_records, records, tables, text
 
 
 def write(folder, name, content, mode="w"):
@@ -136,6 +135,65 @@ def test_binary_records(spark, folder):
     assert rows == [(a, b, c.decode(), d, e) for a, b, c, d, e in values]
 
 
+@pytest.mark.parametrize("size", ["40", "97", "100000"])
+def test_csv_records_over_splits(spark, folder, size):
+    import random
+
+    random.seed(51)
+    piece = ["a", "bc", '"', '""', ",", "\n", "\n\n", " ", "\r\n", "\\", "é", "x" * 60, ""]
+    texts = [None, "", "plain"] + ["".join(random.choices(piece, k=random.randint(0, 12))) for _ in range(150)]
+    rows = [(i, t, i / 4) for i, t in enumerate(texts)] + [(None, "\n" * 300 + '"', None)]
+    df = spark.createDataFrame(rows, "i long, t string, r double").repartition(2)
+    options = {"header": "true", "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.options(**options).csv(folder)
+    whole = spark.read.schema(df.schema).options(**options, multiLine="true").csv(folder).collect()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, size)
+        read = csv_records.read_csv_records(spark, folder, df.schema, options, ".csv")
+        found = read.collect()
+        lines = csv_records._lines(spark, folder, ".csv")
+        assert size == "100000" or lines.rdd.getNumPartitions() > 10
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(map(str, found)) == sorted(map(str, whole)) and len(found) == len(rows)
+    assert sorted(map(str, found)) == sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("size", ["16", "1000000"])
+def test_heading_lines_over_splits(spark, folder, size):
+    import os
+
+    os.makedirs(folder)
+    for n in range(3):
+        lines = [f"heading {i}" for i in range(5)] + [str(100 * n + i) for i in range(40)]
+        with open(f"{folder}/{n}.txt", "w") as file:
+            file.write("\n".join(lines) + "\n")
+    with open(f"{folder}/short.txt", "w") as file:
+        file.write("heading\nheading\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, size)
+        found = text.skip_first_lines(spark.read.text(folder), 5).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(int(r.value) for r in found) == sorted(100 * n + i for n in range(3) for i in range(40))
+
+
+def test_provenance_of_rows_read(spark, folder):
+    spark.range(10).coalesce(1).write.parquet(f"{folder}/a b")
+    spark.range(10, 30).coalesce(1).write.parquet(f"{folder}/c")
+    a, c = spark.read.parquet(f"{folder}/a b"), spark.read.parquet(f"{folder}/c")
+    found = L.provenance(a.filter("id >= 4"), c.filter("id > 100"), a).collect()
+    assert [(r.rows, r.path.split("/")[-2]) for r in found] == [(16, "a b")]
+    path = found[0].path.removeprefix("file:")
+    assert found[0].length == os.path.getsize(path) and L.provenance(c.filter("id < 0")).count() == 0
+
+
 def test_npy_and_npz(spark, folder):
     df = spark.range(0, 500, 1, 3).select("id", (F.col("id") / 2).alias("half"))
     arrays.write_npy(df, f"{folder}/npy")
@@ -297,43 +355,6 @@ def test_path_attributes(spark):
     assert L.get_attributes(attributes, "/a", "y") == {"y": "2"}
 
 
-SCHEMA = {"type": "record", "name": "r", "fields": [
-    {"name": "s", "type": "string"}, {"name": "i", "type": "int"}, {"name": "l", "type": ["null", "long"]},
-    {"name": "d", "type": "double"}, {"name": "f", "type": "float"}, {"name": "b", "type": "boolean"},
-    {"name": "raw", "type": "bytes"}, {"name": "xs", "type": {"type": "array", "items": "long"}},
-    {"name": "m", "type": {"type": "map", "values": "double"}},
-    {"name": "n", "type": {"type": "record", "name": "inner", "fields": [{"name": "v", "type": "int"}]}},
-    {"name": "e", "type": {"type": "enum", "name": "en", "symbols": ["A", "B"]}},
-]}
-
-
-def test_avro_columns(spark):
-    df = spark.createDataFrame(
-        [(7, "é", -1, None, 0.5, 0.25, True, b"\x01", [1, -(1 << 40)], {"k": 2.0}, (3,), "B"),
-         (8, "", 1 << 30, 64, -2.0, 1.0, False, b"", [], {}, (-3,), "A")],
-        "id int, s string, i int, l long, d double, f float, b boolean, raw binary, xs array<long>, "
-        "m map<string,double>, n struct<v:int>, e string",
-    )
-    encoded = avro.encode_avro(df, SCHEMA)
-    assert encoded.dtypes == [("id", "int"), ("value", "binary")]
-    with_null = encoded.unionByName(spark.sql("SELECT 9 AS id, CAST(NULL AS BINARY) AS value"))
-    decoded = avro.decode_avro(with_null, "value", json.dumps(SCHEMA))
-    assert decoded.orderBy("id").collect() == df.orderBy("id").collect()
-
-
-def test_avro_wire_format():
-    write_row = avro.encoder({"type": "record", "name": "r", "fields": [
-        {"name": "a", "type": "long"}, {"name": "b", "type": "string"}]})
-    assert write_row({"a": 27, "b": "foo"}) == bytes.fromhex("3606666f6f")  # example of the specification
-    read_array = avro.decoder({"type": "array", "items": "long"})
-    assert read_array(bytes.fromhex("04063600"), 0)[0] == [3, 27]
-    assert read_array(bytes.fromhex("0304063600"), 0)[0] == [3, 27]  # negative count with block size
-    with pytest.raises(ValueError):
-        avro.spark_type(["null", "int", "string"])
-    with pytest.raises(ValueError):
-        avro.parse_schema('"string"')
-
-
 def test_upsert_with_a_hot_key(spark):
     base = spark.range(50).select(F.col("id").alias("k"), F.lit(0).alias("v"))
     changes = spark.range(3000).select(

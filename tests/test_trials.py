@@ -271,3 +271,63 @@ def test_nan_never_wins(spark):
     rows = [(0, [0.0], 5.0, [1.0], nan), (1, [0.0], nan, [1.0], 3.0), (2, [0.0], 5.0, [1.0], None), (3, [0.0], 1.0, [1.0], 2.0)]
     df = spark.createDataFrame(rows, "individual int, genes array<double>, score double, trial_genes array<double>, trial_score double")
     assert [r.score for r in select_better(df, "max").orderBy("individual").collect()] == [5.0, 3.0, 5.0, 2.0]
+
+
+def test_many_trials_in_waves(spark, monkeypatch):
+    monkeypatch.setattr(T, "_TRIALS_PER_SCAN", 4)
+    monkeypatch.setattr(T, "_TRIALS_PER_PAGE", 10)
+    data = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    for n in (0, 9, 10, 37):
+        trials = spark.range(n).select((F.col("id") * 3).alias("trial_id"), F.col("id").alias("low"))
+        scored = T.score_over(data, trials, lambda p: F.count_if(F.col("x") >= p["low"]))
+        assert {r.trial_id: r.metric for r in scored.collect()} == {3 * i: 100 - i for i in range(n)}
+        # However many trials, a plan has the scans of one page at most.
+        assert scored._jdf.queryExecution().toString().count("Relation [") + 1 < 40
+
+
+def test_returned_files_are_published_once(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/local")
+
+    def train(a):
+        print("trial", a)
+        with open(f"{folder}/local/{a}.txt", "w") as file:
+            file.write(str(a))
+        os.makedirs(f"{folder}/local/d{a}")
+        with open(f"{folder}/local/d{a}/inner", "w") as file:
+            file.write("x")
+        return {"metric": a, "plot": f"{folder}/local/{a}.txt", "model": f"{folder}/local/d{a}", "note": "no file"}
+
+    target = f"{folder}/shared"
+    trials = T.zipped(spark, {"a": [1, 2, 3]})
+    results = T.evaluate(trials, train, files=target)
+    results.collect()  # an attempt whose rows are lost
+    results.write.json(f"{folder}/rows")
+    stored = spark.read.schema(T.RESULT_SCHEMA).json(f"{folder}/rows")
+    assert len(os.listdir(target)) == 18 and T.drop_unnamed(stored, f"file:{target}") == 9
+    assert len(os.listdir(target)) == 9 and os.listdir(f"{folder}/local") == []
+    for row in stored.collect():
+        paths = {k: v.removeprefix("file:") for k, v in row.outputs.items()}
+        assert open(paths["plot"]).read() == row.outputs["metric"] and os.listdir(paths["model"]) == ["inner"]
+        assert open(paths["log"]).read() == f"trial {row.outputs['metric']}\n" and paths["note"] == "no file"
+
+
+def test_trees_of_other_tools(spark, folder):
+    from millrace.plans import run_trees as R
+
+    rows = [("app_1", None, f"a={i}", {"a": str(i)}, {"metric": str(i / 4), "log": "l"}, i / 4) for i in range(3)]
+    rows += [("app_2", g, f"b={i}", {"b": str(i)}, {"metric": "1.0"}, 1.0 + (g == 10) * i) for g in (2, 10) for i in range(2)]
+    rows += [("app_3", None, "", None, {"x": "[1, 2]"}, None)]
+    assert R.write_run_tree(spark.createDataFrame(rows, R.TREE_SCHEMA), f"{folder}/tree") == len(rows)
+    with open(f"{folder}/tree/app_1/a=0/.hparams.json", "w") as file:
+        file.write("{broken")
+    found = {tuple(r)[:3]: tuple(r)[3:] for r in R.read_run_tree(spark, f"{folder}/tree").collect()}
+    wanted = {r[:3]: r[3:] for r in rows}
+    wanted["app_1", None, "a=0"] = (None, *wanted["app_1", None, "a=0"][1:])
+    assert found == wanted
+    best = {r.run_id: r for r in R.best_of_runs(R.read_run_tree(spark, f"{folder}/tree")).collect()}
+    assert (best["app_1"].best_trial, best["app_1"].best_metric) == ("a=2", 0.5) and best["app_3"].best_metric is None
+    assert (best["app_2"].best_generation, best["app_2"].best_trial, best["app_2"].generations) == (10, "b=1", 2)
+    worst = {r.run_id: r for r in R.best_of_runs(R.read_run_tree(spark, f"{folder}/tree"), "min").collect()}
+    assert (worst["app_2"].best_generation, worst["app_2"].best_trial) == (2, "b=0")
