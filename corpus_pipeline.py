@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, language, packing, secret_scan, simhash
-from millrace.llm.work import stored
+from millrace.llm.work import forget, stored, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -50,8 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``; each reads what the one before has written."""
+    """The stages in order over ``documents``; each reads what the one before has written.
+
+    What a stage has written on its way, and the documents it has read, go when its own are there.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = written()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        forget(spark, mark, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
