@@ -7,7 +7,9 @@ that Catalyst prunes, filters and joins. Descriptions, keys and tags are table p
 
 from __future__ import annotations
 
+import json
 import re
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -29,6 +31,7 @@ _TAG = "tag."
 _PRIMARY = "millrace.primary"
 _PARTITION = "millrace.partition"
 _HIDDEN = "zz_"  # tables of the store itself
+_CONNECTOR_SCHEMA = "name string, settings string, seq long"
 
 
 def quoted(*parts: str) -> str:
@@ -59,7 +62,8 @@ class FeatureStore:
         self.training = TrainingDatasets(self)
         self.statistics = StatisticsStore(self)
         self.online = OnlineGroups(self)
-        self._connectors: dict[str, dict] = {
+        #: Connectors that every store has; further ones are rows of a table of the store.
+        self._own_connectors: dict[str, dict] = {
             self.database: {"type": "JDBC", "arguments": ""},
             f"{project}_Training_Datasets": {"type": "FILESYSTEM", "path": self.training.root},
             f"{project}_shared": {"type": "FILESYSTEM", "path": self.location},
@@ -90,6 +94,19 @@ class FeatureStore:
     def get_training_datasets(self) -> list[str]:
         return self.training.names()
 
+    def get_featuregroup_features(self, name: str, featuregroup_version: int = 1, featurestore: str | None = None) -> list[dict]:
+        """Name, type, description and role of each feature of a group."""
+        table = self.table_name(name, featuregroup_version, featurestore)
+        properties = self._properties(table)
+        primary, partition = (set(filter(None, properties.get(p, "").split(","))) for p in (_PRIMARY, _PARTITION))
+        return [
+            {
+                "name": f.name, "type": f.dataType.simpleString(), "description": f.metadata.get("comment", ""),
+                "primary": f.name in primary, "partition": f.name in partition,
+            }
+            for f in self.spark.table(table).schema
+        ]
+
     def get_latest_featuregroup_version(self, name: str) -> int:
         """Highest version, 0 when the name is unknown."""
         return latest_version(self.get_featuregroups(), name)
@@ -109,13 +126,36 @@ class FeatureStore:
         }
 
     def add_storage_connector(self, name: str, kind: str, **settings: str) -> None:
-        self._connectors[name] = {"type": kind, **settings}
+        """Keep a connector in the store; one of the same name is replaced. Settings are kept as they are given."""
+        table = self._connector_table()
+        row = (name, json.dumps({"type": kind, **settings}), time.time_ns())
+        self.spark.createDataFrame([row], _CONNECTOR_SCHEMA).coalesce(1).write.insertInto(table)
+
+    def remove_storage_connector(self, name: str) -> None:
+        """Forget a connector; the three that every store has stay."""
+        row = (name, None, time.time_ns())
+        self.spark.createDataFrame([row], _CONNECTOR_SCHEMA).coalesce(1).write.insertInto(self._connector_table())
+
+    def _connector_table(self) -> str:
+        table = quoted(self.database, f"{_HIDDEN}connectors")
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_CONNECTOR_SCHEMA}) USING parquet")
+        return table
+
+    def _connectors(self) -> dict[str, dict]:
+        """All connectors: the newest row of each name counts."""
+        newest = self.spark.table(self._connector_table()).groupBy("name").agg(F.max_by("settings", "seq").alias("settings"))
+        added = {r["name"]: json.loads(r["settings"]) for r in newest.filter("settings IS NOT NULL").collect()}
+        return {**self._own_connectors, **added}
 
     def get_storage_connectors(self) -> list[tuple[str, str]]:
-        return [(name, c["type"]) for name, c in sorted(self._connectors.items())]
+        return [(name, c["type"]) for name, c in sorted(self._connectors().items())]
 
     def get_storage_connector(self, name: str) -> dict:
-        return dict(self._connectors[name])
+        found = self._connectors()
+        if name not in found:
+            raise ValueError(f"no storage connector {name}")
+        return found[name]
 
     def _columns(self, featurestore: str | None = None) -> dict[str, list[str]]:
         store = featurestore or self.database
@@ -150,20 +190,29 @@ class FeatureStore:
         cluster_analysis: bool = True,
         stat_columns: Sequence[str] | None = None,
         online: bool = False,
+        feature_descriptions: Mapping[str, str] | None = None,
     ) -> None:
         """Write a group; one of the same name and version is replaced, and so is its online copy.
 
+        ``feature_descriptions`` become comments of the columns.
+
         With ``buckets`` the table is bucketed and sorted by its primary key, and joins of groups
         bucketed alike need no shuffle. With ``online`` the group gets an online copy.
         """
         df = as_spark(self.spark, df)
-        unknown = [c for c in (*primary_key, *partition_by) if c not in df.columns]
+        described = feature_descriptions or {}
+        unknown = [c for c in (*primary_key, *partition_by, *described) if c not in df.columns]
         if unknown:
             raise ValueError(f"not columns of the data: {unknown}")
         if feature_correlation:
             check_matrix(numeric_columns(df, stat_columns))
         if check_primary_key and primary_key and not primary_key_violations(df, primary_key).isEmpty():
             raise ValueError(f"primary key {list(primary_key)} is null or repeated in the data")
+        if described:
+            df = df.select(*[
+                F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, "comment": described[f.name]})
+                if f.name in described else F.col(f"`{f.name}`") for f in df.schema
+            ])
         if buckets:
             if not primary_key:
                 raise ValueError("buckets need a primary key")
@@ -228,13 +277,14 @@ class FeatureStore:
         featuregroup_version: int = 1,
         description: str = "",
         primary_key: Sequence[str] = (),
+        feature_descriptions: Mapping[str, str] | None = None,
     ) -> None:
         """A group that is a stored query; it runs whenever it is read.
 
         With a JDBC connector that names a ``url`` the query is sent to that database.
         """
         table = self.table_name(name, featuregroup_version)
-        settings = self._connectors.get(connector or self.database, {})
+        settings = self.get_storage_connector(connector or self.database)
         if settings.get("url"):
             from millrace.sources.connectors import jdbc_options
 
@@ -244,7 +294,17 @@ class FeatureStore:
             self.spark.sql(f"CREATE TABLE {table} USING jdbc OPTIONS ({listed})")
         else:
             comment = f"COMMENT {literal(description)} " if description else ""
-            self._in_store(f"CREATE OR REPLACE VIEW {table} {comment}AS {query}")
+            columns = ""
+            if feature_descriptions:
+                names = self._in_store(query).columns
+                if unknown := [c for c in feature_descriptions if c not in names]:
+                    raise ValueError(f"not columns of the query: {unknown}")
+                listed = [
+                    quoted(c) + (f" COMMENT {literal(feature_descriptions[c])}" if c in feature_descriptions else "")
+                    for c in names
+                ]
+                columns = f"({', '.join(listed)}) "
+            self._in_store(f"CREATE OR REPLACE VIEW {table} {columns}{comment}AS {query}")
         if primary_key:
             self._set_properties(table, {_PRIMARY: ",".join(primary_key)})
 
@@ -316,10 +376,10 @@ class FeatureStore:
 
     def enable_featuregroup_online(
         self, name: str, featuregroup_version: int = 1, order: str | None = None, order_type: str | None = None,
-        buckets: int = BUCKETS,
+        buckets: int = BUCKETS, features: Sequence[Mapping] = (),
     ) -> None:
         """Keep an online copy of the group's rows by its primary key, see :class:`OnlineGroups`."""
-        self.online.enable(name, featuregroup_version, (), order, order_type, buckets)
+        self.online.enable(name, featuregroup_version, (), order, order_type, buckets, features)
 
     def disable_featuregroup_online(self, name: str, featuregroup_version: int = 1) -> None:
         self.online.disable(name, featuregroup_version)

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+from millrace.functions.types import online_schema
 from millrace.operators.upsert import merge_changes, single_changes
 from millrace.session import delete_path, fresh_dir
 from millrace.sources.files import list_files
@@ -48,24 +49,33 @@ class OnlineGroups:
 
     def enable(
         self, name: str, version: int = 1, key: Sequence[str] = (), order: str | None = None,
-        order_type: str | None = None, buckets: int = BUCKETS,
+        order_type: str | None = None, buckets: int = BUCKETS, features: Sequence[Mapping] = (),
     ) -> None:
         """Copy the group's rows, whose key must be unique and not null.
 
+        ``features`` chooses the features of the copy, their types and, by ``primary``, its key; see
+        :func:`millrace.functions.types.online_schema`.
+
         ``order`` names the column that tells which of two changes of a key is newer. A group that
         lacks it needs its type, and rows copied now are older than any change.
         """
         table = self.store.table_name(name, version)
-        keys = list(key) or self.store._primary_key(table)
+        rows = self.spark.table(table)
+        chosen = online_schema(features) if features else None
+        if chosen is not None and (unknown := [f.name for f in chosen if f.name not in rows.columns]):
+            raise ValueError(f"not features of the group: {unknown}")
+        keys = list(key) or [f.name for f in chosen or () if f.metadata["primary"]] or self.store._primary_key(table)
         if not keys:
             raise ValueError(f"feature group {name}_{version} has no primary key")
-        rows = self.spark.table(table)
         kind = None
         if order is not None:
             kind = order_type or (rows.schema[order].dataType.simpleString() if order in rows.columns else None)
             if kind is None:
                 raise ValueError(f"{order} is no column of the group: give its type")
             rows = rows.withColumn(_ORDER, F.col(f"`{order}`").cast(kind) if order in rows.columns else F.lit(None).cast(kind))
+        if chosen is not None:
+            kept = [] if order is None else [F.col(_ORDER)]
+            rows = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in chosen], *kept)
         path = f"{self.store.location.rstrip('/')}/zz_online/{name}_{version}/{uuid.uuid4().hex}"
         entry = {"path": path, "key": keys, "order": order, "order_type": kind, "buckets": buckets, "schema": rows.schema.json()}
         self._put(single_changes(rows, keys, None), entry)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from millrace.plans.feature_store import FeatureStore
 
 NO_STATS = dict(descriptive_statistics=False, feature_correlation=False, feature_histograms=False,
                 cluster_analysis=False)
@@ -239,6 +240,48 @@ def test_online_copy_refuses_bad_changes(spark, store):
     store.drop_featuregroup("small")
 
 
+def test_descriptions_of_features(spark, store):
+    rows = spark.createDataFrame([(1, "a", 2.0)], "id long, kind string, x double")
+    told = {"id": "the key's name", "x": 'a "measure"'}
+    store.create_featuregroup(rows, "told", primary_key=["id"], partition_by=["kind"], feature_descriptions=told, **NO_STATS)
+    found = {f["name"]: f for f in store.get_featuregroup_features("told")}
+    assert found["id"] == {"name": "id", "type": "bigint", "description": told["id"], "primary": True, "partition": False}
+    assert found["x"]["description"] == told["x"] and found["kind"]["description"] == "" and found["kind"]["partition"]
+    # Columns that a query passes on keep their descriptions.
+    store.create_on_demand_featuregroup("SELECT id, x, kind FROM told_1", "seen", feature_descriptions={"kind": "a kind"})
+    assert [f["description"] for f in store.get_featuregroup_features("seen")] == [told["id"], told["x"], "a kind"]
+    for call in (
+        lambda: store.create_featuregroup(rows, "bad", feature_descriptions={"y": ""}, **NO_STATS),
+        lambda: store.create_on_demand_featuregroup("SELECT id FROM told_1", "bad", feature_descriptions={"y": ""}),
+    ):
+        with pytest.raises(ValueError, match="not columns"):
+            call()
+
+
+def test_connectors_outlive_the_object(spark, store):
+    store.add_storage_connector("lake", "S3", bucket="old")
+    store.add_storage_connector("lake", "S3", bucket="new")
+    store.add_storage_connector("gone", "FILESYSTEM", path="/x")
+    store.remove_storage_connector("gone")
+    again = FeatureStore(spark, store.project)
+    assert again.get_storage_connector("lake") == {"type": "S3", "bucket": "new"} and len(again.get_storage_connectors()) == 4
+    with pytest.raises(ValueError, match="no storage connector"):
+        again.get_storage_connector("gone")
+    assert again.get_featuregroups() == []
+
+
+def test_online_copy_of_chosen_features(spark, store):
+    rows = spark.createDataFrame([(1, "7", 2.0), (2, "8", 3.0)], "id long, n string, x double")
+    store.create_featuregroup(rows, "wide", **NO_STATS)
+    chosen = [{"name": "id", "type": "bigint", "primary": True}, {"name": "n", "type": "int"}]
+    store.enable_featuregroup_online("wide", features=chosen)
+    found = store.get_featuregroup("wide", online=True)
+    assert found.dtypes == [("id", "bigint"), ("n", "int")] and {tuple(r) for r in found.collect()} == {(1, 7), (2, 8)}
+    for bad, message in (([{"name": "id", "type": "bigint"}], "no primary key"), ([{"name": "z", "type": "int", "primary": True}], "not features")):
+        with pytest.raises(ValueError, match=message):
+            store.enable_featuregroup_online("wide", features=bad)
+
+
 def test_statistics_follow_appends(spark, store, monkeypatch):
     from millrace.operators import statistics as S
     from millrace.plans import statistics_store
