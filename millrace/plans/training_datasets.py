@@ -8,7 +8,6 @@ catalog table ``td_<name>_<version>`` that keeps the schema, format, path and de
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections.abc import Sequence
 

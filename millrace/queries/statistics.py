@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import statistics as S
-from millrace.queries.common import NO_STATS, new_store, table
+from millrace.queries.common import new_store, table
 
 _COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
