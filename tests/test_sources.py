@@ -2,6 +2,7 @@
 
 import json
 import os
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -263,6 +264,80 @@ def test_npy_is_read_by_ranges_of_rows(spark, folder):
             assert [r["values"] for r in sorted(rows, key=lambda r: r.row_idx)] == [row.ravel().tolist() for row in of]
 
 
+def _most_memory(work) -> int:
+    """Most bytes that Python and numpy held at once during the work, above those held before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def _batches(n, rows=10_000):
+    for i in range(n):
+        k = np.arange(i * rows, (i + 1) * rows)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(k / 4), pa.array(k / 8)], ["k", "x", "y"])
+
+
+@pytest.mark.parametrize("layout", ["matrix", "records", "archive"])
+def test_npy_writer_holds_blocks_not_files(tmp_path, layout):
+    schema = T.StructType().add("k", "long").add("x", "double").add("y", "double")
+    writer = arrays.NpyWriter({"path": str(tmp_path / "out"), "layout": layout}, schema, True)
+    names = []
+    most = _most_memory(lambda: names.extend(writer.write(_batches(200)).names))  # 48 MB in one file
+    assert most < 24 << 20 and len(names) == 1
+    read = np.load(next(tmp_path.glob(f"out.staging-*/{names[0]}")))
+    x = read[:, 1] if layout == "matrix" else read["x"]
+    assert x.tolist() == (np.arange(2_000_000) / 4).tolist()
+
+
+def test_npy_file_takes_its_type_from_all_batches(tmp_path):
+    """Missing numbers and lists that only a later batch has."""
+    kind = pa.schema([("k", pa.int32()), ("b", pa.bool_()), ("v", pa.list_(pa.float32()))])
+    batches = [
+        pa.RecordBatch.from_pydict({"k": [1, 2], "b": [True, False], "v": [None, None]}, kind),
+        pa.RecordBatch.from_pydict({"k": [], "b": [], "v": []}, kind),
+        pa.RecordBatch.from_pydict({"k": [None, 4], "b": [True, None], "v": [[1, 2], [None, 4]]}, kind),
+    ]
+    schema = T.StructType().add("k", T.IntegerType()).add("b", "boolean", False).add("v", T.ArrayType(T.FloatType()))
+    nan = np.nan
+    for layout in ("matrix", "archive", "records"):
+        writer = arrays.NpyWriter({"path": str(tmp_path / layout), "layout": layout}, schema, True)
+        name, = writer.write(iter(batches)).names
+        read = np.load(next(tmp_path.glob(f"{layout}.staging-*/{name}")))
+        if layout == "matrix":
+            rows = [[1, 1, nan, nan], [2, 0, nan, nan], [nan, 1, 1, 2], [4, nan, nan, 4]]
+            np.testing.assert_array_equal(read, np.array(rows))
+            assert read.dtype == np.float64
+            continue
+        v = np.array([[nan, nan], [nan, nan], [1, 2], [nan, 4]])
+        np.testing.assert_array_equal(read["v"], v)
+        if layout == "archive":
+            np.testing.assert_array_equal(read["k"], np.array([1, 2, nan, 4]))
+            assert (read["v"].dtype, read["b"].dtype) == (np.float64, np.float64)
+        else:
+            assert read["k"].tolist() == [1, 2, 0, 4] and read["k__missing"].tolist() == [False, False, True, False]
+            assert read.dtype["k"] == np.int32 and read.dtype.names == ("k__missing", "k", "b", "v")
+    with pytest.raises(ValueError, match="differ in length"):
+        more = pa.RecordBatch.from_pydict({"k": [1], "b": [True], "v": [[1.0]]}, kind)
+        arrays.NpyWriter({"path": str(tmp_path / "bad")}, schema, True).write(iter([*batches, more]))
+    with pytest.raises(ValueError, match="do not fit"):
+        longs = [pa.RecordBatch.from_pydict({"k": [2**53 + 1]}), pa.RecordBatch.from_pydict({"k": pa.array([None], pa.int64())})]
+        arrays.NpyWriter({"path": str(tmp_path / "bad")}, T.StructType().add("k", "long"), True).write(iter(longs))
+
+
+def test_npz_is_read_in_batches_of_few_rows(tmp_path):
+    """What each row carries besides its number, like the path, stays in bounds."""
+    np.savez_compressed(tmp_path / "a.npz", x=np.arange(300_000.0))
+    schema = T.StructType().add("path", "string").add("array_name", "string").add("row_idx", "long")
+    schema = schema.add("values", T.ArrayType(T.DoubleType()))
+    reader = arrays.NpyReader({"path": str(tmp_path)}, schema)
+    found = [b for part in reader.partitions() for b in reader.read(part)]
+    assert max(b.num_rows for b in found) <= 1 << 16
+    assert [v for b in found for v in b.column(2).to_pylist()] == list(range(300_000))
+
+
 def test_failed_overwrite_keeps_the_old_files(spark, folder):
     arrays.write_npy(spark.range(10), f"{folder}/kept")
     bad = spark.range(100, 110).select(F.when(F.col("id") < 105, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
