@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import plan_of
 from millrace.operators.upsert import latest_by_key, upsert
 from millrace.session import qualified
 from millrace.sources import connectors as C
@@ -373,6 +374,51 @@ def test_record_files(spark, folder):
         records.read_tfrecord(spark, folder, df.schema).collect()
 
 
+def test_record_files_are_written_and_read_by_blocks(tmp_path):
+    texts = pa.array([b"t" * 500] * 1000)
+    writer = records.RecordWriter({"path": str(tmp_path / "out")}, T.StructType().add("t", "binary"), True)
+    names = []
+    batches = (pa.RecordBatch.from_arrays([texts], ["t"]) for _ in range(100))
+    assert _most_memory(lambda: names.extend(writer.write(batches).names)) < 24 << 20 and len(names) == 1
+    path = next(tmp_path.glob(f"out.staging-*/{names[0]}"))
+    assert path.stat().st_size > 50 << 20
+    counts = []
+
+    def read():
+        with pa.OSFile(str(path)) as stream:
+            counts.extend(len(starts) for _, starts, _ in records.record_blocks(stream))
+
+    assert _most_memory(read) < 24 << 20 and sum(counts) == 100_000
+
+
+def test_record_blocks_of_any_size(monkeypatch):
+    texts = [b"", b"a", b"b" * 500, b"c" * 30, b"d" * 4000, b"", b"e" * 7]
+    kinds = [("t", "string", False)]
+    whole = records.encode_records(pa.RecordBatch.from_pydict({"t": texts}), kinds)
+
+    def payloads(raw):
+        found = []
+        for data, starts, lengths in records.record_blocks(pa.BufferReader(raw)):
+            found += [records.decode_example(data[s:s + n].tobytes())["t"][0] for s, n in zip(starts, lengths)]
+        return found
+
+    for size in (1, 5, 13, 100, 1 << 20):
+        monkeypatch.setattr(records, "_BLOCK_BYTES", size)
+        assert payloads(whole) == texts and payloads(b"") == []
+        for bad in (whole[:-1], whole[:5], whole + b"x", whole[:700] + b"!" + whole[701:], b"\xff" * 40):
+            with pytest.raises(ValueError, match="damaged"):
+                payloads(bad)
+
+
+def test_record_files_that_only_spark_opens(spark, folder, monkeypatch):
+    df = spark.range(1000).select("id", F.concat(F.lit("t"), "id").alias("t"))
+    records.write_tfrecord(df.repartition(3), folder)
+    assert "content" not in plan_of(records.read_tfrecord(spark, folder, df.schema))
+    monkeypatch.setattr(records, "_reachable", lambda path: False)
+    read = records.read_tfrecord(spark, folder, df.schema)
+    assert "content" in plan_of(read) and sorted(read.collect()) == sorted(df.collect())
+
+
 def test_records_in_any_field_order():
     feature = records._field(records.FLOAT_LIST, records._varint(1 << 3 | 5) + b"\x00\x00\x80\x3f")  # unpacked
     entry = records._field(2, feature) + records._field(1, b"x")  # value before key
